@@ -99,6 +99,34 @@ def prefix_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], scans:
                          *[final[s.name].alias(s.name) for s in scans])
 
 
+def count_drops(df: DataFrame, keys: Sequence[str], seq: str, value: str, name: str,
+                lane: Column) -> DataFrame:
+    """Append how often ``value`` has dropped below its latest known value so far.
+
+    One shuffle: drops are counted inside a lane; each lane then reports its count and its first
+    and last known value, which decide the drops on the borders.
+    """
+    keys = list(keys)
+    rows = W.partitionBy(*keys, LANE).orderBy(seq)
+    upto = rows.rowsBetween(W.unboundedPreceding, W.currentRow)
+    known = F.when(F.col(value).isNotNull(), F.col(seq))
+    body = (df.withColumn(LANE, lane)
+            .withColumn("_latest", F.last(value, True).over(rows.rowsBetween(W.unboundedPreceding, -1)))
+            .withColumn("_drops", F.sum(F.when(F.col(value) < F.col("_latest"), 1).otherwise(0)).over(upto))
+            .withColumn("_seen", F.first(value, True).over(upto).isNotNull()))
+    over = W.partitionBy(*keys).orderBy(LANE)
+    before = over.rowsBetween(W.unboundedPreceding, -1)
+    lanes = (body.groupBy(*keys, LANE)
+             .agg(F.max("_drops").alias("_n"), F.min_by(value, known).alias("_first"),
+                  F.max_by(value, known).alias("_last"))
+             .withColumn("_border", F.coalesce((F.col("_first") < F.last("_last", True).over(before)).cast("int"),
+                                               F.lit(0)))
+             .withColumn("_base", F.coalesce(F.sum(F.col("_n") + F.col("_border")).over(before), F.lit(0)))
+             .select(*keys, LANE, "_border", "_base"))
+    total = F.col("_base") + F.col("_drops") + F.when(F.col("_seen"), F.col("_border")).otherwise(0)
+    return body.join(lanes, [*keys, LANE], "left").select(*df.columns, total.alias(name))
+
+
 def with_halo(df: DataFrame, seq: str, before: int, after: int,
               lane_rows: int | None = None) -> DataFrame:
     """Copy rows next to a lane border so that frames of ``before``/``after`` rows are complete.
@@ -125,27 +153,53 @@ def dense_position(df: DataFrame, keys: Sequence[str], order: Sequence[str], lan
     return prefix_scan(df, keys, order, [Scan(name, "count", F.lit(1))], lane)
 
 
-def fill_gaps(df: DataFrame, keys: Sequence[str], pos: str, columns: Sequence[str],
-              lane_rows: int | None = None, fallback_mean: bool = False) -> DataFrame:
-    """Linear interpolation by row position; the ends take the nearest value.
+def nearest_known(df: DataFrame, keys: Sequence[str], order: Sequence[str], known: dict[str, Column],
+                  lane: Column, strict: bool = False) -> DataFrame:
+    """Append ``<name>_b`` and ``<name>_f``: latest non-NULL value up to the row, first from the row on.
 
-    ``fallback_mean`` reproduces the last step of the weather job. It can only act on a column that
-    is NULL throughout, where the mean is NULL too, so it is kept for its contract, not its effect.
+    Both directions share one shuffle. ``strict`` leaves the row itself out.
     """
-    lane = lane_of(pos, lane_rows)
+    keys = list(keys)
+    gap = 1 if strict else 0
+    src = df.withColumn(LANE, lane)
+    for n, c in known.items():
+        src = src.withColumn(f"_k_{n}", c)
+    place = F.struct(*[F.col(c) for c in order])
+    rows = W.partitionBy(*keys, LANE).orderBy(*order)
+    back = rows.rowsBetween(W.unboundedPreceding, -gap)
+    ahead = rows.rowsBetween(gap, W.unboundedFollowing)
+    over = (W.partitionBy(*keys) if keys else W.partitionBy(F.lit(0))).orderBy(LANE)
+    body, totals, carries = src, [], []
+    for n in known:
+        k = F.col(f"_k_{n}")
+        body = (body.withColumn(f"_lb_{n}", F.last(k, True).over(back))
+                .withColumn(f"_lf_{n}", F.first(k, True).over(ahead)))
+        at = F.when(k.isNotNull(), place)
+        totals += [F.max_by(k, at).alias(f"_tl_{n}"), F.min_by(k, at).alias(f"_tf_{n}")]
+        carries += [F.last(f"_tl_{n}", True).over(over.rowsBetween(W.unboundedPreceding, -1)).alias(f"_cb_{n}"),
+                    F.first(f"_tf_{n}", True).over(over.rowsBetween(1, W.unboundedFollowing)).alias(f"_cf_{n}")]
+    lanes = src.groupBy(*keys, LANE).agg(*totals).select(*keys, LANE, *carries)
+    outs = []
+    for n in known:
+        outs += [F.coalesce(f"_lb_{n}", f"_cb_{n}").alias(f"{n}_b"), F.coalesce(f"_lf_{n}", f"_cf_{n}").alias(f"{n}_f")]
+    return body.join(lanes, [*keys, LANE], "left").select(*df.columns, *outs)
 
-    def known(c: str) -> Column:
-        return F.when(F.col(c).isNotNull(), F.struct(F.col(pos).alias("p"), F.col(c).cast("double").alias("v")))
 
-    back = prefix_scan(df, keys, [pos], [Scan(f"_b_{c}", "last", known(c)) for c in columns], lane)
-    both = prefix_scan(back, keys, [pos], [Scan(f"_f_{c}", "last", known(c)) for c in columns], lane,
-                       reverse=True)
-    out = both
+def fill_gaps(df: DataFrame, keys: Sequence[str], pos: str, columns: Sequence[str],
+              lane_rows: int | None = None) -> DataFrame:
+    """Linear interpolation by row position; the ends take the nearest value.
+
+    A column without any value in the group stays NULL: its mean, the last resort of the weather
+    job, does not exist either.
+    """
+    known = {c: F.when(F.col(c).isNotNull(), F.struct(F.col(pos).alias("p"), F.col(c).cast("double").alias("v")))
+             for c in columns}
+    out = nearest_known(df, keys, [pos], known, lane_of(pos, lane_rows))
+    cols = {}
     for c in columns:
-        b, f = F.col(f"_b_{c}"), F.col(f"_f_{c}")
+        b, f = F.col(f"{c}_b"), F.col(f"{c}_f")
         line = b["v"] + (f["v"] - b["v"]) * (F.col(pos) - b["p"]) / (f["p"] - b["p"])
-        value = (F.when(F.col(c).isNotNull(), F.col(c).cast("double"))
-                 .when(b.isNotNull() & f.isNotNull(), line)
-                 .otherwise(F.coalesce(b["v"], f["v"])))
-        out = out.withColumn(c, value)
-    return out.drop(*[f"_{d}_{c}" for c in columns for d in "bf"])
+        cols[c] = (F.when(F.col(c).isNotNull(), F.col(c).cast("double"))
+                   .when(b.isNotNull() & f.isNotNull(), line)
+                   .otherwise(F.coalesce(b["v"], f["v"]))).alias(c)
+    return out.select(*[cols.get(c, F.col(c)) for c in df.columns])
