@@ -21,11 +21,19 @@ def seconds(c: str | Column, dtype: str) -> Column:
     if dtype.startswith("interval"):
         return (F.extract(F.lit("DAY"), col) * 86400 + F.extract(F.lit("HOUR"), col) * 3600
                 + F.extract(F.lit("MINUTE"), col) * 60 + F.extract(F.lit("SECOND"), col)).cast("double")
+    if dtype == "timestamp_ntz":
+        return clock_seconds(col)
     if dtype.startswith("timestamp"):
-        return F.unix_micros(col.cast("timestamp")) / F.lit(1_000_000.0)
+        return F.unix_micros(col) / F.lit(1_000_000.0)
     return col.cast("double")
 
 
+def clock_seconds(ts: Column) -> Column:
+    """Seconds since 1970-01-01 on the clock the timestamp shows, whatever the session time zone."""
+    day = F.unix_date(ts.cast("date")).cast("double") * 86400
+    return (day + F.hour(ts) * 3600 + F.minute(ts) * 60 + F.extract(F.lit("SECOND"), ts).cast("double"))
+
+
 def has_any(text: Column, words: Sequence[str]) -> Column:
     """True when the text contains one of the words."""
     out = F.contains(text, F.lit(words[0]))

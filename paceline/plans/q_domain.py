@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from paceline.functions.columns import lenient_double
+from paceline.functions.columns import clock_seconds, lenient_double
 from paceline.operators import domain
 from paceline.operators.ordered import dense_position, fill_gaps
 from paceline.plans.registry import query, rounded
@@ -82,7 +82,7 @@ def weather_like(spark, sf_dir):
     d = (table(spark, sf_dir, "orders").groupBy(F.year("o_orderdate").alias("yr"), F.col("o_orderdate").alias("day"))
          .agg(F.avg("o_totalprice").alias("p"), F.avg("o_custkey").alias("q"), F.count(F.lit(1)).alias("n"),
               F.bool_or((F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderstatus") == "F")).alias("Rainfall")))
-    return d.select("yr", F.unix_timestamp("day").cast("double").alias("Time_seconds"),
+    return d.select("yr", clock_seconds(F.col("day")).alias("Time_seconds"),
                     F.when(F.col("n") % 3 != 0, F.col("p") / 10000).alias("AirTemp"),
                     F.when(F.col("n") % 5 != 0, F.col("q") / 100).alias("TrackTemp"), "Rainfall")
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from paceline.functions.columns import clock_seconds
 from paceline.operators.ordered import Scan, lane_of, prefix_scan
 from paceline.session import stage
 
@@ -98,7 +99,7 @@ def control(laps_df: DataFrame) -> DataFrame:
                 .when(cat == "purchase", "Other"))
     return laps_df.select(F.col("entity").alias("part"), "code", F.col("seq").alias("Lap"), "seq",
                           category.alias("Category"), message.alias("Message"),
-                          F.unix_timestamp("ts").cast("double").alias("Time_seconds"))
+                          F.floor(clock_seconds(F.col("ts"))).cast("double").alias("Time_seconds"))
 
 
 CONTROL_SQL = """
