@@ -243,11 +243,11 @@ def narrative_anomalies(laps: DataFrame, roles: Roles, accurate: str = "IsAccura
                                    F.substring(F.col(roles.entity).cast("string"), 1, 3).alias("driver"))
 
 
-def event_rate(control: DataFrame | None, laps: DataFrame, part: Sequence[str], low: float = 0.02,
-               high: float = 0.12, margin: float = 0.02, default: float = 0.05) -> DataFrame:
-    """(part, contamination): distinct safety-car plus flag laps over all laps, plus a margin, clamped."""
+def event_rate(control: DataFrame | None, laps: DataFrame, part: Sequence[str], seq: str = "LapNumber",
+               low: float = 0.02, high: float = 0.12, margin: float = 0.02, default: float = 0.05) -> DataFrame:
+    """(part, contamination): distinct safety-car plus flag laps over the race's laps, plus a margin, clamped."""
     part = list(part)
-    total = laps.groupBy(*part).agg(F.count(F.lit(1)).alias("_total"))
+    total = laps.groupBy(*part).agg(F.max(seq).alias("_total"))
     if control is None:
         return total.select(*part, F.lit(default).alias("contamination"))
     # Distinct laps are found before they are counted, so a busy race is spread by lap.

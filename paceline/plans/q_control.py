@@ -185,9 +185,9 @@ def narrative_anomalies_legacy(spark, sf_dir):
 
 
 @query("adaptive_rate", with_cf(""" SELECT l.part, round(least(0.12, greatest(0.02, coalesce(n, 0) / total + 0.02)), 6) AS contamination
- FROM (SELECT entity AS part, count(*) AS total FROM laps GROUP BY entity) l JOIN
+ FROM (SELECT entity AS part, max(seq) AS total FROM laps GROUP BY entity) l JOIN
  (SELECT part, count(DISTINCT CASE WHEN is_safety_car THEN Lap END) + count(DISTINCT CASE WHEN is_flag THEN Lap END) AS n
   FROM cf GROUP BY part) c USING (part)"""))
 def adaptive_rate(spark, sf_dir):
-    lp = laps(spark, sf_dir).select(F.col("entity").alias("part"))
-    return rounded(ops.event_rate(cf(spark, sf_dir), lp, ["part"]))
+    lp = laps(spark, sf_dir).select(F.col("entity").alias("part"), "seq")
+    return rounded(ops.event_rate(cf(spark, sf_dir), lp, ["part"], "seq"))
