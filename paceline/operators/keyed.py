@@ -50,10 +50,12 @@ def attach_stats(df: DataFrame, keys: Sequence[str], aggs: Sequence[Column], *,
     return df.join(stats, keys, "left")
 
 
-def group_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float],
+def group_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float | str],
                     slices: int = 1024) -> DataFrame:
     """Exact linear-interpolated quantiles per group; one row per group with a non-NULL value.
 
+    A probability is a number, or the name of a column that is constant inside a group.
+
     Equal values are counted first. The distinct values of each group are cut into equal-width
     slices, the slice counts locate the wanted ranks, and only the slices that hold a wanted rank
     are ordered. No task ever sees more of a group than one slice of its distinct values.
@@ -62,15 +64,16 @@ def group_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[
     if not keys:
         out = group_quantiles(df.withColumn(_ALL, F.lit(0)), [_ALL], value, probs, slices)
         return out.drop(_ALL)
-    ranks = {name: (F.floor(F.lit(p) * (F.col("_n") - 1)), F.ceil(F.lit(p) * (F.col("_n") - 1)), p)
-             for name, p in probs.items()}
+    shares = {p: f"_p_{p}" for p in probs.values() if isinstance(p, str)}
+    place = {name: (F.col(shares[p]) if p in shares else F.lit(p)) * (F.col("_n") - 1) for name, p in probs.items()}
+    ranks = {name: (F.floor(h), F.ceil(h), h) for name, h in place.items()}
     present = F.col(value).isNotNull()
     for k in keys:
         present = present & F.col(k).isNotNull()
     counts = (df.where(present).groupBy(*keys, F.col(value).cast("double").alias("_v"))
-              .agg(F.count(F.lit(1)).alias("_c")))
-    bounds = counts.groupBy(*keys).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"),
-                                       F.sum("_c").alias("_n"))
+              .agg(F.count(F.lit(1)).alias("_c"), *[F.max(p).alias(c) for p, c in shares.items()]))
+    bounds = counts.drop(*shares.values()).groupBy(*keys).agg(
+        F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.sum("_c").alias("_n"))
     width = F.col("_hi") - F.col("_lo")
     sliced = counts.join(bounds, keys).withColumn(
         "_slice",
@@ -78,7 +81,8 @@ def group_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[
                                   F.floor((F.col("_v") - F.col("_lo")) / width * slices)
                                   .cast("int"))).otherwise(F.lit(0)))
     over_slices = W.partitionBy(*keys).orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
-    hist = (sliced.groupBy(*keys, "_slice").agg(F.sum("_c").alias("_sc"), F.first("_n").alias("_n"))
+    hist = (sliced.groupBy(*keys, "_slice").agg(F.sum("_c").alias("_sc"), F.first("_n").alias("_n"),
+                                             *[F.max(c).alias(c) for c in shares.values()])
             .withColumn("_before", F.coalesce(F.sum("_sc").over(over_slices), F.lit(0))))
     wanted = F.lit(False)
     for lo, hi, _ in ranks.values():
@@ -88,14 +92,14 @@ def group_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[
     kept = (sliced.select(*keys, "_slice", "_v", "_c")
             .join(hist.where(wanted).drop("_sc"), [*keys, "_slice"])
             .withColumn("_upto", F.col("_before") + F.sum("_c").over(in_slice)))
-    aggs = [F.first("_n").alias("_n")]
+    aggs = [F.first("_n").alias("_n"), *[F.first(c).alias(c) for c in shares.values()]]
     for name, (lo, hi, _) in ranks.items():
         aggs.append(F.min(F.when(F.col("_upto") > lo, F.col("_v"))).alias(f"_{name}_l"))
         aggs.append(F.min(F.when(F.col("_upto") > hi, F.col("_v"))).alias(f"_{name}_h"))
     out = kept.groupBy(*keys).agg(*aggs)
     cols = [F.col(k) for k in keys]
-    for name, (lo, _, p) in ranks.items():
-        frac = F.lit(p) * (F.col("_n") - 1) - lo
+    for name, (lo, _, h) in ranks.items():
+        frac = h - lo
         low, high = F.col(f"_{name}_l"), F.col(f"_{name}_h")
         cols.append((low + (high - low) * frac).alias(name))
     return out.select(*cols)

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from paceline.operators import clustering, metrics
+from paceline.operators import changepoints, clustering, forest, metrics
 from paceline.plans.q_laps import FEATURES_SQL, features, with_runs
 from paceline.plans.registry import query, rounded
 from paceline.plans.views import laps, staged, table, with_laps
+from paceline.roles import Roles
+
+ROLES = Roles()
 
 _F2 = ["lap_delta", "age_normalized"]
 
@@ -285,3 +288,37 @@ def score_overview(spark, sf_dir):
 def executive_summary(spark, sf_dir):
     src = laps(spark, sf_dir).select("entity", "measure", (F.col("k") > 95).alias("is_structural"), (F.col("k") > 90).alias("is_anomaly"))
     return metrics.executive_summary(src, ["entity"], "measure")
+
+
+# --- models without a relational form; the operators are tested against brute force ---
+
+def cliff_input(spark, sf_dir):
+    """Feature laps with rule anomalies, keyed by runs long enough to be searched."""
+    return features(spark, sf_dir).select("entity", "seq", (F.floor((F.col("seq") - 1) / 20) + 1).cast("int").alias("run"),
+                                          "measure", (F.col("measure") / 20).alias("lap_delta"), (F.col("measure") > 150).alias("is_anomaly"))
+
+
+@query("changepoint_runs")
+def changepoint_runs(spark, sf_dir):
+    return changepoints.detect_changepoints(cliff_input(spark, sf_dir), ROLES)[1]
+
+
+@query("changepoint_rows")
+def changepoint_rows(spark, sf_dir):
+    return changepoints.detect_changepoints(cliff_input(spark, sf_dir), ROLES)[0]
+
+
+@query("penalty_sweep")
+def penalty_sweep(spark, sf_dir):
+    return changepoints.penalty_sweep(cliff_input(spark, sf_dir), ROLES)
+
+
+@query("isolation_forest")
+def isolation_forest(spark, sf_dir):
+    src = features(spark, sf_dir).select("entity", "seq", "lap_delta", "relative_pace", "measure")
+    return forest.detect_anomalies(src, ["entity"], "seq", ["lap_delta", "relative_pace"])
+
+
+@query("isolation_forest_global")
+def isolation_forest_global(spark, sf_dir):
+    return forest.detect_anomalies(emb(spark, sf_dir), [], "vec_id", _EMB)
