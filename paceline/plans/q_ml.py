@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from paceline.operators import changepoints, clustering, forest, metrics
+from paceline.operators import changepoints, clustering, density, forest, metrics
 from paceline.plans.q_laps import FEATURES_SQL, features, with_runs
 from paceline.plans.registry import query, rounded
 from paceline.plans.views import laps, staged, table, with_laps
@@ -322,3 +322,35 @@ def isolation_forest(spark, sf_dir):
 @query("isolation_forest_global")
 def isolation_forest_global(spark, sf_dir):
     return forest.detect_anomalies(emb(spark, sf_dir), [], "vec_id", _EMB)
+
+
+_DENSE = ["lap_delta", "relative_pace"]
+
+# Core rows by counting neighbours, clusters by walking from core to core, borders to the lowest label.
+DBSCAN_SQL = """, pt AS (SELECT entity, seq, lap_delta AS x, relative_pace AS y FROM features),
+ nb AS (SELECT a.entity, a.seq, b.seq AS o FROM pt a JOIN pt b ON a.entity = b.entity AND sqrt(power(a.x - b.x, 2) + power(a.y - b.y, 2)) <= 5.0),
+ core AS (SELECT entity, seq FROM nb GROUP BY ALL HAVING count(*) >= 3),
+ ed AS (SELECT nb.entity, nb.seq, nb.o FROM nb JOIN core c ON c.entity = nb.entity AND c.seq = nb.seq JOIN core d ON d.entity = nb.entity AND d.seq = nb.o),
+ reach AS (SELECT entity, seq, o FROM ed UNION SELECT r.entity, r.seq, e.o FROM reach r JOIN ed e ON e.entity = r.entity AND e.seq = r.o),
+ comp AS (SELECT entity, seq, min(o) AS comp FROM reach GROUP BY ALL),
+ allc AS (SELECT entity, seq, comp FROM comp UNION ALL SELECT nb.entity, nb.seq, min(comp) FROM nb JOIN comp c ON c.entity = nb.entity AND c.seq = nb.o
+   WHERE NOT EXISTS (SELECT 1 FROM core k WHERE k.entity = nb.entity AND k.seq = nb.seq) GROUP BY ALL),
+ num AS (SELECT entity, seq, dense_rank() OVER (PARTITION BY entity ORDER BY comp) - 1 AS label FROM allc)"""
+
+
+@query("dbscan", with_runs(FEATURES_SQL + DBSCAN_SQL).replace("WITH ", "WITH RECURSIVE ", 1) + """
+ SELECT entity, seq, CAST(coalesce(label, -1) AS INTEGER) AS cluster_label, label IS NULL AS is_noise FROM pt LEFT JOIN num USING (entity, seq)""")
+def dbscan(spark, sf_dir):
+    src = features(spark, sf_dir).select("entity", "seq", *_DENSE)
+    return density.dbscan(src, ["entity"], "seq", _DENSE, eps=5.0).drop(*_DENSE)
+
+
+@query("dbscan_estimated_eps")
+def dbscan_estimated_eps(spark, sf_dir):
+    src = features(spark, sf_dir).select("entity", "seq", *_DENSE)
+    return density.dbscan(src, ["entity"], "seq", _DENSE, eps=None)
+
+
+@query("hdbscan")
+def hdbscan(spark, sf_dir):
+    return density.hdbscan(features(spark, sf_dir).select("entity", "seq", *_DENSE), ["entity"], "seq", _DENSE)
