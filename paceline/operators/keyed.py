@@ -119,3 +119,18 @@ def top_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int,
     """First ``n`` rows per group. Spark trims each group on the map side before the shuffle."""
     w = W.partitionBy(*keys).orderBy(*order)
     return df.withColumn(name, F.row_number().over(w)).where(F.col(name) <= n)
+
+
+def bounded_lists(df: DataFrame, keys: Sequence[str], order: Sequence[str], item: Column, name: str,
+                  rows: int = 10_000) -> DataFrame:
+    """(keys, list_no, list): items of a group as sorted arrays of bounded length.
+
+    A group of ordinary size has the single list 0. A bigger one is spread by hash over as many
+    lists as it needs, so that no cell and no task grows with the group.
+    """
+    keys = list(keys)
+    src = df.select(*keys, F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)], item.alias("_item")).alias("_s"))
+    n = F.ceil(F.count(F.lit(1)) / rows).cast("long").alias("_lists")
+    src = attach_stats(src, keys, [n])
+    return (src.groupBy(*keys, F.pmod(F.xxhash64("_s"), F.col("_lists")).alias("list_no"))
+            .agg(F.transform(F.sort_array(F.collect_list("_s")), lambda s: s["_item"]).alias(name)))

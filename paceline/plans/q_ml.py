@@ -204,12 +204,13 @@ def rule(spark, sf_dir):
 
 SUMMARY_SQL = _RULE + """, asum AS (SELECT entity, count(*) AS total_laps, count(*) FILTER (is_anomaly) AS anomalies_count,
  100 * count(*) FILTER (is_anomaly) / count(*) AS anomaly_rate, CAST(0 AS BIGINT) AS list_no,
- coalesce(list(seq ORDER BY seq) FILTER (is_anomaly), []) AS anomaly_laps FROM an GROUP BY entity)"""
+ coalesce(string_agg(seq, ',' ORDER BY seq) FILTER (is_anomaly), '') AS anomaly_laps FROM an GROUP BY entity)"""
 
 
 @query("anomaly_summary", with_laps(SUMMARY_SQL + " SELECT entity, total_laps, anomalies_count, round(anomaly_rate, 6) AS anomaly_rate, list_no, anomaly_laps FROM asum"))
 def anomaly_summary(spark, sf_dir):
-    return rounded(metrics.anomaly_summary(rule(spark, sf_dir), ["entity"], "seq"))
+    out = metrics.anomaly_summary(rule(spark, sf_dir), ["entity"], "seq")
+    return rounded(out.withColumn("anomaly_laps", F.array_join("anomaly_laps", ",")))
 
 
 @query("anomaly_summary_global", with_laps(SUMMARY_SQL + """ SELECT count(*) AS total_laps, count(*) FILTER (is_anomaly) AS anomalies_count,

@@ -48,12 +48,11 @@ def resample_linear(spark, sf_dir):
     return rounded(out.withColumn("x", F.round("x", 4)), "x")
 
 
-@query("resample_laps", with_laps(RESAMPLE_SQL + """ SELECT entity, list(round(Speed, 6) ORDER BY grid) AS Speed_sync FROM resampled
-  GROUP BY entity"""))
+@query("resample_laps", with_laps(RESAMPLE_SQL + """ SELECT entity, CAST(grid AS INTEGER) AS grid, round(Speed, 6) AS Speed FROM resampled"""))
 def resample_laps(spark, sf_dir):
     src = samples(spark, sf_dir).select("x", "Speed", F.col("entity").alias("lap"))
     out = ops.resample_laps(src, [], "lap", "x", ["Speed"], LENGTH, POINTS)
-    return out.select(F.col("lap").alias("entity"), F.transform("Speed_sync", lambda v: F.round(v, 6)).alias("Speed_sync"))
+    return rounded(out.select(F.col("lap").alias("entity"), F.posexplode("Speed_sync").alias("grid", "Speed")))
 
 
 @query("resample_cubic")
