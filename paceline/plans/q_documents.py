@@ -229,8 +229,8 @@ def events(spark, sf_dir):
     return staged(spark, sf_dir, "timeline", _timeline)
 
 
-@query("timeline", with_cf(EVENTS_SQL + " SELECT * REPLACE (round(lap_time_drop_seconds, 6) AS lap_time_drop_seconds, round(time_gained_seconds, 6) AS time_gained_seconds,
- round(time_saved_seconds, 6) AS time_saved_seconds) FROM tl"))
+@query("timeline", with_cf(EVENTS_SQL + " SELECT * REPLACE (round(lap_time_drop_seconds, 6) AS lap_time_drop_seconds, round(time_gained_seconds, 6) AS time_gained_seconds, "
+       "round(time_saved_seconds, 6) AS time_saved_seconds) FROM tl"))
 def timeline_query(spark, sf_dir):
     return timeline.in_order(rounded(timeline.validated(_timeline(spark, sf_dir))), PART)
 
