@@ -19,6 +19,7 @@ from paceline.operators.keyed import attach_quantiles, attach_stats
 from paceline.operators.ordered import (LANE, Scan, dense_position, drop_halo, fill_gaps, nearest_known,
                                         prefix_scan, with_halo)
 from paceline.operators.stats import clean_number
+from paceline.operators.tiles import map_packed, pack
 from paceline.session import stage
 
 GRID_POINTS = 5000
@@ -156,7 +157,7 @@ def resample_cubic(df: DataFrame, keys: Sequence[str], x: str, channels: Sequenc
         out = {k: [pdf[k].iloc[0]] * len(mine) for k in ck}
         return pd.DataFrame({**out, "grid": mine.astype("int32"), "y": val})
 
-    solved = halo.groupBy(*ck, LANE).applyInPandas(solve, schema)
+    solved = map_packed(pack(halo, [*ck, LANE], "h:"), [*ck, LANE], ["h:"], solve, schema)
     wide = solved.groupBy(*keys, "grid").agg(*[
         F.coalesce(F.max(F.when(F.col("channel") == c, F.col("y"))), F.lit(0.0)).alias(c) for c in channels])
     return wide.select(*keys, "grid", _grid(points, length).alias(x), *channels)

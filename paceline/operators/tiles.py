@@ -1,51 +1,78 @@
-"""Work on pairs of rows inside a group without emitting the pairs.
+"""Work on groups and on pairs of rows inside a group without emitting the pairs.
 
-A group is cut into tiles by a hash of the row id. Every pair of tiles is one small task that sees
-two tables of bounded size and returns a reduced result (sums, nearest few, a spanning forest). Big
-groups simply have more tiles.
+A group is cut into tiles by a hash of the row id. Every pair of tiles is one small unit of work
+that sees two tables of bounded size and returns a reduced result (sums, nearest few, a spanning
+forest). Big groups simply have more tiles. Tiles travel as packed arrays, many per Arrow batch, so
+millions of small groups do not pay for a Python call each.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from paceline.operators.keyed import attach_stats
+
 TILE_ROWS = 1024
 
+Work = Callable[..., pd.DataFrame]
+
+
+def pack(df: DataFrame, keys: Sequence[str], prefix: str) -> DataFrame:
+    """One row per key with an array per other column, all in the same order.
+
+    Only for keys whose groups are bounded by construction (tiles, shares, lanes).
+    """
+    cols = [c for c in df.columns if c not in keys]
+    packed = df.groupBy(*keys).agg(F.collect_list(F.struct(*cols)).alias("_p"))
+    return packed.select(*keys, *[F.col("_p").getField(c).alias(prefix + c) for c in cols])
 
-def _tiled(df: DataFrame, keys: Sequence[str], row_id: str, tile: str, other: str, sizes: DataFrame,
-           own: str, theirs: str) -> DataFrame:
-    out = df.join(sizes, list(keys)) if keys else df.join(F.broadcast(sizes))
-    out = out.withColumn(tile, F.pmod(F.xxhash64(row_id), F.col(own)))
-    return out.withColumn(other, F.explode(F.sequence(F.lit(0).cast("long"), F.col(theirs) - 1))).drop(own, theirs)
 
+def map_packed(df: DataFrame, keys: Sequence[str], prefixes: Sequence[str], work: Work, schema: T.StructType) -> DataFrame:
+    """Unpack every row into one pandas table per prefix (with the keys as columns) and apply ``work``."""
+    keys, names = list(keys), schema.names
+    cols = {p: [c for c in df.columns if c.startswith(p) and c not in keys] for p in prefixes}
 
-def tile_pairs(left: DataFrame, right: DataFrame, keys: Sequence[str], row_id: str,
-               work: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame], schema: T.StructType | str,
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = []
+            for i in range(len(pdf)):
+                tables = []
+                for p in prefixes:
+                    t = pd.DataFrame({c[len(p):]: list(pdf[c].iat[i]) for c in cols[p]})
+                    for k in keys:
+                        t[k] = pdf[k].iat[i]
+                    tables.append(t)
+                res = work(*tables)
+                if len(res):
+                    out.append(res[names])
+            yield pd.concat(out, ignore_index=True) if out else pd.DataFrame({n: [] for n in names})
+
+    return df.mapInPandas(run, schema)
+
+
+def tile_pairs(left: DataFrame, right: DataFrame, keys: Sequence[str], row_id: str, work: Work, schema: T.StructType,
                tile_rows: int = TILE_ROWS) -> DataFrame:
     """Run ``work(left tile, right tile)`` for every pair of tiles of every group in both tables."""
     keys = list(keys)
+    gk = keys or ["_all"]
+    if not keys:
+        left, right = left.withColumn("_all", F.lit(0)), right.withColumn("_all", F.lit(0))
+    n = F.ceil(F.count(F.lit(1)) / tile_rows).cast("long")
+    rn = right.groupBy(*gk).agg(n.alias("_rn"))
+
+    def tile(df: DataFrame, name: str) -> DataFrame:
+        counted = attach_stats(df, gk, [n.alias("_n")])
+        return counted.withColumn(name, F.pmod(F.xxhash64(row_id), F.col("_n"))).drop("_n")
 
-    def sizes(df: DataFrame, name: str) -> DataFrame:
-        n = F.ceil(F.count(F.lit(1)) / tile_rows).cast("long").alias(name)
-        return df.groupBy(*keys).agg(n) if keys else df.agg(n).where(F.col(name) > 0)
-
-    ln, rn = sizes(left, "_ln"), sizes(right, "_rn")
-    both = ln.join(rn, keys) if keys else ln.join(F.broadcast(rn))
-    a = _tiled(left, keys, row_id, "_lt", "_rt", both, "_ln", "_rn")
-    b = _tiled(right, keys, row_id, "_rt", "_lt", both, "_rn", "_ln")
-    # Both sides may come from one table; fresh names keep their columns apart.
-    b = b.select(*[F.col(c).alias(c) for c in b.columns])
-    group = [*keys, "_lt", "_rt"]
-
-    def run(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
-        if x.empty or y.empty:
-            return pd.DataFrame({f: [] for f in names})
-        return work(x, y)
-
-    names = (schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)).names
-    return a.groupBy(*group).cogroup(b.groupBy(*group)).applyInPandas(run, schema)
+    # Left tiles are copied once per right tile and meet it by hash, so the pairs of one big group
+    # are spread over as many partitions as it has tiles.
+    a = (pack(tile(left, "_lt"), [*gk, "_lt"], "l:").join(rn, gk)
+         .withColumn("_rt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_rn") - 1))).drop("_rn", "_lt"))
+    b = pack(tile(right, "_rt"), [*gk, "_rt"], "r:")
+    pairs = a.join(b, [*gk, "_rt"]).drop("_rt")
+    return map_packed(pairs, gk, ["l:", "r:"], work, schema)
