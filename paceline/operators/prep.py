@@ -32,15 +32,15 @@ def _attach(df: DataFrame, stats: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def _quantile_table(df: DataFrame, keys: Sequence[str], columns: Sequence[str],
                     probs: dict[str, float]) -> DataFrame:
-    """One row per group (or one row) with ``<column>_<name>`` for every column and quantile."""
-    out = None
-    for c in columns:
-        q = group_quantiles(df, keys, c, {f"{c}_{n}": p for n, p in probs.items()})
-        if out is None:
-            out = q
-        else:
-            out = out.join(q, list(keys), "full") if keys else out.join(F.broadcast(q))
-    return out
+    """One row per group (or one row) with ``<column>_<name>`` for every column and quantile.
+
+    The columns are stacked and searched together, so their number does not add shuffles.
+    """
+    cells = F.array(*[F.struct(F.lit(c).alias("_col"), F.col(c).cast("double").alias("_val")) for c in columns])
+    long = df.select(*keys, F.explode(cells).alias("_cell")).select(*keys, "_cell.*")
+    q = group_quantiles(long, [*keys, "_col"], "_val", probs)
+    wide = [F.max(F.when(F.col("_col") == c, F.col(n))).alias(f"{c}_{n}") for c in columns for n in probs]
+    return q.groupBy(*keys).agg(*wide) if keys else q.agg(*wide)
 
 
 def most_frequent(df: DataFrame, keys: Sequence[str], column: str) -> DataFrame:

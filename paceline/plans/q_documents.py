@@ -63,7 +63,7 @@ RACE_SQL = """
  wd AS (SELECT year(o_orderdate) - 1995 AS race, o_orderdate AS day, avg(o_totalprice) AS p, avg(o_custkey) AS q, count(*) AS n,
    bool_or(o_orderpriority = '1-URGENT' AND o_orderstatus = 'F') AS rain FROM orders GROUP BY ALL),
  ws AS (SELECT race, struct_pack(condition := CASE WHEN NOT bool_or(rain) THEN 'dry' WHEN avg(CAST(rain AS INT)) > 0.5 THEN 'wet' ELSE 'mixed' END,
-   air_temp_avg_c := round_even(avg(CASE WHEN n % 3 <> 0 THEN p / 10000 END), 1), track_temp_avg_c := round_even(avg(CASE WHEN n % 5 <> 0 THEN q / 100 END), 1),
+   air_temp_avg_c := round_even(avg(CASE WHEN n % 3 <> 0 THEN p / 7000 END), 1), track_temp_avg_c := round_even(avg(CASE WHEN n % 5 <> 0 THEN q / 70 END), 1),
    had_rainfall := bool_or(rain)) AS weather FROM wd GROUP BY race)"""
 
 SUMMARY_SQL = RACE_SQL + """

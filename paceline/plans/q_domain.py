@@ -60,7 +60,7 @@ _WEATHER_SRC = """
  d AS (SELECT year(o_orderdate) AS yr, o_orderdate AS day, avg(o_totalprice) AS p, avg(o_custkey) AS q,
     count(*) AS n, bool_or(o_orderpriority = '1-URGENT' AND o_orderstatus = 'F') AS rain FROM orders GROUP BY ALL),
  raw AS (SELECT yr, CAST(epoch(day) AS DOUBLE) AS Time_seconds,
-    CASE WHEN n % 3 <> 0 THEN p / 10000 END AS AirTemp, CASE WHEN n % 5 <> 0 THEN q / 100 END AS TrackTemp, rain AS Rainfall FROM d),
+    CASE WHEN n % 3 <> 0 THEN p / 7000 END AS AirTemp, CASE WHEN n % 5 <> 0 THEN q / 70 END AS TrackTemp, rain AS Rainfall FROM d),
  pos AS (SELECT *, row_number() OVER (PARTITION BY yr ORDER BY Time_seconds) AS pos FROM raw)"""
 
 
@@ -83,8 +83,8 @@ def weather_like(spark, sf_dir):
          .agg(F.avg("o_totalprice").alias("p"), F.avg("o_custkey").alias("q"), F.count(F.lit(1)).alias("n"),
               F.bool_or((F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderstatus") == "F")).alias("Rainfall")))
     return d.select("yr", clock_seconds(F.col("day")).alias("Time_seconds"),
-                    F.when(F.col("n") % 3 != 0, F.col("p") / 10000).alias("AirTemp"),
-                    F.when(F.col("n") % 5 != 0, F.col("q") / 100).alias("TrackTemp"), "Rainfall")
+                    F.when(F.col("n") % 3 != 0, F.col("p") / 7000).alias("AirTemp"),
+                    F.when(F.col("n") % 5 != 0, F.col("q") / 70).alias("TrackTemp"), "Rainfall")
 
 
 WEATHER_SQL = _WEATHER_SRC + ", filled AS (" + _filled_sql("pos", ["AirTemp", "TrackTemp"], "yr") + """),
