@@ -116,7 +116,7 @@ def attach_quantiles(df: DataFrame, keys: Sequence[str], value: str,
 
 def top_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int,
            name: str = "_rn") -> DataFrame:
-    """First ``n`` rows per group. Spark trims each group on the map side before the shuffle."""
+    """First ``n`` rows per group. For n up to 1000 Spark trims each group on the map side before the shuffle."""
     w = W.partitionBy(*keys).orderBy(*order)
     return df.withColumn(name, F.row_number().over(w)).where(F.col(name) <= n)
 

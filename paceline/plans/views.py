@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from paceline.functions.columns import clock_seconds
 from paceline.operators.ordered import Scan, lane_of, prefix_scan
-from paceline.session import stage
+from paceline.session import path_exists, stage
 
 _STAGED: dict[tuple[str, str, str], DataFrame] = {}
 
@@ -23,9 +23,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def staged(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
     """The derived table ``name``, written on first use in this session."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _STAGED:
-        _STAGED[key] = stage(build(spark, sf_dir), name)
-    return _STAGED[key]
+    known = _STAGED.get(key)
+    # Scratch folders may be cleared between queries; the table is then written again.
+    if known is None or not all(path_exists(spark, f) for f in known.inputFiles()[:1]):
+        known = _STAGED[key] = stage(build(spark, sf_dir), name)
+    return known
 
 
 def _build_laps(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,10 +36,10 @@ def _build_laps(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_type").alias("category"),
         F.regexp_extract("props", r"(\d+)", 1).cast("int").alias("k"),
         F.round(F.col("value") * 100).cast("long").alias("cents"))
-    # Day lanes keep the numbering of a very busy user spread over many tasks.
+    # Minute lanes keep the numbering of a very busy user spread over many tasks.
     seq = prefix_scan(ev, ["entity"], ["ts", "event_id"],
                       [Scan("seq", "count", F.lit(1)), Scan("cum", "sum", F.col("cents"))],
-                      lane=F.unix_date(F.to_date("ts")))
+                      lane=F.floor(clock_seconds(F.col("ts")) / 60).cast("long"))
     bought = F.when(F.col("category") == "purchase", F.col("seq"))
     aged = prefix_scan(seq, ["entity"], ["seq"], [Scan("_reset", "last", bought)], lane_of("seq"))
     aged = aged.withColumn("age", F.col("seq") - F.coalesce(F.col("_reset") - 1, F.lit(0))).drop("_reset")

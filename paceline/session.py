@@ -40,6 +40,13 @@ def shared_dir(spark: SparkSession) -> str:
     return configured
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """True for an existing, non-empty folder or file on whatever file system the path names."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.exists(p) and len(fs.listStatus(p)) > 0
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 

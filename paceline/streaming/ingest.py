@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from paceline.session import path_exists
 from paceline.sources.tables import write_table
 
 
@@ -29,7 +31,7 @@ def ingest(source: DataFrame, target: str, checkpoint: str, keys: Sequence[str],
     def write(batch: DataFrame, _id: int) -> None:
         spark = batch.sparkSession
         rows = (normalize(batch) if normalize else batch).dropDuplicates(keys)
-        if _exists(spark, target):
+        if path_exists(spark, target):
             # The touched partition values prune the scan of the target by a broadcast semi join.
             old = spark.read.schema(rows.schema).parquet(target)
             touched = old.join(rows.select(*parts).distinct(), parts, "left_semi")
@@ -40,20 +42,12 @@ def ingest(source: DataFrame, target: str, checkpoint: str, keys: Sequence[str],
             .trigger(availableNow=True).start())
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(p) and len(fs.listStatus(p)) > 0
-
-
 def process_races(tables: dict[str, DataFrame], races: Sequence[tuple[int, int]] | None, steps: dict[str, Callable[[DataFrame], DataFrame]],
                   target: str) -> dict[str, str]:
     """Normalise and write several landed tables for many races at once; returns the written paths.
 
     The list of races becomes a filter on the partition columns, so other races are not even read.
     """
-    from pyspark.sql import functions as F
     written = {}
     for name, df in tables.items():
         if races is not None:
