@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from paceline.functions.columns import lookup
 from paceline.operators.control import DEPLOYED
 from paceline.operators.keyed import bounded_lists, top_by
+from paceline.operators.ordered import dense_position
 from paceline.roles import Roles
 
 # Names behind the driver codes, and the report's words for penalties and tyres.
@@ -35,8 +36,8 @@ OVERCUT_MAX_SECONDS = 20.0
 LIMITED_DATA_SCORE = 0.5
 INCIDENT_PATTERN = "(?i)(INCIDENT|COLLISION|CONTACT|ACCIDENT|CRASH)"
 
-#: Laps per agenda list; a race longer than that has several lists, numbered in order.
-AGENDA_LAPS = 1 << 16
+#: Items per agenda list; a race with more has several lists, in order.
+AGENDA_ITEMS = 10_000
 
 
 def full_name(code: str | Column, names: Mapping[str, str] = DRIVER_NAMES) -> Column:
@@ -304,19 +305,18 @@ def highlights(summary: DataFrame, part: Sequence[str]) -> DataFrame:
 def must_cover(events: DataFrame, summary: DataFrame, part: Sequence[str]) -> DataFrame:
     """(part, list_no, must_cover): the agenda as three lists of texts.
 
-    List 0 holds the first stretch of the race (every ordinary race in full); longer races continue
-    in lists 1, 2, ...
+    List 0 holds the first items of the race (all of them, ordinarily); more continue in lists 1, 2, ...
     """
     part = list(part)
     keys = [*part, "list_no"]
 
     def listed(df: DataFrame, no: Column, order: Sequence[str], name: str) -> DataFrame:
-        item = F.struct(*order, "item") if "item" not in order else F.struct(*order)
+        item = F.struct(*order, "item")
         return (df.withColumn("list_no", no.cast("long")).groupBy(*keys)
                 .agg(F.transform(F.sort_array(F.collect_list(item)), lambda s: s["item"]).alias(name)))
 
-    lap_list = F.floor((F.col("lap") - 1) / AGENDA_LAPS)
-    dev = listed(agenda_items(events, part), lap_list, ["lap", "kind", "item"], "desenvolvimento")
+    numbered = dense_position(agenda_items(events, part), part, ["lap", "kind", "item"], F.col("lap"), "_no")
+    dev = listed(numbered, F.floor((F.col("_no") - 1) / AGENDA_ITEMS), ["_no"], "desenvolvimento")
     tech = listed(best_moves(events, part), F.lit(0), ["rank"], "analise_tecnica")
     high = highlights(summary, part).withColumnRenamed("items", "destaques_individuais")
     out = high.join(dev, keys, "full").join(tech, keys, "full")
