@@ -43,7 +43,7 @@ def results(spark, sf_dir):
 
 
 def race_control(spark, sf_dir):
-    return cf(spark, sf_dir).where(F.col("part") % 7 == 0).withColumn("race", F.col("part") % 10) \
+    return cf(spark, sf_dir).withColumn("race", F.col("part") % 10) \
         .withColumn("seq", F.col("part") * 100000 + F.col("seq"))
 
 
@@ -59,7 +59,7 @@ RACE_SQL = """
  rs AS (SELECT race, Driver AS Abbreviation, 'Team ' || n AS TeamName, CASE WHEN ascii(substr(Driver, 3)) % 3 <> 1 THEN row_number() OVER (PARTITION BY race ORDER BY cum DESC, Driver) END AS final_position,
    row_number() OVER (PARTITION BY race ORDER BY Driver) AS grid_position, CASE WHEN n % 2 = 0 THEN 'Finished' ELSE 'Lapped' END AS Status,
    CAST(ascii(substr(Driver, 3)) % 3 <> 1 AS INTEGER) AS finish_status, CAST(n % 26 AS DOUBLE) AS points FROM pe),
- rcx AS (SELECT CAST(part % 10 AS BIGINT) AS race, Lap, part * 100000 + seq AS seq, Message, is_penalty FROM cf WHERE part % 7 = 0),
+ rcx AS (SELECT CAST(part % 10 AS BIGINT) AS race, Lap, part * 100000 + seq AS seq, Message, is_penalty FROM cf),
  wd AS (SELECT year(o_orderdate) - 1995 AS race, o_orderdate AS day, avg(o_totalprice) AS p, avg(o_custkey) AS q, count(*) AS n,
    bool_or(o_orderpriority = '1-URGENT' AND o_orderstatus = 'F') AS rain FROM orders GROUP BY ALL),
  ws AS (SELECT race, struct_pack(condition := CASE WHEN NOT bool_or(rain) THEN 'dry' WHEN avg(CAST(rain AS INT)) > 0.5 THEN 'wet' ELSE 'mixed' END,
@@ -108,10 +108,10 @@ def race_summary(spark, sf_dir):
 
 PROFILES_SQL = RACE_SQL + """
 , cs AS (SELECT race, Driver, count(*) FILTER (k < 30) / count(*) FILTER (k < 90) AS push_pct, count(*) FILTER (k BETWEEN 30 AND 59) / count(*) FILTER (k < 90) AS base_pct,
-   count(*) FILTER (k BETWEEN 60 AND 89) / count(*) FILTER (k < 90) AS degraded_pct FROM rl WHERE race <> 3 GROUP BY ALL),
+   count(*) FILTER (k BETWEEN 60 AND 89) / count(*) FILTER (k < 90) AS degraded_pct FROM rl GROUP BY ALL),
  cu AS (SELECT race, Driver, list(struct_pack(compound := Compound, laps := n) ORDER BY Compound) AS used FROM
    (SELECT race, Driver, Compound, CAST(count(*) AS INTEGER) AS n FROM rl WHERE Compound IS NOT NULL GROUP BY ALL) GROUP BY ALL),
- ax AS (SELECT race, Driver, count(*) FILTER (k > 90) AS a, count(*) FILTER (k > 96) AS c FROM rl WHERE race <> 4 GROUP BY ALL),
+ ax AS (SELECT race, Driver, count(*) FILTER (k > 90) AS a, count(*) FILTER (k > 96) AS c FROM rl GROUP BY ALL),
  profiles AS (SELECT rs.race, Abbreviation AS driver, TeamName AS team, CAST(final_position AS INTEGER) AS final_position, CAST(grid_position AS INTEGER) AS grid_position,
    CAST(coalesce(grid_position - final_position, 0) AS INTEGER) AS positions_gained, points, round_even(coalesce(push_pct, 0), 3) AS push_pct, round_even(coalesce(base_pct, 0), 3) AS base_pct,
    round_even(coalesce(degraded_pct, 0), 3) AS degraded_pct, coalesce(used, [struct_pack(compound := 'UNKNOWN', laps := 1)]) AS compounds_used, coalesce(c, 0) > 0 AS had_tire_cliff,
@@ -122,9 +122,9 @@ PROFILES_SQL = RACE_SQL + """
 def profiles(spark, sf_dir):
     lp, k = race_laps(spark, sf_dir), F.col("k")
     sem = F.when(k < 30, "push").when(k < 60, "base").when(k < 90, "degraded")
-    clustered = lp.where(F.col("race") != 3).withColumn("cluster_semantic", sem)
-    anomalies = metrics.anomaly_summary(lp.where(F.col("race") != 4).withColumn("is_anomaly", k > 90), ["race", "Driver"])
-    cliffs = lp.where(F.col("race") != 4).groupBy("race", "Driver").agg(F.count_if(k > 96).alias("stints_with_cliff"))
+    clustered = lp.withColumn("cluster_semantic", sem)
+    anomalies = metrics.anomaly_summary(lp.withColumn("is_anomaly", k > 90), ["race", "Driver"])
+    cliffs = lp.groupBy("race", "Driver").agg(F.count_if(k > 96).alias("stints_with_cliff"))
     return documents.entity_profiles(results(spark, sf_dir), clustered, lp, anomalies, cliffs, ROLES)
 
 
@@ -136,7 +136,7 @@ def entity_profiles(spark, sf_dir):
 @query("cluster_shares", with_cf(PROFILES_SQL + " SELECT race, Driver, round(push_pct, 6) AS push_pct, round(base_pct, 6) AS base_pct, round(degraded_pct, 6) AS degraded_pct FROM cs"))
 def cluster_shares(spark, sf_dir):
     k = F.col("k")
-    lab = race_laps(spark, sf_dir).where(F.col("race") != 3).withColumn(
+    lab = race_laps(spark, sf_dir).withColumn(
         "cluster_semantic", F.when(k < 30, "push").when(k < 60, "base").when(k < 90, "degraded"))
     return rounded(documents.cluster_shares(lab, ["race", "Driver"]))
 

@@ -261,17 +261,17 @@ def changepoint_metrics(spark, sf_dir):
     return rounded(metrics.changepoint_metrics(rule_cliffs(spark, sf_dir)))
 
 
-SCORES_SQL = _RULE + _CLIFFS + """, sil AS (SELECT entity, avg(k) / 100 - 0.4 AS s FROM laps WHERE entity % 4 <> 0 GROUP BY entity),
+SCORES_SQL = _RULE + _CLIFFS + """, sil AS (SELECT entity, avg(k) / 100 - 0.4 AS s FROM laps GROUP BY entity HAVING avg(k) > 48),
  sc AS (SELECT entity, n, a, s, r FROM (SELECT entity, count(*) AS n, count(*) FILTER (is_anomaly) AS a FROM an GROUP BY entity) LEFT JOIN sil USING (entity)
-   LEFT JOIN (SELECT entity, count(*) AS r FROM cf WHERE run % 40 = 0 GROUP BY entity) USING (entity)),
+   LEFT JOIN (SELECT entity, count(*) AS r FROM cf WHERE pre_cliff_slope > 2 GROUP BY entity) USING (entity)),
  scores AS (SELECT entity, round_even(CASE WHEN s IS NULL THEN 0.10 ELSE least(1, greatest(0, s)) * 0.40 END + least(1, n / 30.0) * 0.30
    + CASE WHEN a / n <= 0.15 THEN (1 - a / n / 0.15) * 0.20 ELSE 0 END + least(1, coalesce(r, 1) / 2.0) * 0.10, 3) AS quality_score FROM sc)"""
 
 
 def scores(spark, sf_dir):
-    sil = (laps(spark, sf_dir).where(F.col("entity") % 4 != 0).groupBy("entity")
-           .agg((F.avg("k") / 100 - 0.4).alias("silhouette_score")))
-    return metrics.quality_scores(rule(spark, sf_dir), ["entity"], sil, rule_cliffs(spark, sf_dir).where(F.col("run") % 40 == 0))
+    sil = (laps(spark, sf_dir).groupBy("entity").agg((F.avg("k") / 100 - 0.4).alias("silhouette_score"), F.avg("k").alias("_k"))
+           .where("_k > 48"))
+    return metrics.quality_scores(rule(spark, sf_dir), ["entity"], sil, rule_cliffs(spark, sf_dir).where("pre_cliff_slope > 2"))
 
 
 @query("quality_scores", with_laps(SCORES_SQL + " SELECT entity, quality_score FROM scores"))

@@ -62,10 +62,10 @@ def normalize_results(spark, sf_dir):
     return tables.normalize_results(raw)
 
 
-@query("driver_codes", """SELECT l_orderkey, l_linenumber, l_suppkey, l_quantity, coalesce(CASE WHEN s_suppkey % 3 <> 0 THEN s_name END, CAST(l_suppkey AS VARCHAR)) AS Driver
+@query("driver_codes", """SELECT l_orderkey, l_linenumber, l_suppkey, l_quantity, coalesce(CASE WHEN s_acctbal > 2000 THEN s_name END, CAST(l_suppkey AS VARCHAR)) AS Driver
  FROM lineitem LEFT JOIN supplier ON s_suppkey = l_suppkey""")
 def driver_codes(spark, sf_dir):
-    sup = table(spark, sf_dir, "supplier").where(F.col("s_suppkey") % 3 != 0).select(F.col("s_suppkey").alias("l_suppkey"), "s_name")
+    sup = table(spark, sf_dir, "supplier").where(F.col("s_acctbal") > 2000).select(F.col("s_suppkey").alias("l_suppkey"), "s_name")
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_quantity")
     return tables.driver_codes(li, sup, [], "l_suppkey", "s_name")
 

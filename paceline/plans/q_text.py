@@ -58,12 +58,12 @@ def contract_report(spark, sf_dir):
     return contracts.check(reports(spark, sf_dir), contracts.report_rules()).select("doc_id", F.array_join("violations", ",").alias("violations"))
 
 
-@query("unknown_codes", with_cf(""", kn AS (SELECT part, any_value(code) AS code FROM cf WHERE part % 2 = 0 GROUP BY part)
+@query("unknown_codes", with_cf(""", kn AS (SELECT part, any_value(code) AS code FROM cf GROUP BY part HAVING max(Lap) > 66)
  SELECT cf.part, cf.seq, CAST(CASE WHEN kn.code IS NULL THEN 1.0 ELSE round(greatest(0, 1 - 0.15 * len(list_filter(list_distinct(regexp_extract_all(Message || ' (ZZZ) (ZZZ)', '\\(([A-Z]{3})\\)', 1)),
    lambda c: c <> kn.code))), 3) END AS DOUBLE) AS score FROM cf LEFT JOIN kn ON kn.part = cf.part WHERE Message IS NOT NULL"""))
 def unknown_codes(spark, sf_dir):
     msg = cf(spark, sf_dir).where(F.col("message") != "")
-    known = msg.where(F.col("part") % 2 == 0).groupBy("part").agg(F.array(F.min("code")).alias("known"))
+    known = cf(spark, sf_dir).groupBy("part").agg(F.array(F.min("code")).alias("known"), F.max("Lap").alias("_l")).where("_l > 66").drop("_l")
     text = F.concat("Message", F.lit(" (ZZZ) (ZZZ)"))
     return msg.join(known, "part", "left").select("part", "seq", ops.unknown_code_score(text, "known").alias("score"))
 
