@@ -27,17 +27,27 @@ def local_session(cores: int | str = 8, app: str = "paceline") -> SparkSession:
     return spark
 
 
+#: Folder used where the session names none; only for sessions whose executors run in this process.
+_FALLBACK: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder for intermediate tables: the cluster's ``spark.checkpoint.dir``.
 
-    Only where the session names none (tests, a laptop) a fresh local folder is made and recorded
-    in the session, so that every caller agrees on it.
+    Where the session names none, a local-mode session (tests, a laptop) gets one fresh folder per
+    application. On a cluster a machine-local folder would lose data, so the missing setting is an
+    error there.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="spark-paceline-")
-        spark.conf.set("spark.checkpoint.dir", configured)
-    return configured
+    if configured:
+        return configured
+    master = spark.conf.get("spark.master", "")
+    if not (master == "local" or master.startswith("local[")):
+        raise ValueError("spark.checkpoint.dir is not set; it must name a folder that the driver and all executors share")
+    app = spark.conf.get("spark.app.id", "")
+    if app not in _FALLBACK:
+        _FALLBACK[app] = tempfile.mkdtemp(prefix="spark-paceline-")
+    return _FALLBACK[app]
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -57,3 +67,11 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(df: DataFrame) -> None:
+    """Empty a table that :func:`stage` wrote and nothing reads any more."""
+    spark = df.sparkSession
+    folders = {f.rsplit("/", 1)[0] for f in df.inputFiles()}
+    for folder in folders:
+        spark.createDataFrame([], df.schema).write.mode("overwrite").parquet(folder)
