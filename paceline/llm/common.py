@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +23,19 @@ def words(text) -> F.Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
 
 
+def with_row_id(df: DataFrame, name: str) -> DataFrame:
+    """``df`` with a unique number per row that stays the same however often it is computed.
+
+    A table read from files takes its place in them; anything else is written once.
+    """
+    try:
+        place = df.withColumn(name, F.concat_ws(":", F.xxhash64("_metadata.file_path"), "_metadata.row_index"))
+        place.schema  # noqa: B018  resolves the columns
+        return place
+    except AnalysisException:
+        return stage(df.withColumn(name, F.monotonically_increasing_id()), "rows")
+
+
 def components(pairs: DataFrame) -> DataFrame:
     """(node, root): one root for all nodes of ``pairs(a, b)`` that links connect. Nodes without a pair are absent.
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from paceline.llm import decontam, langid, simhash
+from paceline.llm import decontam, langid, mixing, sharding, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -34,12 +34,26 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("fingerprint", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")))
 
 
+@query("op3_sharding")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, size, text_crc32, law, shard, slot, grown_shard for every document."""
+    return (sharding.assign(table(spark, sf_dir, "documents"))
+            .withColumns({"law": F.lit("rows"), "grown_shard": F.lit(None).cast("int")}))
+
+
 @query("op5_language_id")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, held_out, lang_pred, score for every document."""
     return langid.identify(table(spark, sf_dir, "documents")).select("doc_id", "held_out", "lang_pred", "score")
 
 
+@query("op8_mixing")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, size, source_size, target, taken for every document."""
+    return (mixing.takings(table(spark, sf_dir, "documents"))
+            .select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken"))
+
+
 @query("op9_decontamination")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, item_id, item_tokens, matched, stretch, doc_start of every leak of a benchmark item."""
