@@ -13,12 +13,11 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import combinations
-from math import comb
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paceline.llm.common import components, in_pieces
@@ -31,18 +30,24 @@ SAMPLE = 2048
 PROBE_COST = 50
 
 
-def fingerprint(text: str | None, shingle: int) -> int:
-    """Majority of the bits of XXH64 (seed 42) over all word shingles; 0 without words. Only A-Z is lower-cased."""
+def shingle_hashes(text: str | None, size: int) -> np.ndarray:
+    """XXH64 (seed 42) of all word shingles, repeats included; of the whole sequence if it is shorter. Only A-Z is lower-cased."""
     words = (text or "").encode().lower().split()
     if not words:
-        return 0
+        return np.empty(0, np.uint64)
     line = b" ".join(words)
-    size = min(shingle, len(words))
+    size = min(size, len(words))
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])[: len(words) - size + 1].tolist()
     digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter((digest(line[a:b], 42) for a, b in zip(starts, ends[size - 1:].tolist())),
-                         np.uint64, len(starts))
+    return np.fromiter((digest(line[a:b], 42) for a, b in zip(starts, ends[size - 1:].tolist())), np.uint64, len(starts))
+
+
+def fingerprint(text: str | None, shingle: int) -> int:
+    """Majority of the bits of the shingle hashes, as a signed long; 0 without words."""
+    hashes = shingle_hashes(text, shingle)
+    if not len(hashes):
+        return 0
     ones = np.zeros(BITS, np.int64)
     for at in range(0, len(hashes), 1 << 16):  # bits of one piece at a time
         octets = hashes[at:at + (1 << 16)].view(np.uint8).reshape(-1, 8)
@@ -84,20 +89,21 @@ def _masks(group: list[int], most: int) -> list[np.ndarray]:
     return [np.array([sum(1 << b for b in flip) for flip in combinations(group, k)], np.uint64) for k in range(most + 1)]
 
 
-def thresholds(cost: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Cheapest threshold vector of each query: ``cost[q, part, t + 1]`` for t from -1 to ``radius``.
+def thresholds(cost: np.ndarray, goal: int) -> tuple[np.ndarray, np.ndarray]:
+    """Cheapest threshold vector with sum ``goal`` of each query, and its cost.
 
-    Dynamic programming over the groups, on the sum of the thresholds so far. Returns the vectors
-    and their costs.
+    ``cost[q, part, t + 1]`` is the cost of threshold t, from -1 up. Dynamic programming over the
+    groups, on the sum of the thresholds so far.
     """
-    queries, parts, _ = cost.shape
-    low, span = -parts, parts * (radius + 1) + 1  # sums from -parts to parts * radius
+    queries, parts, steps = cost.shape
+    top = steps - 2
+    span = parts * (top + 1) + 1  # sums from -parts to parts * top
     best = np.full((queries, span), np.inf)
-    best[:, -low] = 0.0
+    best[:, parts] = 0.0
     picks = []
     for p in range(parts):
         new, pick = np.full((queries, span), np.inf), np.full((queries, span), -1)
-        for t in range(-1, radius + 1):
+        for t in range(-1, top + 1):
             come = np.full((queries, span), np.inf)
             if t < 0:
                 come[:, :-1] = best[:, 1:] + cost[:, p, :1]
@@ -107,70 +113,87 @@ def thresholds(cost: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
             new, pick = np.where(better, come, new), np.where(better, t, pick)
         best = new
         picks.append(pick)
-    at = np.full(queries, radius - parts + 1 - low)
-    total = best[np.arange(queries), at]
+    rows = np.arange(queries)
+    at = np.full(queries, goal + parts)
+    total = best[rows, at]
     out = np.zeros((queries, parts), np.int64)
     for p in range(parts - 1, -1, -1):
-        out[:, p] = picks[p][np.arange(queries), at]
+        out[:, p] = picks[p][rows, at]
         at = at - out[:, p]
     return out, total
 
 
-def near_pairs(prints: DataFrame, radius: int = 2, parts: int = 3) -> DataFrame:
+def near_pairs(prints: DataFrame, radius: int = 2, parts: int = 3, spread: int = 0) -> DataFrame:
     """(a, b), a < b: all pairs of distinct fingerprints that differ in 1 to ``radius`` bits.
 
-    ``prints`` holds distinct, non-NULL longs in column ``fingerprint``.
+    ``prints`` holds distinct, non-NULL longs in column ``fingerprint``. The index holds each of them
+    under all variants with up to ``spread`` flips in a group, which takes as many flips off the
+    probes: for a threshold of 2, both sides flip single bits instead of one side flipping two.
+
+    Up to radius 2 a fingerprint in a place so crowded that comparing costs more than the 2,081
+    variants of all its bits is probed under these, which bounds its work. A wider radius has no
+    such way out; :func:`near_duplicates` merges crowded places before it searches widely.
     """
     size = prints.count()
-    head = (prints.orderBy(F.xxhash64("fingerprint"), "fingerprint").limit(SAMPLE).collect())
+    head = prints.orderBy(F.xxhash64("fingerprint"), "fingerprint").limit(SAMPLE).collect()
     sample = np.array([r[0] for r in head], np.int64).view(np.uint64)
     groups = bit_groups(sample, parts)
+    goal = radius - parts + 1
+    top = max(0, min(radius, -(-goal // parts) + 2))
     fields = np.array([sum(1 << b for b in g) for g in groups] + [(1 << BITS) - 1], np.uint64)
-    masks = [_masks(g, radius) for g in groups] + [_masks(list(range(BITS)), radius)]
+    flips = [[max(t - spread, 0) for t in range(top + 1)]] * parts
+    masks = [_masks(g, max(flips[0])) for g in groups]
+    whole = np.inf
+    if radius <= 2:
+        masks.append(_masks(list(range(BITS)), radius))
+        whole = sum(map(len, masks[-1])) * PROBE_COST
+    probes = np.array([[0] + [sum(len(masks[p][k]) for k in range(f + 1)) for f in flips[p]] for p in range(parts)], float) * PROBE_COST
     scale = size / max(1, len(sample))
-    probes = np.array([[0] + [sum(comb(len(g), k) for k in range(t + 1)) for t in range(radius + 1)] for g in groups], float)
-    whole = sum(comb(BITS, k) for k in range(radius + 1)) * PROBE_COST
+    base = top + 2
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             own = pdf["fingerprint"].to_numpy(np.int64).view(np.uint64)
             for at in range(0, len(own), 512):
                 q = own[at:at + 512]
-                cost = np.repeat(probes[None] * PROBE_COST, len(q), 0)
+                cost = np.repeat(probes[None], len(q), 0)
                 for p in range(parts):
                     apart = np.bitwise_count((q[:, None] ^ sample[None]) & fields[p])
-                    for t in range(radius + 1):
+                    for t in range(top + 1):
                         cost[:, p, t + 1] += (apart <= t).sum(1) * scale
-                chosen, total = thresholds(cost, radius)
-                # Column ``parts`` is the whole fingerprint, for queries whose cheapest vector costs more.
-                chosen = np.hstack([chosen, np.full((len(q), 1), -1)])
-                chosen[total > whole] = [-1] * parts + [radius]
-                code = ((chosen + 1) * (radius + 2) ** np.arange(parts + 1)).sum(1)
-                for p in range(parts + 1):
-                    for k in range(radius + 1):
-                        use = chosen[:, p] >= k
+                chosen, total = thresholds(cost, goal)
+                chosen[total > whole] = -1
+                code = ((chosen + 1) * base ** np.arange(parts)).sum(1)
+                for p in range(len(masks)):
+                    # Flips of each query in this group; the last place is the whole fingerprint.
+                    depth = np.where(chosen[:, p] < 0, -1, np.maximum(chosen[:, p] - spread, 0)) if p < parts else np.where(total > whole, radius, -1)
+                    for k, mask in enumerate(masks[p]):
+                        use = depth >= k
                         if use.any():
-                            keys = ((q[use] & fields[p])[:, None] ^ masks[p][k][None]).ravel()
-                            n = len(masks[p][k])
+                            keys = ((q[use] & fields[p])[:, None] ^ mask[None]).ravel()
                             yield pd.DataFrame({"part": np.full(len(keys), p, np.int32), "key": keys.view(np.int64),
-                                                "a": np.repeat(q[use].view(np.int64), n),
-                                                "limits": np.repeat(code[use].astype(np.int32), n)})
+                                                "a": np.repeat(q[use].view(np.int64), len(mask)),
+                                                "limits": np.repeat(code[use].astype(np.int32), len(mask))})
 
     asked = prints.select("fingerprint").mapInPandas(search, "part int, key long, a long, limits int")
     signed = [int(f) for f in fields.view(np.int64)]
-    index = prints.select(F.explode(F.array(*[
-        F.struct(F.lit(p).alias("part"), F.col("fingerprint").bitwiseAND(F.lit(f)).alias("key"), F.col("fingerprint").alias("b"))
-        for p, f in enumerate(signed)])).alias("r")).select("r.*")
+    around = [[int(x) for k in range(spread + 1) for x in _masks(g, spread)[k].view(np.int64)] for g in groups]
+    held = [F.struct(F.lit(p).alias("part"), F.col("fingerprint").bitwiseAND(F.lit(signed[p])).bitwiseXOR(F.lit(x)).alias("key"),
+                     F.col("fingerprint").alias("b")) for p in range(parts) for x in around[p]]
+    if radius <= 2:
+        held.append(F.struct(F.lit(parts).alias("part"), F.col("fingerprint").alias("key"), F.col("fingerprint").alias("b")))
+    index = prints.select(F.explode(F.array(*held)).alias("r")).select("r.*")
     differ = F.col("a").bitwiseXOR(F.col("b"))
     first = F.lit(True)  # a pair is taken from the first group that finds it
     for p, f in enumerate(signed[:-1]):
-        limit = F.floor(F.col("limits") / (radius + 2) ** p).cast("int") % (radius + 2) - 1
-        first = first & ((F.col("asked.part") <= p) | (F.bit_count(differ.bitwiseAND(F.lit(f))) > limit))
+        limit = F.floor(F.col("limits") / base ** p).cast("int") % base - 1
+        reach = F.when(limit < 0, F.lit(-1)).otherwise(F.greatest(limit, F.lit(spread)))
+        first = first & ((F.col("asked.part") <= p) | (F.bit_count(differ.bitwiseAND(F.lit(f))) > reach))
     found = asked.alias("asked").join(
         index.alias("index"),
         (F.col("asked.part") == F.col("index.part")) & (F.col("asked.key") == F.col("index.key"))
-        & (F.col("a") < F.col("b")) & (F.bit_count(differ) <= radius) & first)
-    return found.select("a", "b")
+        & (F.col("a") < F.col("b")) & (F.bit_count(differ) <= radius) & first).select("a", "b")
+    return found.distinct() if spread else found
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = 3, radius: int = 2,
@@ -196,3 +219,49 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shi
     known = (rooted.join(least, "root").join(links, "fingerprint", "left")
              .select("fingerprint", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links")))
     return prints.join(known, "fingerprint").select(F.col("id").alias(id_col), "fingerprint", "component_id", "n_links")
+
+
+#: Radius, bit groups and index flips of the wide search. Near copies with 0.8 of their shingles in
+#: common rarely differ in more bits; what else is found fails the comparison of the shingles.
+WIDE, WIDE_PARTS, WIDE_SPREAD = 11, 4, 1
+
+
+def shingles(text: Column, size: int) -> Column:
+    """Distinct shingle hashes of a whole text, as an array of longs."""
+    @F.pandas_udf("array<long>")
+    def run(texts: pd.Series) -> pd.Series:
+        return pd.Series([np.unique(shingle_hashes(t, size)).view(np.int64) for t in texts])
+    return run(text)
+
+
+def near_duplicates(docs: DataFrame, row: str, id_col: str = "doc_id", text: str = "text", shingle: int = 5,
+                    similarity: float = 0.8) -> DataFrame:
+    """(row, kept): the rows of ``docs`` and whether each stays; one of each group of near duplicates does.
+
+    ``row`` is a unique column. First the groups of :func:`near_groups` are taken. What stands for a
+    group is its smallest id (then row). A wide search then proposes further pairs of these; they
+    join when ``similarity`` (Jaccard) of their distinct ``shingle``-word shingles is reached, again
+    with everything they reach. The smallest id of each final group stays. Wordless and NULL texts
+    are one group.
+    """
+    keyed = docs.select(F.struct(F.col(id_col).alias("id"), F.col(row).alias("row")).alias("_id"), F.col(text).alias("_text"))
+    groups = stage(near_groups(keyed, "_id", "_text"), "groups")
+    heads = groups.where("_id = component_id").select("_id", "fingerprint")
+    found = stage(near_pairs(heads.where("fingerprint != 0").select("fingerprint"), WIDE, WIDE_PARTS, WIDE_SPREAD), "wide")
+    asked = heads.join(found.select(F.explode(F.array("a", "b")).alias("fingerprint")).distinct(), "fingerprint")
+    texts = keyed.join(asked.select(F.col("_id").alias("_own"), "fingerprint"), F.col("_id.row") == F.col("_own.row"))
+    sets = stage(in_pieces(texts).select("fingerprint", shingles(F.col("_text"), shingle).alias("s")).withColumn("n", F.size("s")), "shingles")
+    sizes = sets.select("fingerprint", "n")
+    few, many = F.least("na", "nb"), F.greatest("na", "nb")
+    likely = (found.join(sizes.select(F.col("fingerprint").alias("a"), F.col("n").alias("na")), "a")
+              .join(sizes.select(F.col("fingerprint").alias("b"), F.col("n").alias("nb")), "b").where(few >= many * similarity))
+    both = F.size(F.array_intersect("sa", "sb"))
+    same = (likely.join(sets.select(F.col("fingerprint").alias("a"), F.col("s").alias("sa")), "a")
+            .join(sets.select(F.col("fingerprint").alias("b"), F.col("s").alias("sb")), "b")
+            .where(both >= similarity * (F.col("na") + F.col("nb") - both)).select("a", "b"))
+    roots = components(stage(same, "similar"))
+    joined = heads.join(roots, heads["fingerprint"] == roots["node"])
+    least = joined.groupBy("root").agg(F.min("_id").alias("least"))
+    lost = joined.join(least, "root").where("_id != least").select(F.col("_id.row").alias("lost"))
+    kept = heads.select(F.col("_id.row").alias("head")).join(lost, F.col("head") == F.col("lost"), "left_anti")
+    return docs.select(row).join(kept, F.col(row) == F.col("head"), "left").select(row, F.col("head").isNotNull().alias("kept"))

@@ -10,8 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-#: Rows that a bucket holds on average.
-BUCKET_ROWS = 20_000
+#: Rows that a bucket holds on average in a large table; a small one is dealt to up to ``BUCKETS``, for even tasks.
+BUCKET_ROWS, BUCKETS = 20_000, 512
 
 
 def draw(seed: int, *cols: Column) -> Column:
@@ -25,7 +25,7 @@ def share(digest: Column) -> Column:
 
 
 def buckets(rows: int) -> int:
-    return max(1, -(-rows // BUCKET_ROWS))
+    return max(-(-rows // BUCKET_ROWS), min(BUCKETS, -(-rows // 100)), 1)
 
 
 def ranked(df: DataFrame, keys: list[str], fraction: str, order: list[str], n: int, rank: str,
