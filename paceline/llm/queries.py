@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from paceline.llm import ann, chat, decontam, html, langid, linededup, mixing, quality, sharding, simhash
+from paceline.llm import ann, chat, decontam, html, langid, linededup, mixing, quality, sharding, simhash, sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -42,7 +42,7 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumn("n_chars", F.char_length("text").cast("long")))
 
 
-@query("op3_sharding")
+@query("op3_sharding", sql.OP3)
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot, grown_shard for every document."""
     return (sharding.assign(table(spark, sf_dir, "documents"))
@@ -81,7 +81,7 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents")).select("doc_id", "held_out", "lang_pred", "score")
 
 
-@query("op6_line_dedup")
+@query("op6_line_dedup", sql.OP6)
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_lines, n_exact, n_near, n_chars, text_md5 of every document after line dedup."""
     return (linededup.dedup_lines(table(spark, sf_dir, "documents"))
@@ -96,14 +96,14 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "held_out", "score", "predicted"))
 
 
-@query("op8_mixing")
+@query("op8_mixing", sql.OP8)
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, size, source_size, target, taken for every document."""
     return (mixing.takings(table(spark, sf_dir, "documents"))
             .select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken"))
 
 
-@query("op9_decontamination")
+@query("op9_decontamination", sql.OP9)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, item_id, item_tokens, matched, stretch, doc_start of every leak of a benchmark item."""
     return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_key")
