@@ -20,7 +20,7 @@ own AS (SELECT doc_id, source, hex(encode(coalesce(text, ''))) AS x, {_draw(shar
 bytes AS (SELECT doc_id, source, draw, CAST(length(x) // 2 AS BIGINT) AS n,
   list_transform(regexp_extract_all(x, '..'), lambda b: CAST('0x' || b AS BIGINT)) AS b FROM own),
 sums AS (SELECT doc_id, source, draw, n + 8 AS size,
-  xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), b), lambda a, y: xor(a >> 8, t[xor(a, y) & 255 + 1])), 4294967295) AS text_crc32
+  xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), b), lambda a, y: xor(a >> 8, t[(xor(a, y) & 255) + 1])), 4294967295) AS text_crc32
   FROM bytes, crc),
 ranks AS (SELECT *, (row_number() OVER (PARTITION BY source ORDER BY draw, doc_id) - 1 + 0.5::DOUBLE)
   / count(*) OVER (PARTITION BY source) AS f FROM sums),
