@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from paceline.operators.keyed import attach_quantiles, group_quantiles, top_by
-from paceline.operators.ordered import LANE, count_drops, drop_halo, lane_of, with_halo
+from paceline.operators.ordered import dense_position, LANE, count_drops, drop_halo, lane_of, with_halo
 from paceline.roles import Roles
 from paceline.session import stage
 
@@ -74,13 +74,12 @@ def relative_pace(df: DataFrame, roles: Roles) -> DataFrame:
 
 def fuel_corrected(df: DataFrame, roles: Roles, rate: float = FUEL_SECONDS_PER_LAP,
                    sign: float = -1.0) -> DataFrame:
-    """Append lap_position (0-based inside the run) and the fuel-corrected measure.
+    """Append lap_position (0-based among the rows of the run) and the fuel-corrected measure.
 
-    ``seq`` is dense, so the position is the distance to the first lap of the run.
+    Laps that are missing from the table do not count.
     """
-    start = df.groupBy(*roles.run_keys).agg(F.min(roles.seq).alias("_start"))
-    pos = F.col(roles.seq) - F.col("_start")
-    return (df.join(start, roles.run_keys, "left")
+    pos = F.col("_pos") - 1
+    return (dense_position(df, roles.run_keys, [roles.seq], lane_of(roles.seq), "_pos")
             .select(*df.columns, pos.alias("lap_position"),
                     (F.col(roles.measure) + F.lit(sign * rate) * pos).alias("fuel_corrected")))
 
@@ -110,20 +109,21 @@ def lap_features(df: DataFrame, roles: Roles, fuel: bool = True, rate: float = F
                  lane_rows: int | None = None) -> DataFrame:
     """All lap features: compound ordinal, run, pace, fuel correction, delta, normalised age.
 
-    First lap and oldest tyre of a run come from one aggregation, the run median from another, and
-    both are joined on the run. The run numbering feeds four branches, so it is written once.
+    The position in a run counts its rows, so missing laps do not matter. Oldest tyre and median of a
+    run are joined on the run. The run numbering feeds four branches, so it is written once.
     """
     out = stage(detect_stints(df, roles, lane_rows), "runs")
     out = out.withColumn("compound_ordinal", compound_ordinal(roles.category))
-    per_run = out.groupBy(*roles.run_keys).agg(F.min(roles.seq).alias("_start"),
-                                               F.max(roles.age).alias("_top"))
-    pos = F.col(roles.seq) - F.col("_start")
-    base = F.col(roles.measure) - F.lit(rate) * pos if fuel else F.col(roles.measure)
+    per_run = out.groupBy(*roles.run_keys).agg(F.max(roles.age).alias("_top"))
+    base = F.col(roles.measure)
+    if fuel:
+        out = dense_position(out, roles.run_keys, [roles.seq], lane_of(roles.seq, lane_rows), "_pos")
+        base = base - F.lit(rate) * (F.col("_pos") - 1)
     out = (out.join(per_run, roles.run_keys)
            .withColumn("fuel_corrected", base)
            .withColumn("age_normalized", F.when(F.col("_top") > 0, F.col(roles.age) / F.col("_top"))
                        .otherwise(F.lit(0.0)))
-           .drop("_start", "_top"))
+           .drop("_pos", "_top"))
     out = run_delta(out, roles)
     return relative_pace(out if fuel else out.drop("fuel_corrected"), roles)
 

@@ -6,8 +6,6 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.ml import Pipeline
-from pyspark.ml.feature import OneHotEncoder, RobustScaler, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,9 +16,6 @@ from paceline.operators.tiles import tile_pairs
 
 _NUMERIC = ("double", "float", "int", "bigint", "smallint", "tinyint")
 
-#: More categories than this are no low-cardinality label, and no column each is made for them.
-MAX_CATEGORIES = 1000
-
 
 def numeric_columns(df: DataFrame) -> list[str]:
     return [c for c, t in df.dtypes if t in _NUMERIC or t.startswith("decimal")]
@@ -118,20 +113,29 @@ def knn_impute(df: DataFrame, row_id: str, columns: Sequence[str], k: int = 5, k
 
 
 def categories(df: DataFrame, column: str) -> list:
-    """Sorted distinct values; refuses a column that is no low-cardinality label."""
-    seen = (df.where(F.col(column).isNotNull()).select(column).distinct()
-            .orderBy(column).limit(MAX_CATEGORIES + 1).collect())
-    if len(seen) > MAX_CATEGORIES:
-        raise ValueError(f"{column} has more than {MAX_CATEGORIES} categories")
-    return [r[0] for r in seen]
+    """Sorted distinct values of a label; each becomes a column, so they pass through the driver as column names do."""
+    return sorted(r[0] for r in df.where(F.col(column).isNotNull()).select(column).distinct().collect())
+
+
+def one_hot_long(df: DataFrame, row_id: str, columns: Sequence[str], drop_first: bool = False) -> DataFrame:
+    """(row_id, column, value): the ones of :func:`one_hot` as rows, for labels with any number of values."""
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns if c in df.columns])
+    long = df.select(row_id, F.explode(cells).alias("_cell")).select(row_id, "_cell.*").where(F.col("value").isNotNull())
+    if drop_first:
+        first = long.groupBy("column").agg(F.min("value").alias("value"))
+        long = long.join(first, ["column", "value"], "left_anti").select(row_id, "column", "value")
+    return long
+
 
+def one_hot(df: DataFrame, columns: Sequence[str], drop_first: bool = False, values: dict[str, Sequence] | None = None) -> DataFrame:
+    """Replace each column by 0/1 columns ``<column>_<value>`` in order of the values; NULL gives zeros.
 
-def one_hot(df: DataFrame, columns: Sequence[str], drop_first: bool = False) -> DataFrame:
-    """Replace each column by 0/1 columns ``<column>_<value>`` in order of the values; NULL gives zeros."""
+    ``values`` names the categories; what is not among them gives zeros too. Without it the table is asked.
+    """
     columns = [c for c in columns if c in df.columns]
     new: list[Column] = []
     for c in columns:
-        for v in categories(df, c)[1 if drop_first else 0:]:
+        for v in (values[c] if values and c in values else categories(df, c))[1 if drop_first else 0:]:
             new.append(F.coalesce((F.col(c) == F.lit(v)).cast("int"), F.lit(0)).alias(f"{c}_{v}"))
     return df.select(*[c for c in df.columns if c not in columns], *new)
 
@@ -171,24 +175,15 @@ def scale(df: DataFrame, columns: Sequence[str] | None = None, kind: str = "robu
     return out.select(*[done.get(c, F.col(c)) for c in df.columns])
 
 
-def feature_pipeline(numeric: Sequence[str], categorical: Sequence[str], scaler: str = "robust") -> Pipeline:
-    """A pyspark.ml pipeline to one ``features`` vector: scaled numbers and dropped-first one-hot labels."""
-    stages = [VectorAssembler(inputCols=list(numeric), outputCol="_numeric", handleInvalid="keep")]
-    if scaler == "robust":
-        stages.append(RobustScaler(inputCol="_numeric", outputCol="_scaled", withCentering=True))
-    elif scaler == "standard":
-        stages.append(StandardScaler(inputCol="_numeric", outputCol="_scaled", withMean=True))
-    else:
-        raise ValueError(f"unknown scaler {scaler!r}")
-    parts = ["_scaled"]
-    if categorical:
-        index, hot = [f"_{c}_index" for c in categorical], [f"_{c}_hot" for c in categorical]
-        stages.append(StringIndexer(inputCols=list(categorical), outputCols=index, handleInvalid="keep",
-                                    stringOrderType="alphabetAsc"))
-        stages.append(OneHotEncoder(inputCols=index, outputCols=hot, dropLast=True, handleInvalid="keep"))
-        parts += hot
-    stages.append(VectorAssembler(inputCols=parts, outputCol="features"))
-    return Pipeline(stages=stages)
+def feature_pipeline(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], scaler: str = "robust",
+                     values: dict[str, Sequence] | None = None) -> DataFrame:
+    """Scaled numbers, then 0/1 columns of the labels without their first value.
+
+    A NULL or (with ``values``) unknown label gives zeros. Other columns are kept in front.
+    """
+    scaled = scale(df, numeric, scaler)
+    rest = [c for c in df.columns if c not in numeric and c not in categorical]
+    return one_hot(scaled.select(*rest, *numeric, *categorical), categorical, drop_first=True, values=values)
 
 
 def encode_and_scale(df: DataFrame, categorical: Sequence[str], columns: Sequence[str], structural: str,

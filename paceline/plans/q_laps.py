@@ -142,6 +142,24 @@ def lap_features(spark, sf_dir):
     return rounded(ops.lap_features(named(spark, sf_dir), ROLES), "measure")
 
 
+# Every fifth lap is missing from the table.
+_GAPS_SQL = f"WITH {LAPS_SQL.replace('laps AS (', 'every_lap AS (')}, laps AS (SELECT * FROM every_lap WHERE seq % 5 <> 0), {GAPPY_SQL} "
+
+
+@query("lap_features_gaps", _GAPS_SQL + FEATURES_SQL + """ SELECT entity, seq, category, rank, age, run, compound_ordinal, measure,
+ round(fuel_corrected, 6) AS fuel_corrected, round(age_normalized, 6) AS age_normalized,
+ round(lap_delta, 6) AS lap_delta, round(relative_pace, 6) AS relative_pace FROM features""")
+def lap_features_gaps(spark, sf_dir):
+    return rounded(ops.lap_features(named(spark, sf_dir).where("seq % 5 <> 0"), ROLES), "measure")
+
+
+@query("fuel_corrected_gaps", _GAPS_SQL + """ SELECT entity, seq, run, p AS lap_position, round(measure - 0.065 * p, 6) AS fuel_corrected FROM
+ (SELECT *, row_number() OVER (PARTITION BY entity, run ORDER BY seq) - 1 AS p FROM runs)""")
+def fuel_corrected_gaps(spark, sf_dir):
+    kept = ops.detect_stints(gappy(spark, sf_dir).where("seq % 5 <> 0"), ROLES)
+    return rounded(ops.fuel_corrected(kept.select("entity", "seq", "run", "measure"), ROLES).drop("measure"))
+
+
 @query("structural_filter", with_laps("""
  SELECT entity, seq, measure, measure > 1.5 * median(measure) OVER (PARTITION BY entity) AS is_structural FROM laps"""))
 def structural_filter(spark, sf_dir):

@@ -85,20 +85,39 @@ def scale_auto(spark, sf_dir):
     return rounded(prep.scale(src))
 
 
-@query("encode_and_scale", """WITH t AS (SELECT p_partkey, p_type, CAST(p_size AS DOUBLE) AS p_size FROM part WHERE NOT p_retailprice > 1000),
-  q AS (SELECT quantile_cont(p_size, [0.25, 0.5, 0.75]) AS a FROM t)
-  SELECT p_partkey, round((p_size - a[2]) / (a[3] - a[1]), 6) AS p_size, CAST(p_type = 'ECONOMY' AS INTEGER) AS p_type_ECONOMY, CAST(p_type = 'LARGE' AS INTEGER) AS p_type_LARGE,
-  CAST(p_type = 'MEDIUM' AS INTEGER) AS p_type_MEDIUM, CAST(p_type = 'PROMO' AS INTEGER) AS p_type_PROMO,
-  CAST(p_type = 'SMALL' AS INTEGER) AS p_type_SMALL, CAST(p_type = 'STANDARD' AS INTEGER) AS p_type_STANDARD FROM t, q""")
-def encode_and_scale(spark, sf_dir):
+def _encoded_sql(where: str) -> str:
+    hot = ", ".join(f"CAST(p_type = '{v}' AS INTEGER) AS p_type_{v}" for v in ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"))
+    return f"""SELECT p_partkey, round((p_size - a[2]) / (a[3] - a[1]), 6) AS p_size, {hot} FROM
+  (SELECT p_partkey, p_type, CAST(p_size AS DOUBLE) AS p_size FROM part {where}),
+  (SELECT quantile_cont(CAST(p_size AS DOUBLE), [0.25, 0.5, 0.75]) AS a FROM part {where})"""
+
+
+def _encoded(spark, sf_dir):
     src = table(spark, sf_dir, "part").select("p_partkey", "p_type", F.col("p_size").cast("double").alias("p_size"),
                                               (F.col("p_retailprice") > 1000).alias("slow"))
-    return rounded(prep.encode_and_scale(src, ["p_type"], ["p_size"], "slow")[1])
+    return prep.encode_and_scale(src, ["p_type"], ["p_size"], "slow")
+
+
+@query("encode_and_scale", _encoded_sql("WHERE NOT p_retailprice > 1000"))
+def encode_and_scale(spark, sf_dir):
+    return rounded(_encoded(spark, sf_dir)[1])
+
+
+@query("encode_and_scale_all", _encoded_sql(""))
+def encode_and_scale_all(spark, sf_dir):
+    return rounded(_encoded(spark, sf_dir)[0])
+
+
+@query("one_hot_long", """SELECT p_partkey, c AS "column", v AS value FROM (SELECT p_partkey, 'p_type' AS c, p_type AS v FROM part
+  UNION ALL SELECT p_partkey, 'p_name', p_name FROM part) WHERE v IS NOT NULL
+  AND v <> CASE c WHEN 'p_type' THEN (SELECT min(p_type) FROM part) ELSE (SELECT min(p_name) FROM part) END""")
+def one_hot_long(spark, sf_dir):
+    return prep.one_hot_long(table(spark, sf_dir, "part"), "p_partkey", ["p_type", "p_name"], drop_first=True)
 
 
-@query("feature_pipeline")
+@query("feature_pipeline", """WITH q AS (SELECT quantile_cont(CAST(p_size AS DOUBLE), [0.25, 0.5, 0.75]) AS a, quantile_cont(p_retailprice, [0.25, 0.5, 0.75]) AS b FROM part)
+  SELECT p_partkey, round((p_size - a[2]) / (a[3] - a[1]), 6) AS p_size, round((p_retailprice - b[2]) / (b[3] - b[1]), 6) AS p_retailprice, """
+       + ", ".join(f"CAST(p_type = '{v}' AS INTEGER) AS p_type_{v}" for v in ("LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")) + " FROM part, q")
 def feature_pipeline(spark, sf_dir):
     src = table(spark, sf_dir, "part").select("p_partkey", "p_type", F.col("p_size").cast("double").alias("p_size"), "p_retailprice")
-    model = prep.feature_pipeline(["p_size", "p_retailprice"], ["p_type"]).fit(src)
-    from pyspark.ml.functions import vector_to_array
-    return model.transform(src).select("p_partkey", vector_to_array("features").alias("features"))
+    return rounded(prep.feature_pipeline(src, ["p_size", "p_retailprice"], ["p_type"]))
