@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from paceline.operators.keyed import attach_stats
 from paceline.operators.stats import clean_number
-from paceline.session import stage
+from paceline.session import discard, stage
 
 CLUSTERS = 3
 NOISE = -1
@@ -52,15 +52,15 @@ def _nearest(features: Column, centroids: Column) -> Column:
         squared_distance(c, features).alias("d"), j.cast("int").alias("label"))))
 
 
-def kmeans_centroids(points: DataFrame, keys: Sequence[str], dims: int, k: int = CLUSTERS, max_iter: int = 20,
-                     tol: float | None = 1e-6) -> DataFrame:
+def kmeans_centroids(points: DataFrame, keys: Sequence[str], dims: int, k: int = CLUSTERS, tol: float = 1e-6) -> DataFrame:
     """(keys, _c): k centroids per group with at least k rows, by Lloyd's iteration.
 
     ``points`` holds the keys and ``_f``, an array of ``dims`` numbers. Seeds lie on the diagonal
     through the group mean, one population deviation apart, so results do not depend on chance or
     on partitioning. An iteration is one join with the small centroid table and one aggregation that
     combines on the map side; the new centroids are written and read back, which keeps the plan flat.
-    ``tol=None`` runs exactly ``max_iter`` rounds.
+    Rounds go on until no centroid of any group moves by more than ``tol``. Every round lowers the
+    inertia or is the last, so there is no number of rounds to choose.
     """
     keys = list(keys)
     f = [F.col("_f")[i] for i in range(dims)]
@@ -71,7 +71,7 @@ def kmeans_centroids(points: DataFrame, keys: Sequence[str], dims: int, k: int =
                      for j in range(k)])
     grouped = points.groupBy(*keys).agg(*aggs) if keys else points.agg(*aggs)
     cents = stage(grouped.where(F.col("_n") >= k).select(*keys, seed.alias("_c")), "centroids")
-    for _ in range(max_iter):
+    while True:
         labelled = _with(points, cents, keys).select(*keys, "_f", _nearest(F.col("_f"), F.col("_c"))["label"].alias("_l"))
         means = labelled.groupBy(*keys, "_l").agg(F.array(*[F.avg(x) for x in f]).alias("_v"))
         per_label = F.map_from_entries(F.collect_list(F.struct("_l", "_v"))).alias("_new")
@@ -79,25 +79,22 @@ def kmeans_centroids(points: DataFrame, keys: Sequence[str], dims: int, k: int =
         # A centroid that lost all its rows stays where it was.
         new = F.transform(F.col("_c"), lambda c, j: F.coalesce(F.try_element_at("_new", j.cast("int")), c))
         shift = F.array_max(F.zip_with("_c", "_now", squared_distance))
-        cents = stage(_with(cents, moved, keys).withColumn("_now", new)
-                      .select(*keys, F.col("_now").alias("_c"), shift.alias("_shift")), "centroids")
-        if tol is not None:
-            worst = cents.agg(F.max("_shift")).first()[0]
-            if worst is None or worst <= tol * tol:
-                break
-        cents = cents.drop("_shift")
-    return cents.drop("_shift")
-
-
-def kmeans(df: DataFrame, keys: Sequence[str], features: Sequence[str], k: int = CLUSTERS, max_iter: int = 20,
-           tol: float | None = 1e-6) -> DataFrame:
+        before, cents = cents, stage(_with(cents, moved, keys).withColumn("_now", new)
+                                     .select(*keys, F.col("_now").alias("_c"), shift.alias("_shift")), "centroids")
+        discard(before)
+        worst = cents.agg(F.max("_shift")).first()[0]
+        if worst is None or worst <= tol * tol:
+            return cents.drop("_shift")
+
+
+def kmeans(df: DataFrame, keys: Sequence[str], features: Sequence[str], k: int = CLUSTERS, tol: float = 1e-6) -> DataFrame:
     """Append cluster_label and cluster_centroid_distance; groups below k rows get -1 and NULL.
 
     So do rows with a missing feature; impute before to have them clustered.
     """
     require(df, features)
     points = stage(df.where(complete(features)).select(*keys, vector(features).alias("_f")), "points")
-    cents = kmeans_centroids(points, keys, len(features), k, max_iter, tol)
+    cents = kmeans_centroids(points, keys, len(features), k, tol)
     near = F.when(complete(features), _nearest(vector(features), F.col("_c")))
     out = _with(df, cents, keys, "left").withColumn("_near", near)
     return out.select(*df.columns, F.coalesce(F.col("_near.label"), F.lit(NOISE)).alias("cluster_label"),

@@ -142,10 +142,10 @@ def quality_verdict(q: DataFrame, silhouette_pass: float = SILHOUETTE_PASS,
 
 
 def choose_k(df: DataFrame, keys: Sequence[str], row_id: str, features: Sequence[str],
-             ks: Sequence[int] = (2, 3, 4, 5, 6), method: str = "silhouette", max_iter: int = 20) -> DataFrame:
+             ks: Sequence[int] = (2, 3, 4, 5, 6), method: str = "silhouette") -> DataFrame:
     """(keys, k): the k of best silhouette, or of the sharpest bend of the inertia."""
     ks = list(ks)
-    runs = {k: kmeans(df, keys, features, k, max_iter) for k in ks}
+    runs = {k: kmeans(df, keys, features, k) for k in ks}
     if method == "silhouette":
         scored = [silhouette(r.where(F.col("cluster_label") != NOISE), keys, row_id, features)
                   .select(*keys, F.lit(k).alias("k"), F.col("silhouette_score").alias("_s")) for k, r in runs.items()]

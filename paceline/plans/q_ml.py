@@ -14,9 +14,12 @@ ROLES = Roles()
 
 _F2 = ["lap_delta", "age_normalized"]
 
+#: Rounds that the SQL unrolls; the job stops by itself at the fixed point.
+ROUNDS = 40
+
 
 def _kmeans_sql(src: str, keys: str, feats: list[str], k: int, rounds: int, row: str) -> str:
-    """Lloyd's iteration unrolled; leaves the CTE ``km`` with label and distance."""
+    """Lloyd's iteration unrolled, for more rounds than any group needs; leaves the CTE ``km`` with label and distance."""
     dims = range(len(feats))
     kk = f"{keys}, " if keys else ""
     on = f"USING ({keys})" if keys else "ON true"
@@ -28,24 +31,24 @@ def _kmeans_sql(src: str, keys: str, feats: list[str], k: int, rounds: int, row:
     dist = " + ".join(f"power(f{i} - c{i}, 2)" for i in dims)
     for r in range(rounds + 1):
         part = f"{kk}{row}"
-        out.append(f"a{r} AS (SELECT {kk}{row}, {', '.join(f'f{i}' for i in dims)}, j, d FROM (SELECT p.*, c.j, {dist} AS d, "
+        out.append(f"a{r} AS MATERIALIZED (SELECT {kk}{row}, {', '.join(f'f{i}' for i in dims)}, j, d FROM (SELECT p.*, c.j, {dist} AS d, "
                    f"row_number() OVER (PARTITION BY {part} ORDER BY {dist}, c.j) AS rn FROM pts p JOIN c{r} c {on}) WHERE rn = 1)")
         if r < rounds:
             means = ", ".join(f"avg(f{i}) AS n{i}" for i in dims)
-            out.append(f"c{r + 1} AS (SELECT {kk}j, {', '.join(f'coalesce(n{i}, c{i}) AS c{i}' for i in dims)} FROM c{r} "
+            out.append(f"c{r + 1} AS MATERIALIZED (SELECT {kk}j, {', '.join(f'coalesce(n{i}, c{i}) AS c{i}' for i in dims)} FROM c{r} "
                        f"LEFT JOIN (SELECT {kk}j, {means} FROM a{r} GROUP BY {kk}j) USING ({kk}j))")
     out.append(f"km AS (SELECT {kk}{row}, CAST(coalesce(j, -1) AS INTEGER) AS cluster_label, sqrt(d) AS cluster_centroid_distance, "
                f"{', '.join(f'p.f{i} AS f{i}' for i in dims)} FROM allp p LEFT JOIN (SELECT {kk}{row}, j, d FROM a{rounds}) USING ({kk}{row}))")
     return ", ".join(out)
 
 
-KMEANS_SQL = FEATURES_SQL + ", " + _kmeans_sql("features", "entity", _F2, 3, 4, "seq")
+KMEANS_SQL = FEATURES_SQL + ", " + _kmeans_sql("features", "entity", _F2, 3, ROUNDS, "seq")
 
 
 def clustered(spark, sf_dir):
-    """Laps clustered in four fixed rounds, kept as a table."""
+    """Clustered laps, kept as a table."""
     def build(s, d):
-        return clustering.kmeans(features(s, d).select("entity", "seq", *_F2), ["entity"], _F2, max_iter=4, tol=None)
+        return clustering.kmeans(features(s, d).select("entity", "seq", *_F2), ["entity"], _F2)
     return staged(spark, sf_dir, "clustered", build)
 
 
@@ -53,30 +56,31 @@ def clustered(spark, sf_dir):
  round(f0, 6) AS lap_delta, round(f1, 6) AS age_normalized FROM km"""))
 def kmeans(spark, sf_dir):
     src = features(spark, sf_dir).select("entity", "seq", *_F2)
-    return rounded(clustering.kmeans(src, ["entity"], _F2, max_iter=4, tol=None))
+    return rounded(clustering.kmeans(src, ["entity"], _F2))
 
 
 @query("kmeans_small_groups", with_laps("""
- , few AS (SELECT entity * 100 + seq // 2 AS g, seq, measure FROM laps), """ + _kmeans_sql("few", "g", ["measure"], 3, 2, "seq") + """
+ , few AS (SELECT entity * 100 + seq // 2 AS g, seq, measure FROM laps), """ + _kmeans_sql("few", "g", ["measure"], 3, 12, "seq") + """
  SELECT g, seq, cluster_label, round(cluster_centroid_distance, 6) AS cluster_centroid_distance FROM km"""))
 def kmeans_small_groups(spark, sf_dir):
     src = laps(spark, sf_dir).select((F.col("entity") * 100 + F.floor(F.col("seq") / 2)).alias("g"), "seq", "measure")
-    return rounded(clustering.kmeans(src, ["g"], ["measure"], max_iter=2, tol=None).drop("measure"))
+    return rounded(clustering.kmeans(src, ["g"], ["measure"]).drop("measure"))
 
 
-_EMB = [f"e{i}" for i in range(4)]
-_EMB_SQL = "emb AS (SELECT vec_id, label, " + ", ".join(f"CAST(embedding[{i + 1}] AS DOUBLE) AS e{i}" for i in range(4)) + " FROM embeddings)"
+_DIMS = 64
+_EMB = [f"e{i}" for i in range(_DIMS)]
+_EMB_SQL = "emb AS (SELECT vec_id, label, " + ", ".join(f"CAST(embedding[{i + 1}] AS DOUBLE) AS e{i}" for i in range(_DIMS)) + " FROM embeddings)"
 
 
 def emb(spark, sf_dir):
     return table(spark, sf_dir, "embeddings").select(
-        "vec_id", "label", *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(4)])
+        "vec_id", "label", *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(_DIMS)])
 
 
-@query("kmeans_global", f"WITH {_EMB_SQL}, " + _kmeans_sql("emb", "", _EMB, 3, 3, "vec_id")
+@query("kmeans_global", f"WITH {_EMB_SQL}, " + _kmeans_sql("emb", "", _EMB, 3, ROUNDS, "vec_id")
        + " SELECT vec_id, cluster_label, round(cluster_centroid_distance, 6) AS cluster_centroid_distance FROM km")
 def kmeans_global(spark, sf_dir):
-    out = clustering.kmeans(emb(spark, sf_dir), [], _EMB, max_iter=3, tol=None)
+    out = clustering.kmeans(emb(spark, sf_dir), [], _EMB)
     return rounded(out.select("vec_id", "cluster_label", "cluster_centroid_distance"))
 
 
@@ -190,7 +194,7 @@ def quality_verdict(spark, sf_dir):
 
 @query("choose_k")
 def choose_k(spark, sf_dir):
-    return metrics.choose_k(features(spark, sf_dir).select("entity", "seq", *_F2), ["entity"], "seq", _F2, (2, 3, 4), "elbow", max_iter=3)
+    return metrics.choose_k(features(spark, sf_dir).select("entity", "seq", *_F2), ["entity"], "seq", _F2, method="elbow")
 
 
 # Anomalies and cliffs by rule, so that SQL can follow.

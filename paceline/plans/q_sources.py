@@ -195,4 +195,4 @@ def stream_ingest(spark, sf_dir):
 @query("analysis_quality")
 def analysis_quality(spark, sf_dir):
     src = named(spark, sf_dir).withColumnRenamed("rank", "Position")
-    return run_analysis(src, Roles(rank="Position"), max_iter=5)["quality_scores"]
+    return run_analysis(src, Roles(rank="Position"))["quality_scores"]

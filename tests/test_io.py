@@ -113,7 +113,7 @@ def test_run_log_rejects_unknown_kind(spark):
 
 def test_analysis_tables(spark, sf_dir):
     src = laps(spark, sf_dir).where("entity < 6").select("entity", "seq", "measure", "age", "category", F.col("rank").alias("Position"))
-    out = run_analysis(src, Roles(rank="Position"), max_iter=3)
+    out = run_analysis(src, Roles(rank="Position"))
     assert {"laps_clustered", "laps_dense", "laps_anomalies", "tire_cliffs", "quality_scores", "executive_summary"} <= set(out)
     n = out["laps_processed"].count()
     assert out["laps_anomalies"].count() == n == out["laps_changepoints"].count()
