@@ -241,21 +241,22 @@ def event_counts(spark, sf_dir):
 
 
 @query("timeline_json", with_cf(EVENTS_SQL + """ SELECT race, lap, type, '{"lap":' || lap || ',"type":"' || type || '"' || coalesce(',"driver":"' || driver || '"', '')
-  || coalesce(',"winner":"' || winner || '"', '') || coalesce(',"loser":"' || loser || '"', '') || coalesce(',"deployed_on_lap":' || deployed_on_lap, '') || coalesce(',"duration_laps":' || duration_laps, '')
-  || coalesce(',"cause":"' || cause || '"', '') || coalesce(',"reason":"' || reason || '"', '') || '}' AS event FROM tl WHERE type IN ('driver_error', 'external_incident', 'safety_car', 'penalty', 'retirement')"""))
+  || coalesce(',"winner":"' || winner || '"', '') || coalesce(',"loser":"' || loser || '"', '') || coalesce(',"lap_time_drop_seconds":' || round(lap_time_drop_seconds, 3), '') || coalesce(',"cliff_validated":' || cliff_validated, '')
+  || coalesce(',"positions_lost":' || positions_lost, '') || coalesce(',"time_gained_seconds":' || round(time_gained_seconds, 3), '')
+  || coalesce(',"time_saved_seconds":' || round(time_saved_seconds, 3), '') || coalesce(',"deployed_on_lap":' || deployed_on_lap, '') || coalesce(',"duration_laps":' || duration_laps, '')
+  || coalesce(',"cause":"' || cause || '"', '') || coalesce(',"reason":"' || reason || '"', '') || '}' AS event FROM tl"""))
 def timeline_json(spark, sf_dir):
-    kinds = ["driver_error", "external_incident", "safety_car", "penalty", "retirement"]
-    return timeline.to_json_rows(events(spark, sf_dir).where(F.col("type").isin(kinds)), PART)
+    seconds = ["lap_time_drop_seconds", "time_gained_seconds", "time_saved_seconds"]
+    return timeline.to_json_rows(events(spark, sf_dir).withColumns({c: F.round(c, 3) for c in seconds}), PART)
 
 
-_BAD_SQL = """, bad AS (SELECT type, CASE WHEN lap % 5 = 0 THEN 0 ELSE lap END AS lap, CASE WHEN lap % 7 = 0 AND driver IS NOT NULL THEN 'TOOLONG' ELSE driver END AS driver, lap AS orig FROM tl
-   WHERE type IN ('driver_error', 'external_incident'))"""
+_BAD_SQL = """, bad AS (SELECT type, CASE WHEN lap % 5 = 0 THEN 0 ELSE lap END AS lap, CASE WHEN lap % 7 = 0 AND driver IS NOT NULL THEN 'TOOLONG' ELSE driver END AS driver, lap AS orig FROM tl)"""
 
 
 @query("contract_events", with_cf(EVENTS_SQL + _BAD_SQL + """ SELECT type, lap, driver, orig, concat_ws(',', CASE WHEN lap <= 0 THEN 'lap' END, CASE WHEN length(driver) <> 3 THEN 'driver_length' END) AS violations FROM bad"""))
 def contract_events(spark, sf_dir):
-    ev = events(spark, sf_dir).where(F.col("type").isin("driver_error", "external_incident")).withColumn("orig", F.col("lap"))
-    ev = (ev.withColumn("driver", F.when(F.col("orig") % 7 == 0, "TOOLONG").otherwise(F.col("driver")))
+    ev = events(spark, sf_dir).withColumn("orig", F.col("lap"))
+    ev = (ev.withColumn("driver", F.when((F.col("orig") % 7 == 0) & F.col("driver").isNotNull(), "TOOLONG").otherwise(F.col("driver")))
           .withColumn("lap", F.when(F.col("orig") % 5 == 0, F.lit(0).cast("long")).otherwise(F.col("lap"))))
     return contracts.check(ev, contracts.event_rules()).select(
         "type", "lap", "driver", "orig", F.array_join("violations", ",").alias("violations"))
