@@ -150,21 +150,20 @@ def result_columns(df: DataFrame) -> DataFrame:
                      F.coalesce(number("Points"), F.lit(0.0)).alias("points_value"))
 
 
-def result_features(df: DataFrame, part: Sequence[str], few_groups: bool = False) -> DataFrame:
+def result_features(df: DataFrame, part: Sequence[str]) -> DataFrame:
     """:func:`result_columns` plus normalised points and the performance score in [0, 1].
 
     Where all scores of a part are equal the min-max scaling has no value and the score is NULL.
     """
     rows = result_columns(df)
     keep = rows.columns
-    out = attach_stats(rows, part, [F.max("points_value").alias("_mp"), F.max("final_position").alias("_mx")],
-                       few_groups=few_groups)
+    out = attach_stats(rows, part, [F.max("points_value").alias("_mp"), F.max("final_position").alias("_mx")])
     share = F.when(F.col("_mp") > 0, F.col("points_value") / F.col("_mp")).otherwise(F.lit(0.0))
     place = F.when(F.col("_mx") > 0, (F.col("_mx") + 1 - F.coalesce("final_position", F.col("_mx") + 1))
                    / F.col("_mx")).otherwise(F.lit(0.0))
     raw = place - 0.1 * F.coalesce("position_change", F.lit(0.0)) + share
     out = out.select(*keep, share.alias("points_normalized"), raw.alias("_raw"))
-    wide = attach_stats(out, part, [F.max("_raw").alias("_hi"), F.min("_raw").alias("_lo")], few_groups=few_groups)
+    wide = attach_stats(out, part, [F.max("_raw").alias("_hi"), F.min("_raw").alias("_lo")])
     spread = F.col("_hi") - F.col("_lo")
     score = (F.when(F.col("_hi") > 0, (F.col("_raw") - F.col("_lo")) / F.when(spread > 0, spread))
              .otherwise(F.col("_raw")))

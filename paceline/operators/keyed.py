@@ -13,52 +13,55 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-#: A side with at most this many rows (checked, never assumed) may be broadcast.
-BROADCAST_ROWS = 20_000
-
 _ALL = "_all"
 
 
-def attach_small(df: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "left",
-                 max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Join an expectedly small table; broadcast it only when a bounded read proves it is small.
-
-    The check takes at most ``max_rows + 1`` rows to the driver. Up to ``max_rows`` the rows it
-    read *are* the broadcast side, so nothing is computed twice; beyond that the join shuffles.
-    """
-    head = small.limit(max_rows + 1).collect()
-    if len(head) > max_rows:
-        return df.join(small, list(keys), how)
-    local = small.sparkSession.createDataFrame(head, small.schema)
-    return df.join(F.broadcast(local), list(keys), how)
-
-
-def attach_stats(df: DataFrame, keys: Sequence[str], aggs: Sequence[Column], *,
-                 few_groups: bool = False) -> DataFrame:
+def attach_stats(df: DataFrame, keys: Sequence[str], aggs: Sequence[Column]) -> DataFrame:
     """Append per-group aggregates to every row.
 
     Rows with a NULL key get NULL statistics, because the join cannot match them. Without keys the
-    aggregate is exactly one row and is broadcast. ``few_groups`` asks for the size-checked
-    broadcast, which saves shuffling the rows when there are few groups with many rows each.
+    aggregate is exactly one row and is broadcast; else adaptive execution broadcasts the aggregates
+    where they turn out small.
     """
     keys = list(keys)
     if not keys:
         return df.join(F.broadcast(df.agg(*aggs)))
     stats = df.groupBy(*keys).agg(*aggs)
-    if few_groups:
-        return attach_small(df, stats, keys)
     return df.join(stats, keys, "left")
 
 
+#: Rank error of the sketch, as a share of the group, and rows from which it is narrower than a whole group.
+_SKETCH, _SKETCH_ROWS = 10_000, 20_000
+
+
+def _borders(df: DataFrame, keys: list[str], value: str, probs: dict[str, float | str]) -> DataFrame:
+    """(keys, _b, _n): rising borders that enclose the wanted ranks of each group closely, and its row count.
+
+    They come from a mergeable sketch, so outliers do not move them. A rank given by a column, or in
+    a small group, is enclosed by the minimum and maximum only.
+    """
+    fixed = sorted({float(p) for p in probs.values() if not isinstance(p, str)})
+    margin = 3 / _SKETCH
+    near = [min(max(p + d, 0.0), 1.0) for p in fixed for d in (-margin, margin)]
+    near += [] if len(fixed) == len(set(probs.values())) else [i / 50 for i in range(1, 50)]
+    aggs = [F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.count(F.lit(1)).alias("_n"),
+            F.percentile_approx("_v", near, _SKETCH).alias("_q")]
+    got = df.groupBy(*keys).agg(*aggs)
+    inner = F.when(F.col("_n") >= _SKETCH_ROWS, F.col("_q")).otherwise(F.array().cast("array<double>"))
+    return got.select(*keys, F.array_sort(F.array_distinct(F.concat(F.array("_lo", "_hi"), inner))).alias("_b"), "_n")
+
+
 def group_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float | str],
                     slices: int = 1024) -> DataFrame:
     """Exact linear-interpolated quantiles per group; one row per group with a non-NULL value.
 
     A probability is a number, or the name of a column that is constant inside a group.
 
-    Equal values are counted first. The distinct values of each group are cut into equal-width
-    slices, the slice counts locate the wanted ranks, and only the slices that hold a wanted rank
-    are ordered. No task ever sees more of a group than one slice of its distinct values.
+    Equal values are counted first. The values of a group are cut at borders close around the wanted
+    ranks, and between two borders into equal-width slices; slice counts locate the ranks, and only
+    the slices that hold a wanted rank are ordered. The borders follow the ranks, not the range, so
+    one far outlier does not put all other values into one slice. They decide who is sorted with
+    whom, never the result.
     """
     keys = list(keys)
     if not keys:
@@ -70,16 +73,16 @@ def group_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[
     present = F.col(value).isNotNull()
     for k in keys:
         present = present & F.col(k).isNotNull()
-    counts = (df.where(present).groupBy(*keys, F.col(value).cast("double").alias("_v"))
-              .agg(F.count(F.lit(1)).alias("_c"), *[F.max(p).alias(c) for p, c in shares.items()]))
-    bounds = counts.drop(*shares.values()).groupBy(*keys).agg(
-        F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.sum("_c").alias("_n"))
-    width = F.col("_hi") - F.col("_lo")
-    sliced = counts.join(bounds, keys).withColumn(
-        "_slice",
-        F.when(width > 0, F.least(F.lit(slices - 1),
-                                  F.floor((F.col("_v") - F.col("_lo")) / width * slices)
-                                  .cast("int"))).otherwise(F.lit(0)))
+    rows = df.where(present).select(*keys, F.col(value).cast("double").alias("_v"), *[F.col(p).alias(c) for p, c in shares.items()])
+    counts = rows.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"), *[F.max(c).alias(c) for c in shares.values()])
+    bounds = _borders(rows, keys, value, probs)
+    # Zone z lies between border z - 1 and border z; the last value of all belongs to the last zone.
+    zone = F.least(F.size(F.filter("_b", lambda b: b <= F.col("_v"))), F.greatest(F.size("_b") - 1, F.lit(1)))
+    left, right = F.get("_b", F.col("_zone") - 1), F.coalesce(F.get("_b", F.col("_zone")), F.get("_b", F.col("_zone") - 1))
+    sliced = (counts.join(bounds, keys).withColumn("_zone", zone).withColumn("_left", left).withColumn("_width", right - left)
+              .withColumn("_slice", F.col("_zone").cast("long") * slices + F.when(
+                  F.col("_width") > 0, F.least(F.lit(slices - 1), F.floor((F.col("_v") - F.col("_left")) / F.col("_width") * slices).cast("int")))
+                  .otherwise(F.lit(0))).drop("_b", "_zone", "_left", "_width"))
     over_slices = W.partitionBy(*keys).orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
     hist = (sliced.groupBy(*keys, "_slice").agg(F.sum("_c").alias("_sc"), F.first("_n").alias("_n"),
                                              *[F.max(c).alias(c) for c in shares.values()])

@@ -78,29 +78,26 @@ def _z_aggs(value: Column) -> list[Column]:
             F.stddev_samp(value).alias("group_std")]
 
 
-def statistical_features(df: DataFrame, value: str, keys: Sequence[str] = (), *,
-                         few_groups: bool = False) -> DataFrame:
+def statistical_features(df: DataFrame, value: str, keys: Sequence[str] = ()) -> DataFrame:
     """Append z_score, is_outlier, group_mean, group_std."""
     _require(df, value, *keys)
     v = clean_number(value)
-    out = attach_stats(df, keys, _z_aggs(v), few_groups=few_groups)
+    out = attach_stats(df, keys, _z_aggs(v))
     return out.select(*df.columns, *_z_columns(v), F.col("_mean").alias("group_mean"), "group_std")
 
 
-def degradation(df: DataFrame, x: str, y: str, keys: Sequence[str], *,
-                few_groups: bool = False) -> DataFrame:
+def degradation(df: DataFrame, x: str, y: str, keys: Sequence[str]) -> DataFrame:
     """Append the trend of the row's group."""
     _require(df, x, y, *keys)
-    return attach_stats(df, keys, trend(clean_number(y), clean_number(x)), few_groups=few_groups)
+    return attach_stats(df, keys, trend(clean_number(y), clean_number(x)))
 
 
-def enrich(df: DataFrame, value: str, keys: Sequence[str], *, x: str | None = None,
-           few_groups: bool = False) -> DataFrame:
+def enrich(df: DataFrame, value: str, keys: Sequence[str], *, x: str | None = None) -> DataFrame:
     """z-score, trend and description of the row's group, from a single aggregation pass."""
     _require(df, value, *keys, *([x] if x else []))
     v = clean_number(value)
     aggs = _z_aggs(v) + (trend(v, clean_number(x)) if x else []) + description(v, "group_")
-    out = attach_stats(df, keys, aggs, few_groups=few_groups)
+    out = attach_stats(df, keys, aggs)
     names = ["group_std", *(["degradation_slope", "degradation_r_squared", "degradation_intercept"]
                             if x else []),
              "group_nobs", "group_mean", "group_variance", "group_skewness", "group_kurtosis",

@@ -163,7 +163,7 @@ def results_like(spark, sf_dir):
  grid_position, position_change, position_gain, status_text, finish_status, dnf_category, points_value,
  round(points_normalized, 6) AS points_normalized, round(performance_score, 6) AS performance_score FROM results""")
 def result_features(spark, sf_dir):
-    return rounded(domain.result_features(results_like(spark, sf_dir), ["part"], few_groups=True))
+    return rounded(domain.result_features(results_like(spark, sf_dir), ["part"]))
 
 
 @query("dnf_category", "WITH " + RESULTS_SQL + """ SELECT dnf_category, finish_status, count(*) AS n, CAST(sum(position_gain) AS BIGINT) AS gained

@@ -36,7 +36,7 @@ _MOMENTS = """
    JOIN r USING (l_returnflag, l_linestatus)""")
 def enrich(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem").select(*_LINE)
-    out = stats.enrich(li, "l_extendedprice", _GROUP, x="l_quantity", few_groups=True)
+    out = stats.enrich(li, "l_extendedprice", _GROUP, x="l_quantity")
     four = ["group_std", "degradation_slope", "degradation_intercept", "group_mean"]
     for c in four:
         out = out.withColumn(c, F.round(c, 4))
@@ -65,7 +65,7 @@ def stat_features(spark, sf_dir):
  FROM (SELECT *, nullif(category, 'view') AS g FROM laps) WINDOW w AS (PARTITION BY g)"""))
 def stat_features_nullkey(spark, sf_dir):
     src = laps(spark, sf_dir).select("entity", "seq", F.nullif("category", F.lit("view")).alias("g"), "measure")
-    return rounded(stats.statistical_features(src, "measure", ["g"], few_groups=True))
+    return rounded(stats.statistical_features(src, "measure", ["g"]))
 
 
 @query("stat_features_global", """

@@ -97,12 +97,17 @@ def test_null_key_gets_null(spark):
     assert out == {None: None, "a": 2.0}
 
 
-def test_few_groups_falls_back_to_a_shuffle(df):
-    from paceline.operators.keyed import attach_small
-    small = df.groupBy("entity").agg(F.count("*").alias("n"))
-    a = attach_small(df, small, ["entity"], max_rows=1)
-    b = attach_small(df, small, ["entity"], max_rows=100)
-    assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+def test_quantiles_with_an_outlier(spark):
+    """The slices follow the ranks, so a far outlier leaves no slice with much of a large group."""
+    from paceline.operators import keyed
+    d = spark.range(60_000).select(F.lit(1).alias("g"), F.when(F.col("id") == 0, 1e12).otherwise(F.xxhash64("id") / 2.0 ** 63).alias("v"))
+    d = d.unionByName(spark.range(7).select(F.lit(2).alias("g"), F.col("id").cast("double").alias("v")))
+    got = {r.g: (r.a, r.m, r.z) for r in keyed.group_quantiles(d, ["g"], "v", {"a": 0.25, "m": 0.5, "z": 1.0}).collect()}
+    want = {r.g: tuple(r.q) for r in d.groupBy("g").agg(F.percentile("v", [0.25, 0.5, 1.0]).alias("q")).collect()}
+    assert got[1] == pytest.approx(want[1]) and got[2] == pytest.approx(want[2])
+    borders = keyed._borders(d.select("g", F.col("v").alias("_v")), ["g"], "_v", {"m": 0.5}).where("g = 1").first()._b
+    inside = d.where((F.col("g") == 1) & F.col("v").between(borders[1], borders[2])).count()
+    assert 0 < inside < 200
 
 
 def test_bounded_lists_split_big_groups(df):
