@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from paceline.llm import mixing, sharding
+from paceline.llm import common, mixing, sharding
 
 SCHEMA = "doc_id long, text string, source string, size string"
 
@@ -76,7 +76,7 @@ def test_schedule_is_even(spark):
 
 def test_whole_documents(spark):
     rows, df = frame(spark)
-    got = mixing.mixed(df.withColumn("_row", F.monotonically_increasing_id()).checkpoint(), "_row").groupBy("_row").count().collect()
+    got = mixing.mixed(common.with_row_id(df, "_row"), "_row").groupBy("_row").count().collect()
     assert got and max(r["count"] for r in got) <= 2
 
 
