@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paceline.operators.keyed import attach_stats
+from paceline.operators.keyed import attach_quantiles, attach_stats
 from paceline.operators.ordered import Scan, lane_of, prefix_scan
 from paceline.roles import Roles
 
@@ -173,7 +173,13 @@ def retirement_events(results: DataFrame, laps: DataFrame, control: DataFrame |
 
 
 def anomaly_z(laps: DataFrame, roles: Roles, delta: str | None = "lap_delta") -> DataFrame:
-    """Append z_score per entity of the delta, a missing delta counting as zero."""
+    """Append z_score per entity: of the delta, a missing delta counting as zero, or with ``delta=None``
+    of the measure, a missing measure counting as the median of its entity.
+    """
+    if delta is None:
+        laps = attach_quantiles(laps, roles.keys, roles.measure, {"_med": 0.5})
+        out = anomaly_z(laps.withColumn("_known", F.coalesce(F.col(roles.measure), F.col("_med"))), roles, "_known")
+        return out.drop("_known", "_med")
     v = F.coalesce(F.col(delta), F.lit(0.0))
     out = attach_stats(laps, roles.keys, [F.avg(v).alias("_m"), F.stddev_pop(v).alias("_s")])
     return out.select(*laps.columns, ((v - F.col("_m")) / F.when(F.col("_s") > 0, F.col("_s"))).alias("z_score"))

@@ -161,6 +161,14 @@ def anomaly_cause_no_control(spark, sf_dir):
     return ops.classify_anomalies(z, None, ROLES).select("entity", "seq", "anomaly_cause", "is_driver_error")
 
 
+@query("anomaly_z_measure", with_laps(""" SELECT entity, seq, round((m - avg(m) OVER w) / nullif(stddev_pop(m) OVER w, 0), 6) AS z_score FROM
+ (SELECT entity, seq, coalesce(v, median(v) OVER (PARTITION BY entity)) AS m FROM (SELECT entity, seq, CASE WHEN k % 6 <> 0 THEN measure END AS v FROM laps))
+ WINDOW w AS (PARTITION BY entity)"""))
+def anomaly_z_measure(spark, sf_dir):
+    src = laps(spark, sf_dir).select(F.col("entity").alias("part"), "entity", "seq", F.when(F.col("k") % 6 != 0, F.col("measure")).alias("measure"))
+    return rounded(ops.anomaly_z(src, ROLES, None).select("entity", "seq", "z_score"))
+
+
 @query("clear_external_errors", with_cf(DEPLOY_SQL + """,
  ext AS (SELECT part, lap FROM sclaps UNION SELECT part, unnest(range(Lap, Lap + 3)) FROM cf WHERE is_safety_car OR is_virtual_safety_car OR is_flag)
  SELECT entity, seq, k > 70 AS is_anomaly, NOT (k > 70 AND ext.lap IS NOT NULL) AS is_driver_error FROM laps

@@ -182,22 +182,22 @@ def race_section(spark, sf_dir):
 
 
 EVENTS_SQL = RACE_SQL + """
-, dep2 AS (SELECT d.race, d.Lap, d.seq, min(w.Lap) AS end_lap FROM rcx d LEFT JOIN rcx w ON w.race = d.race AND w.Lap >= d.Lap AND w.Message LIKE '%SAFETY CAR IN THIS LAP%'
+, dep2 AS MATERIALIZED (SELECT d.race, d.Lap, d.seq, min(w.Lap) AS end_lap FROM rcx d LEFT JOIN rcx w ON w.race = d.race AND w.Lap >= d.Lap AND w.Message LIKE '%SAFETY CAR IN THIS LAP%'
    WHERE d.Message LIKE '%SAFETY CAR DEPLOYED%' GROUP BY ALL),
  cand2 AS (SELECT race, Lap, seq, trim(Message) AS msg FROM rcx WHERE regexp_matches(Message, 'INCIDENT|RETIRED|COLLISION|ACCIDENT|CRASH|SPIN|OFF TRACK|DEBRIS|CONTACT', 'i')
    AND NOT regexp_matches(Message, 'SAFETY CAR|VIRTUAL|DRS|PIT LANE|TRACK CLEAR', 'i')),
- fc AS (SELECT d.race, d.Lap, d.seq, arg_min(c.msg, c.Lap * 1000000000 + c.seq) AS cause FROM dep2 d JOIN cand2 c ON c.race = d.race AND c.Lap BETWEEN d.Lap - 2 AND d.Lap GROUP BY ALL),
+ fc AS MATERIALIZED (SELECT d.race, d.Lap, d.seq, arg_min(c.msg, c.Lap * 1000000000 + c.seq) AS cause FROM dep2 d JOIN cand2 c ON c.race = d.race AND c.Lap BETWEEN d.Lap - 2 AND d.Lap GROUP BY ALL),
  tot AS (SELECT race, max(LapNumber) AS total FROM rl GROUP BY race), lst AS (SELECT race, Driver, max(LapNumber) AS last FROM rl GROUP BY ALL),
  rt AS (SELECT rs.race, Abbreviation AS driver, CASE WHEN last < total THEN last + 1 ELSE last END AS lap FROM rs JOIN lst ON lst.race = rs.race AND lst.Driver = Abbreviation
     JOIN tot ON tot.race = rs.race WHERE finish_status <> 1),
- rtc AS (SELECT rt.race, rt.driver, rt.lap, arg_min(trim(m.Message), m.seq) AS cause FROM rt LEFT JOIN rcx m ON m.race = rt.race AND m.Lap BETWEEN rt.lap - 1 AND rt.lap + 1
+ rtc AS MATERIALIZED (SELECT rt.race, rt.driver, rt.lap, arg_min(trim(m.Message), m.seq) AS cause FROM rt LEFT JOIN rcx m ON m.race = rt.race AND m.Lap BETWEEN rt.lap - 1 AND rt.lap + 1
     AND (contains(m.Message, rt.driver) OR regexp_matches(m.Message, 'RETIRED|RETIREMENT|WITHDREW', 'i')) GROUP BY ALL),
  pn AS (SELECT race, Lap AS lap, nullif(regexp_extract(Message, '\\(([A-Z]{2,3})\\)', 1), '') AS driver, nullif(regexp_extract(Message, ' - (.+)$', 1), '') AS r FROM rcx
    WHERE is_penalty AND NOT regexp_matches(Message, 'SERVED|UNDER INVESTIGATION|NO FURTHER|NOTED', 'i')),
  ch AS (SELECT race, Driver, LapNumber AS cl, measure / 10 - 2 AS mag, k > 85 AS val FROM rl WHERE k BETWEEN 80 AND 90 AND measure / 10 - 2 > 0),
  pl AS (SELECT c.race, c.Driver, c.cl, round_even(median(CASE WHEN l.LapNumber > c.cl THEN l.rank END) - median(CASE WHEN l.LapNumber < c.cl THEN l.rank END), 0) AS lost FROM ch c
    JOIN rl l ON l.race = c.race AND l.Driver = c.Driver AND l.LapNumber BETWEEN c.cl - 3 AND c.cl + 3 GROUP BY ALL),
- tl AS (
+ tl AS MATERIALIZED (
   SELECT race, CASE k % 3 WHEN 0 THEN 'driver_error' ELSE 'external_incident' END AS type, LapNumber AS lap, Driver AS driver, NULL::VARCHAR AS winner, NULL::VARCHAR AS loser,
     NULL::DOUBLE AS lap_time_drop_seconds, NULL::BOOLEAN AS cliff_validated, NULL::INTEGER AS positions_lost, NULL::DOUBLE AS time_gained_seconds, NULL::DOUBLE AS time_saved_seconds,
     NULL::BIGINT AS deployed_on_lap, NULL::BIGINT AS duration_laps, NULL::VARCHAR AS cause, NULL::VARCHAR AS reason

@@ -123,7 +123,12 @@ def winner_mentioned(spark, sf_dir):
     return _scored(spark, sf_dir).select("doc_id", ops.winner_score("winner", "lead", "titulo").alias("score"))
 
 
-@query("composite_score", "WITH x AS (SELECT 1)" + _SCORES_SQL + """ SELECT doc_id, round_even(w * 0.3 + 0.5 * 0.4 + 0.8 * 0.2 + CASE WHEN n BETWEEN 500 AND 800 THEN 0.1 WHEN n BETWEEN 400 AND 1000 THEN 0.05 ELSE 0 END, 3) AS score FROM sc""")
+@query("composite_score", with_cf(EVENTS_SQL + _COVER_SQL + _SCORES_SQL + """, cov AS (SELECT doc_id, round_even(avg(CASE WHEN contains(t, 'volta ' || lap) OR contains(t, 'lap ' || lap)
+   OR ('VER' IN (winner, loser) AND contains(t, 'verstappen')) OR ('HAM' IN (winner, loser) AND contains(t, 'hamilton')) THEN 1.0 ELSE 0.0 END), 3) AS c FROM rep JOIN evx ON evx.race = rep.race GROUP BY doc_id),
+ trm AS (SELECT doc_id, greatest(0, 1 - 0.1 * len(regexp_extract_all(lead, '\\b(tire cliff|drop_seconds|push %|base %|degraded %|anomaly|cliff_validated|ataque %|desgaste %|cluster|isolation forest|SOFT|MEDIUM|HARD|INTERMEDIATE)\\b', 0, 'i'))) AS p FROM rp)
+ SELECT doc_id, round_even(w * 0.3 + coalesce(c, 1) * 0.4 + p * 0.2 + CASE WHEN n BETWEEN 500 AND 800 THEN 0.1 WHEN n BETWEEN 400 AND 1000 THEN 0.05 ELSE 0 END, 3) AS score
+ FROM sc JOIN trm USING (doc_id) LEFT JOIN cov USING (doc_id)"""))
 def composite_score(spark, sf_dir):
-    s = ops.composite_score(ops.winner_score("winner", "lead", "titulo"), F.lit(0.5), F.lit(0.8), ops.word_count("lead"))
-    return _scored(spark, sf_dir).select("doc_id", s.alias("score"))
+    cover = event_coverage(spark, sf_dir).select("doc_id", "coverage")
+    s = ops.composite_score(ops.winner_score("winner", "lead", "titulo"), F.col("coverage"), ops.forbidden_score("lead"), ops.word_count("lead"))
+    return _scored(spark, sf_dir).join(cover, "doc_id").select("doc_id", s.alias("score"))
