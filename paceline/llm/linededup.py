@@ -23,11 +23,13 @@ MIN_WORDS = 5
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """(id, text_key, line, text, h1, h2, w): every line that has a word; ``w`` hashes its words."""
+    """(id, text_key, line, text, h1, h2): every line that has a word."""
     rows = docs.select("id", "text_key", F.posexplode(F.split("text", "\n", -1)).alias("line", "text"))
-    rows = rows.where(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
-    return rows.withColumns({"h1": F.xxhash64("text"), "h2": F.hash("text"),
-                             "w": F.transform(words(F.col("text")), lambda x: F.xxhash64(x))})
+    return rows.where(F.col("text").rlike(r"[^\x20\x09-\x0D]")).withColumns({"h1": F.xxhash64("text"), "h2": F.hash("text")})
+
+
+def _hashes(text: Column) -> Column:
+    return F.transform(words(text), lambda x: F.xxhash64(x))
 
 
 def _halves(w: Column) -> Column:
@@ -41,11 +43,11 @@ def _halves(w: Column) -> Column:
 
 
 def _variants(w: Column) -> Column:
-    """(at, key): the line itself at -1, and for each word the line without it."""
+    """(at, key): the line itself at -1, and for each word the line without it. Hashing two arrays in turn is hashing them joined."""
     n = F.size(w)
     whole = F.array(F.struct(F.lit(-1).alias("at"), F.xxhash64(w).alias("key")))
     return F.concat(whole, F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.struct(
-        i.alias("at"), F.xxhash64(F.concat(F.slice(w, F.lit(1), i), F.slice(w, i + 2, n))).alias("key"))))
+        i.alias("at"), F.xxhash64(F.slice(w, F.lit(1), i), F.slice(w, i + 2, n)).alias("key"))))
 
 
 def within_one_edit(a: Column, b: Column) -> Column:
@@ -64,7 +66,7 @@ def find_repeats(docs: DataFrame) -> DataFrame:
     """(id, text_key, line, near): lines to drop from ``docs(id, text_key, text)``. ``near``: an earlier line is within one edit, not equal."""
     lines = _lines(docs)
     place = F.struct("id", "line", "h1", "h2")
-    kinds = stage(lines.withColumn("n", F.size("w")).withColumn("halves", F.when(F.size("w") >= MIN_WORDS, _halves(F.col("w"))))
+    kinds = stage(lines.withColumn("w", _hashes(F.col("text"))).withColumn("n", F.size("w")).withColumn("halves", F.when(F.size("w") >= MIN_WORDS, _halves(F.col("w"))))
                   .groupBy("h1", "h2").agg(F.min(F.struct("id", "line", "text_key")).alias("first"), F.max("n").alias("n"),
                                            F.max("halves").alias("halves")), "lines")
     long = kinds.where(F.col("n") >= MIN_WORDS)
@@ -77,9 +79,10 @@ def find_repeats(docs: DataFrame) -> DataFrame:
         F.col("first.text_key").alias("_key"))
     texts = stage(lines.join(firsts, (F.col("h1") == F.col("_h1")) & (F.col("h2") == F.col("_h2")) & F.col("id").eqNullSafe(F.col("_id"))
                              & (F.col("line") == F.col("_line")) & (F.col("text_key") == F.col("_key")))
-                  .select("id", "line", "h1", "h2", "w").dropDuplicates(["h1", "h2"]), "words")
-    marks = (texts.select(place.alias("place"), F.explode(_variants(F.col("w"))).alias("v"))
-             .select("place", "v.key", "v.at"))
+                  .select("id", "line", "h1", "h2", "text").dropDuplicates(["h1", "h2"])
+                  .select("id", "line", "h1", "h2", _hashes(F.col("text")).alias("w")), "words")
+    marks = stage(texts.select(place.alias("place"), F.explode(_variants(F.col("w"))).alias("v"))
+                  .select("place", "v.key", "v.at"), "marks")
     firsts_at = stage(marks.groupBy("key", "at").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("c")), "variants")
     by_key = firsts_at.groupBy("key").agg(F.min(F.when(F.col("at") < 0, F.col("first"))).alias("whole"),
                                           F.min(F.when(F.col("at") >= 0, F.col("first"))).alias("cut"), F.sum("c").alias("all"))
