@@ -17,8 +17,8 @@ from paceline.session import stage
 # The keywords of the message feed, matched on upper(message) followed by upper(category).
 VIRTUAL_WORDS = ["VIRTUAL SAFETY CAR", "VSC DEPLOYED", "SAFETY CAR (VSC)"]
 SAFETY_WORDS = ["SAFETY CAR DEPLOYED", "SC DEPLOYED"]
-FLAG_WORDS = ["FLAG"]
-PENALTY_WORDS = ["PENALTY", "PENALISED", "DRIVE THROUGH", "STOP AND GO"]
+FLAG_WORDS = ["YELLOW FLAG", "RED FLAG", "GREEN FLAG", "BLUE FLAG", "FLAG"]
+PENALTY_WORDS = ["PENALTY", "PENALISED", "TIME PENALTY", "DRIVE THROUGH", "STOP AND GO"]
 CRITICAL_WORDS = ["RED FLAG", "SAFETY CAR DEPLOYED", "RACE SUSPENDED"]
 WARNING_WORDS = ["YELLOW FLAG", "VSC", "PENALTY", "INVESTIGATION"]
 CATEGORY_CODES = {"SafetyCar": 1, "Flag": 2, "Drs": 3, "CarEvent": 4, "Other": 0, "UNKNOWN": 0}

@@ -19,10 +19,10 @@ LAPS = ("Driver string, DriverNumber string, LapNumber int, LapTime_seconds doub
 TELEMETRY = ("Time_seconds double, Speed double, RPM double, Throttle double, Brake double, nGear int, DRS int, "
              "Distance double")
 RACE_CONTROL = "Time_seconds double, Category string, Message string, Lap int"
-WEATHER = ("Time_seconds double, AirTemp double, TrackTemp double, WindSpeed double, Humidity double, Pressure double, "
-           "Rainfall boolean")
-RESULTS = ("DriverNumber string, Abbreviation string, FullName string, TeamName string, Status string, "
-           "ClassifiedPosition string, Position double, GridPosition double, Points double")
+WEATHER = ("Time_seconds double, AirTemp double, TrackTemp double, Rainfall boolean, WindSpeed double, Humidity double, "
+           "Pressure double")
+RESULTS = ("DriverNumber string, Abbreviation string, FullName string, TeamName string, Position double, "
+           "GridPosition double, Points double, Status string, ClassifiedPosition string")
 EVENT_INFO = "event_name string, location string, country string"
 CALENDAR = ("RoundNumber int, EventName string, Country string, Location string, EventFormat string, "
             "EventDate timestamp, Session5DateUtc timestamp")
