@@ -71,15 +71,14 @@ def race_summary(results: DataFrame, laps: DataFrame, control: DataFrame, weathe
                  gap: str | None = None) -> DataFrame:
     """One row per race (and list of non-finishers): winner, laps, fastest lap, podium, DNFs, weather.
 
-    ``gap`` names a column with the gap text; without it lapped cars show laps and others their
-    position as seconds, as the report format has it. ``list_no`` is 0 unless the list of
+    ``gap`` names a column with the gap text; without it lapped cars show laps, and the gap of others
+    is not known. ``list_no`` is 0 unless the list of
     non-finishers is so long that it is split.
     """
     part = list(roles.part)
     code = F.substring("Abbreviation", 1, 3)
     pos = F.col("final_position")
-    text = (F.when(pos == 1, "0.000").when(F.trim("Status") == "Lapped", F.format_string("+%d lap(s)", (pos - 1).cast("int")))
-            .otherwise(F.format_string("+%.3fs", pos)))
+    text = F.when(pos == 1, "0.000").when(F.trim("Status") == "Lapped", F.format_string("+%d lap(s)", (pos - 1).cast("int")))
     entry = F.struct(pos.cast("int").alias("position"), code.alias("driver"), F.col("TeamName").alias("team"),
                      (F.col(gap) if gap else text).alias("gap_to_leader"))
     # Three places at most are kept per race before anything is collected.

@@ -69,7 +69,7 @@ RACE_SQL = """
 SUMMARY_SQL = RACE_SQL + """
 , fast AS (SELECT race, max(LapNumber) AS total_laps, min(struct_pack(t := measure, d := Driver, s := LapNumber)) FILTER (measure > 0) AS f FROM rl GROUP BY race),
  pod AS (SELECT race, list(struct_pack(position := CAST(final_position AS INTEGER), driver := Abbreviation, team := TeamName,
-    gap_to_leader := CASE WHEN final_position = 1 THEN '0.000' WHEN Status = 'Lapped' THEN '+' || (final_position - 1) || ' lap(s)' ELSE printf('+%.3fs', CAST(final_position AS DOUBLE)) END)
+    gap_to_leader := CASE WHEN final_position = 1 THEN '0.000' WHEN Status = 'Lapped' THEN '+' || (final_position - 1) || ' lap(s)' END)
     ORDER BY final_position) AS podium FROM rs WHERE final_position IN (1, 2, 3) GROUP BY race),
  lastl AS (SELECT race, Driver, CAST(max(LapNumber) AS INTEGER) AS l FROM rl GROUP BY ALL),
  dn AS (SELECT race, list(struct_pack(driver := Abbreviation, on_lap := l) ORDER BY Abbreviation) AS dnfs FROM rs JOIN lastl USING (race) WHERE Driver = Abbreviation AND finish_status <> 1 GROUP BY race),
@@ -96,7 +96,7 @@ def weather_summary(spark, sf_dir):
 
 def _texts(df, *nested: str):
     """Nested columns as JSON text, which every engine prints alike."""
-    return df.select(*[F.to_json(c).alias(c) if c in nested else F.col(c) for c in df.columns])
+    return df.select(*[F.to_json(c, {"ignoreNullFields": "false"}).alias(c) if c in nested else F.col(c) for c in df.columns])
 
 
 @query("race_summary", with_cf(SUMMARY_SQL + """ SELECT * REPLACE (CAST(to_json(podium) AS VARCHAR) AS podium, CAST(to_json(dnfs) AS VARCHAR) AS dnfs,
