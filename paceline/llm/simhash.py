@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paceline.llm.common import components, in_pieces
-from paceline.session import stage
+from paceline.session import discard, stage
 
 BITS = 64
 #: Fingerprints read by the driver to group bits and estimate candidate counts, whatever the input.
@@ -123,6 +123,37 @@ def thresholds(cost: np.ndarray, goal: int) -> tuple[np.ndarray, np.ndarray]:
     return out, total
 
 
+def _sample(prints: DataFrame) -> np.ndarray:
+    head = prints.orderBy(F.xxhash64("fingerprint"), "fingerprint").limit(SAMPLE).collect()
+    return np.array([r[0] for r in head], np.int64).view(np.uint64)
+
+
+def _index(prints: DataFrame, groups: list[list[int]], spread: int, whole: bool) -> DataFrame:
+    """(part, key, b): each fingerprint under its bits in every group, and under all variants with up to ``spread`` flips."""
+    held = []
+    for p, group in enumerate(groups):
+        own = F.col("fingerprint").bitwiseAND(F.lit(int(np.array([sum(1 << b for b in group)], np.uint64).view(np.int64)[0])))
+        for flips in _masks(group, spread):
+            held += [F.struct(F.lit(p).alias("part"), own.bitwiseXOR(F.lit(int(x))).alias("key"), F.col("fingerprint").alias("b"))
+                     for x in flips.view(np.int64)]
+    if whole:
+        held.append(F.struct(F.lit(len(groups)).alias("part"), F.col("fingerprint").alias("key"), F.col("fingerprint").alias("b")))
+    return prints.select(F.explode(F.array(*held)).alias("r")).select("r.*")
+
+
+def leader_pairs(prints: DataFrame, radius: int, parts: int, spread: int) -> DataFrame:
+    """(a, b), a < b: pairs within ``radius`` of a fingerprint and the one that leads a place of the index that holds both.
+
+    A place is led by the fingerprint first in hash order, so a crowd yields a row per member and
+    place, never its pairs.
+    """
+    index = _index(prints.select("fingerprint"), bit_groups(_sample(prints.select("fingerprint")), parts), spread, False)
+    leaders = index.groupBy("part", "key").agg(F.min(F.struct(F.xxhash64("b").alias("h"), F.col("b").alias("lead"))).alias("l"))
+    met = index.join(leaders.select("part", "key", "l.lead"), ["part", "key"])
+    return (met.where((F.col("b") != F.col("lead")) & (F.bit_count(F.col("b").bitwiseXOR(F.col("lead"))) <= radius))
+            .select(F.least("b", "lead").alias("a"), F.greatest("b", "lead").alias("b")).distinct())
+
+
 def near_pairs(prints: DataFrame, radius: int = 2, parts: int = 3, spread: int = 0) -> DataFrame:
     """(a, b), a < b: all pairs of distinct fingerprints that differ in 1 to ``radius`` bits.
 
@@ -135,8 +166,7 @@ def near_pairs(prints: DataFrame, radius: int = 2, parts: int = 3, spread: int =
     such way out; :func:`near_duplicates` merges crowded places before it searches widely.
     """
     size = prints.count()
-    head = prints.orderBy(F.xxhash64("fingerprint"), "fingerprint").limit(SAMPLE).collect()
-    sample = np.array([r[0] for r in head], np.int64).view(np.uint64)
+    sample = _sample(prints)
     groups = bit_groups(sample, parts)
     goal = radius - parts + 1
     top = max(0, min(radius, -(-goal // parts) + 2))
@@ -177,12 +207,7 @@ def near_pairs(prints: DataFrame, radius: int = 2, parts: int = 3, spread: int =
 
     asked = prints.select("fingerprint").mapInPandas(search, "part int, key long, a long, limits int")
     signed = [int(f) for f in fields.view(np.int64)]
-    around = [[int(x) for k in range(spread + 1) for x in _masks(g, spread)[k].view(np.int64)] for g in groups]
-    held = [F.struct(F.lit(p).alias("part"), F.col("fingerprint").bitwiseAND(F.lit(signed[p])).bitwiseXOR(F.lit(x)).alias("key"),
-                     F.col("fingerprint").alias("b")) for p in range(parts) for x in around[p]]
-    if radius <= 2:
-        held.append(F.struct(F.lit(parts).alias("part"), F.col("fingerprint").alias("key"), F.col("fingerprint").alias("b")))
-    index = prints.select(F.explode(F.array(*held)).alias("r")).select("r.*")
+    index = _index(prints, groups, spread, radius <= 2)
     differ = F.col("a").bitwiseXOR(F.col("b"))
     first = F.lit(True)  # a pair is taken from the first group that finds it
     for p, f in enumerate(signed[:-1]):
@@ -234,34 +259,57 @@ def shingles(text: Column, size: int) -> Column:
     return run(text)
 
 
-def near_duplicates(docs: DataFrame, row: str, id_col: str = "doc_id", text: str = "text", shingle: int = 5,
-                    similarity: float = 0.8) -> DataFrame:
-    """(row, kept): the rows of ``docs`` and whether each stays; one of each group of near duplicates does.
+#: A round that merges a smaller share of the heads is the last.
+_ROUND = 0.01
 
-    ``row`` is a unique column. First the groups of :func:`near_groups` are taken. What stands for a
-    group is its smallest id (then row). A wide search then proposes further pairs of these; they
-    join when ``similarity`` (Jaccard) of their distinct ``shingle``-word shingles is reached, again
-    with everything they reach. The smallest id of each final group stays. Wordless and NULL texts
-    are one group.
-    """
-    keyed = docs.select(F.struct(F.col(id_col).alias("id"), F.col(row).alias("row")).alias("_id"), F.col(text).alias("_text"))
-    groups = stage(near_groups(keyed, "_id", "_text"), "groups")
-    heads = groups.where("_id = component_id").select("_id", "fingerprint")
-    found = stage(near_pairs(heads.where("fingerprint != 0").select("fingerprint"), WIDE, WIDE_PARTS, WIDE_SPREAD), "wide")
-    asked = heads.join(found.select(F.explode(F.array("a", "b")).alias("fingerprint")).distinct(), "fingerprint")
+
+def _confirmed(pairs: DataFrame, heads: DataFrame, keyed: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """The ``pairs`` of fingerprints whose texts have ``similarity`` (Jaccard) of their distinct shingles."""
+    asked = heads.join(pairs.select(F.explode(F.array("a", "b")).alias("fingerprint")).distinct(), "fingerprint")
     texts = keyed.join(asked.select(F.col("_id").alias("_own"), "fingerprint"), F.col("_id.row") == F.col("_own.row"))
     sets = stage(in_pieces(texts).select("fingerprint", shingles(F.col("_text"), shingle).alias("s")).withColumn("n", F.size("s")), "shingles")
     sizes = sets.select("fingerprint", "n")
     few, many = F.least("na", "nb"), F.greatest("na", "nb")
-    likely = (found.join(sizes.select(F.col("fingerprint").alias("a"), F.col("n").alias("na")), "a")
+    likely = (pairs.join(sizes.select(F.col("fingerprint").alias("a"), F.col("n").alias("na")), "a")
               .join(sizes.select(F.col("fingerprint").alias("b"), F.col("n").alias("nb")), "b").where(few >= many * similarity))
     both = F.size(F.array_intersect("sa", "sb"))
     same = (likely.join(sets.select(F.col("fingerprint").alias("a"), F.col("s").alias("sa")), "a")
             .join(sets.select(F.col("fingerprint").alias("b"), F.col("s").alias("sb")), "b")
             .where(both >= similarity * (F.col("na") + F.col("nb") - both)).select("a", "b"))
-    roots = components(stage(same, "similar"))
-    joined = heads.join(roots, heads["fingerprint"] == roots["node"])
+    done = stage(same, "similar")
+    discard(sets)
+    return done
+
+
+def _merged(heads: DataFrame, same: DataFrame) -> tuple[DataFrame, int]:
+    """The heads without those that a smaller head reaches by ``same``, and how many are gone."""
+    joined = heads.join(components(same), F.col("fingerprint") == F.col("node"))
     least = joined.groupBy("root").agg(F.min("_id").alias("least"))
-    lost = joined.join(least, "root").where("_id != least").select(F.col("_id.row").alias("lost"))
-    kept = heads.select(F.col("_id.row").alias("head")).join(lost, F.col("head") == F.col("lost"), "left_anti")
+    lost = stage(joined.join(least, "root").where("_id != least").select("fingerprint"), "lost")
+    return stage(heads.join(lost, "fingerprint", "left_anti"), "heads"), lost.count()
+
+
+def near_duplicates(docs: DataFrame, row: str, id_col: str = "doc_id", text: str = "text", shingle: int = 5,
+                    similarity: float = 0.8) -> DataFrame:
+    """(row, kept): the rows of ``docs`` and whether each stays; one of each group of near duplicates does.
+
+    ``row`` is a unique column. First the groups of :func:`near_groups` are taken. The head of a
+    group, its smallest id (then row), stands for it. A wide search then proposes pairs of heads;
+    groups join when their heads have ``similarity`` (Jaccard) of their distinct ``shingle``-word
+    shingles, again with everything they reach. Crowds are merged first, by comparing heads with
+    the leaders of their places in rounds; what these leave is compared in all pairs. The smallest id of each final
+    group stays. Wordless and NULL texts are one group.
+    """
+    keyed = docs.select(F.struct(F.col(id_col).alias("id"), F.col(row).alias("row")).alias("_id"), F.col(text).alias("_text"))
+    groups = stage(near_groups(keyed, "_id", "_text"), "groups")
+    heads = stage(groups.where("_id = component_id").select("_id", "fingerprint"), "heads")
+    worded = F.col("fingerprint") != 0
+    while True:
+        led = stage(leader_pairs(heads.where(worded), WIDE, WIDE_PARTS, WIDE_SPREAD), "led")
+        heads, gone = _merged(heads, _confirmed(led, heads, keyed, shingle, similarity))
+        if gone <= _ROUND * heads.count():
+            break
+    found = stage(near_pairs(heads.where(worded).select("fingerprint"), WIDE, WIDE_PARTS, WIDE_SPREAD), "wide")
+    heads, _ = _merged(heads, _confirmed(found, heads, keyed, shingle, similarity))
+    kept = heads.select(F.col("_id.row").alias("head"))
     return docs.select(row).join(kept, F.col(row) == F.col("head"), "left").select(row, F.col("head").isNotNull().alias("kept"))
