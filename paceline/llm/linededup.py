@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paceline.llm.common import words
-from paceline.session import stage
+from paceline.session import discard, stage
 
 #: Shorter lines are only compared exactly: one word of five is the most that may differ.
 MIN_WORDS = 5
@@ -83,11 +83,14 @@ def find_repeats(docs: DataFrame) -> DataFrame:
                   .select("id", "line", "h1", "h2", _hashes(F.col("text")).alias("w")), "words")
     marks = stage(texts.select(place.alias("place"), F.explode(_variants(F.col("w"))).alias("v"))
                   .select("place", "v.key", "v.at"), "marks")
-    firsts_at = stage(marks.groupBy("key", "at").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("c")), "variants")
-    by_key = firsts_at.groupBy("key").agg(F.min(F.when(F.col("at") < 0, F.col("first"))).alias("whole"),
-                                          F.min(F.when(F.col("at") >= 0, F.col("first"))).alias("cut"), F.sum("c").alias("all"))
-    busy = by_key.where("all > 1").join(firsts_at.select("key", "at", "first"), "key")
-    near = (marks.join(busy, ["key", "at"])
+    # Most variants belong to one line only; the few that are shared go on.
+    busy = marks.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key")
+    shared = stage(marks.join(busy, "key", "left_semi"), "shared")
+    discard(marks)
+    firsts_at = shared.groupBy("key", "at").agg(F.min("place").alias("first"))
+    ends = shared.groupBy("key").agg(F.min(F.when(F.col("at") < 0, F.col("place"))).alias("whole"),
+                                     F.min(F.when(F.col("at") >= 0, F.col("place"))).alias("cut"))
+    near = (shared.join(firsts_at, ["key", "at"]).join(ends, "key")
             .select("place", F.explode(F.array(
                 F.when(F.col("at") >= 0, F.col("first")),  # a word replaced
                 F.when(F.col("at") >= 0, F.col("whole")).otherwise(F.col("cut")))).alias("other"))  # a word more or less
@@ -95,9 +98,11 @@ def find_repeats(docs: DataFrame) -> DataFrame:
     pairs = near.distinct()
     mine = texts.select("h1", "h2", "w")
     theirs = texts.select(F.col("h1").alias("_h1"), F.col("h2").alias("_h2"), F.col("w").alias("v"))
-    checked = (pairs.join(mine, (F.col("place.h1") == F.col("h1")) & (F.col("place.h2") == F.col("h2")))
+    checked = stage(pairs.join(mine, (F.col("place.h1") == F.col("h1")) & (F.col("place.h2") == F.col("h2")))
                .join(theirs, (F.col("other.h1") == F.col("_h1")) & (F.col("other.h2") == F.col("_h2")))
-               .where(within_one_edit(F.col("w"), F.col("v"))).select("h1", "h2").distinct())
+               .where(within_one_edit(F.col("w"), F.col("v"))).select("h1", "h2").distinct(), "near")
+    for done in (alive, texts, shared):
+        discard(done)
     verdict = kinds.select("h1", "h2", "first").join(checked.withColumn("near", F.lit(True)), ["h1", "h2"], "left")
     return (lines.select("id", "text_key", "line", "h1", "h2").join(verdict, ["h1", "h2"])
             .withColumn("near", F.coalesce("near", F.lit(False)))
