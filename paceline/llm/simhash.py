@@ -7,6 +7,9 @@ dynamic programming finds cheapest on candidate counts estimated from a bounded
 out, the whole fingerprint as one group, bounds the work of a fingerprint in a crowded place. The
 chosen variants are joined with the index and verified. Sample and grouping change the cost only,
 never the links.
+
+Near duplicates by the similarity of their shingles (:func:`near_duplicates`) are found by a prefix
+filter instead, which misses no pair; fingerprints take no part in that.
 """
 
 from __future__ import annotations
@@ -141,19 +144,6 @@ def _index(prints: DataFrame, groups: list[list[int]], spread: int, whole: bool)
     return prints.select(F.explode(F.array(*held)).alias("r")).select("r.*")
 
 
-def leader_pairs(prints: DataFrame, radius: int, parts: int, spread: int) -> DataFrame:
-    """(a, b), a < b: pairs within ``radius`` of a fingerprint and the one that leads a place of the index that holds both.
-
-    A place is led by the fingerprint first in hash order, so a crowd yields a row per member and
-    place, never its pairs.
-    """
-    index = _index(prints.select("fingerprint"), bit_groups(_sample(prints.select("fingerprint")), parts), spread, False)
-    leaders = index.groupBy("part", "key").agg(F.min(F.struct(F.xxhash64("b").alias("h"), F.col("b").alias("lead"))).alias("l"))
-    met = index.join(leaders.select("part", "key", "l.lead"), ["part", "key"])
-    return (met.where((F.col("b") != F.col("lead")) & (F.bit_count(F.col("b").bitwiseXOR(F.col("lead"))) <= radius))
-            .select(F.least("b", "lead").alias("a"), F.greatest("b", "lead").alias("b")).distinct())
-
-
 def near_pairs(prints: DataFrame, radius: int = 2, parts: int = 3, spread: int = 0) -> DataFrame:
     """(a, b), a < b: all pairs of distinct fingerprints that differ in 1 to ``radius`` bits.
 
@@ -163,7 +153,7 @@ def near_pairs(prints: DataFrame, radius: int = 2, parts: int = 3, spread: int =
 
     Up to radius 2 a fingerprint in a place so crowded that comparing costs more than the 2,081
     variants of all its bits is probed under these, which bounds its work. A wider radius has no
-    such way out; :func:`near_duplicates` merges crowded places before it searches widely.
+    such way out.
     """
     size = prints.count()
     sample = _sample(prints)
@@ -246,11 +236,6 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shi
     return prints.join(known, "fingerprint").select(F.col("id").alias(id_col), "fingerprint", "component_id", "n_links")
 
 
-#: Radius, bit groups and index flips of the wide search. Near copies with 0.8 of their shingles in
-#: common rarely differ in more bits; what else is found fails the comparison of the shingles.
-WIDE, WIDE_PARTS, WIDE_SPREAD = 11, 4, 1
-
-
 def shingles(text: Column, size: int) -> Column:
     """Distinct shingle hashes of a whole text, as an array of longs."""
     @F.pandas_udf("array<long>")
@@ -259,57 +244,154 @@ def shingles(text: Column, size: int) -> Column:
     return run(text)
 
 
-#: A round that merges a smaller share of the heads is the last.
-_ROUND = 0.01
+#: One row in ``SAMPLED`` tells which shingles are common; of these at most ``COMMON`` are held, the most frequent.
+SAMPLED, COMMON = 8, 1 << 20
+#: Rounds of leaders: at most so many, and none after one that merges a smaller share of the sets.
+ROUNDS, _ROUND = 3, 0.01
+#: Slack of rounding in bounds, on the side that keeps a pair.
+_EPS = 1e-9
+
+
+def _set_ids(texts: DataFrame, size: int) -> DataFrame:
+    """(_id, set, n): XXH64 of the sorted distinct shingle hashes of each text, and their number; 0 and 0 without words."""
+    @F.pandas_udf("struct<set:long,n:int>")
+    def run(values: pd.Series) -> pd.DataFrame:
+        own = [np.unique(shingle_hashes(t, size)) for t in values]
+        ids = np.array([xxhash.xxh64_intdigest(s.tobytes(), 7) if len(s) else 0 for s in own], np.uint64)
+        return pd.DataFrame({"set": ids.view(np.int64), "n": np.array([len(s) for s in own], np.int32)})
+    return in_pieces(texts).withColumn("_s", run("_text")).select("_id", "_s.set", "_s.n")
+
 
+def _common(texts: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingle hashes, ascending, that occur in at least three texts of the sample, and in how many."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            own = [np.unique(shingle_hashes(t, size)) for t in pdf["_text"].dropna().unique()]
+            if own:
+                key, n = np.unique(np.concatenate(own), return_counts=True)
+                yield pd.DataFrame({"key": key.view(np.int64), "n": n})
+
+    part = in_pieces(texts.where(F.pmod(F.xxhash64("_id.row"), F.lit(SAMPLED)) == 0).select("_text"))
+    counts = stage(part.mapInPandas(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).where("n >= 3"), "common")
+    least, held = 3, 0
+    for n, kinds in sorted(counts.select(F.least("n", F.lit(10_000)).alias("n")).groupBy("n").count().collect(), reverse=True):
+        held += kinds
+        if held > COMMON:
+            least = n + 1
+            break
+    top = counts.where(F.col("n") >= least).toPandas() if least <= 10_000 else pd.DataFrame({"key": [], "n": []})
+    key, n = top["key"].to_numpy(np.int64).view(np.uint64), top["n"].to_numpy(np.int64)
+    order = np.argsort(key)
+    return key[order], n[order]
+
+
+def _prefixes(texts: DataFrame, size: int, similarity: float) -> DataFrame:
+    """(key, set, n, pos): the first shingles of every text in one order of all shingles, common ones last.
+
+    Two sets with ``similarity`` share a shingle among their first ``n - ceil(similarity * n) + 1``,
+    whatever the order; so what the sample says of common shingles changes the cost only.
+    """
+    shared = texts.sparkSession.sparkContext.broadcast(_common(texts, size))
 
-def _confirmed(pairs: DataFrame, heads: DataFrame, keyed: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """The ``pairs`` of fingerprints whose texts have ``similarity`` (Jaccard) of their distinct shingles."""
-    asked = heads.join(pairs.select(F.explode(F.array("a", "b")).alias("fingerprint")).distinct(), "fingerprint")
-    texts = keyed.join(asked.select(F.col("_id").alias("_own"), "fingerprint"), F.col("_id.row") == F.col("_own.row"))
-    sets = stage(in_pieces(texts).select("fingerprint", shingles(F.col("_text"), shingle).alias("s")).withColumn("n", F.size("s")), "shingles")
-    sizes = sets.select("fingerprint", "n")
-    few, many = F.least("na", "nb"), F.greatest("na", "nb")
-    likely = (pairs.join(sizes.select(F.col("fingerprint").alias("a"), F.col("n").alias("na")), "a")
-              .join(sizes.select(F.col("fingerprint").alias("b"), F.col("n").alias("nb")), "b").where(few >= many * similarity))
-    both = F.size(F.array_intersect("sa", "sb"))
-    same = (likely.join(sets.select(F.col("fingerprint").alias("a"), F.col("s").alias("sa")), "a")
-            .join(sets.select(F.col("fingerprint").alias("b"), F.col("s").alias("sb")), "b")
-            .where(both >= similarity * (F.col("na") + F.col("nb") - both)).select("a", "b"))
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        common, times = shared.value
+        seen: set[int] = set()  # copies within a task are given once, as far as this has room
+        for pdf in batches:
+            held = []
+            for text in pdf["_text"]:
+                own = np.unique(shingle_hashes(text, size))
+                n = len(own)
+                name = np.array([xxhash.xxh64_intdigest(own.tobytes(), 7)], np.uint64).view(np.int64)[0]
+                if not n or name in seen:
+                    continue
+                if len(seen) < 200_000:
+                    seen.add(name)
+                often = np.zeros(n, np.int64)
+                if len(common):
+                    at = np.minimum(np.searchsorted(common, own), len(common) - 1)
+                    often = np.where(common[at] == own, times[at], 0)
+                take = n - int(np.ceil(similarity * n - _EPS)) + 1
+                first = np.lexsort((own, often))[:take]
+                held.append((own[first].view(np.int64), np.full(take, name), np.full(take, n, np.int32), np.arange(take, dtype=np.int32)))
+            if held:
+                yield pd.DataFrame(dict(zip(("key", "set", "n", "pos"), map(np.concatenate, zip(*held)))))
+
+    return in_pieces(texts.select("_text")).mapInPandas(run, "key long, set long, n int, pos int")
+
+
+def _possible(left: str, right: str, similarity: float) -> Column:
+    """Whether sizes, and the places of a first shared shingle, leave room for ``similarity``."""
+    na, nb = F.col(f"{left}.n"), F.col(f"{right}.n")
+    room = F.least(na - F.col(f"{left}.pos"), nb - F.col(f"{right}.pos"))
+    return ((F.least(na, nb) >= F.greatest(na, nb) * similarity - _EPS)
+            & (room * (1 + similarity) >= (na + nb) * similarity - _EPS))
+
+
+def _confirmed(pairs: DataFrame, classes: DataFrame, texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """The ``pairs`` of sets that have ``similarity`` (Jaccard)."""
+    asked = classes.join(pairs.select(F.explode(F.array("a", "b")).alias("set")).distinct(), "set")
+    own = texts.join(asked.select(F.col("least").alias("_own"), "set"), F.col("_id.row") == F.col("_own.row"))
+    sets = stage(in_pieces(own).select("set", shingles(F.col("_text"), shingle).alias("s")), "shingles")
+    both, na, nb = F.size(F.array_intersect("sa", "sb")), F.size("sa"), F.size("sb")
+    same = (pairs.join(sets.select(F.col("set").alias("a"), F.col("s").alias("sa")), "a")
+            .join(sets.select(F.col("set").alias("b"), F.col("s").alias("sb")), "b")
+            .where(both >= similarity * (na + nb - both)).select("a", "b"))
     done = stage(same, "similar")
     discard(sets)
     return done
 
 
-def _merged(heads: DataFrame, same: DataFrame) -> tuple[DataFrame, int]:
-    """The heads without those that a smaller head reaches by ``same``, and how many are gone."""
-    joined = heads.join(components(same), F.col("fingerprint") == F.col("node"))
-    least = joined.groupBy("root").agg(F.min("_id").alias("least"))
-    lost = stage(joined.join(least, "root").where("_id != least").select("fingerprint"), "lost")
-    return stage(heads.join(lost, "fingerprint", "left_anti"), "heads"), lost.count()
+def _asked(index: DataFrame, roots: DataFrame | None, similarity: float, salt: int, whole: bool) -> DataFrame:
+    """(a, b), a < b: pairs of sets in one place of the index that no links connect so far.
+
+    Only those of a set with the leader of the place, or all if ``whole``. The leader is first in a
+    hash order that differs between places and salts. In a whole round, too, members of its group
+    meet only those of other groups.
+    """
+    live = index.withColumn("root", F.col("set")) if roots is None else (
+        index.join(roots.withColumnRenamed("node", "set"), "set", "left").withColumn("root", F.coalesce("root", "set")))
+    live = stage(live, "live")
+    lead = (live.groupBy("key").agg(F.min(F.struct(F.xxhash64("set", "key", F.lit(salt)).alias("h"), "set", "n", "pos", "root")).alias("l"),
+                                    (F.min("root") != F.max("root")).alias("open"))
+            .where("open").select("key", "l.set", "l.n", "l.pos", "l.root"))
+    met = live.alias("x").join(lead.alias("y"), "key").where(F.col("x.root") != F.col("y.root"))
+    if whole:
+        strays = stage(met.select("key", "x.set", "x.n", "x.pos", "x.root", F.col("y.root").alias("led")), "strays")
+        met = strays.alias("x").join(live.alias("y"), "key").where(
+            (F.col("x.root") != F.col("y.root")) & ((F.col("y.root") == F.col("led")) | (F.col("x.set") < F.col("y.set"))))
+    return stage(met.where(_possible("x", "y", similarity))
+                 .select(F.least("x.set", "y.set").alias("a"), F.greatest("x.set", "y.set").alias("b")).distinct(), "asked")
 
 
 def near_duplicates(docs: DataFrame, row: str, id_col: str = "doc_id", text: str = "text", shingle: int = 5,
                     similarity: float = 0.8) -> DataFrame:
     """(row, kept): the rows of ``docs`` and whether each stays; one of each group of near duplicates does.
 
-    ``row`` is a unique column. First the groups of :func:`near_groups` are taken. The head of a
-    group, its smallest id (then row), stands for it. A wide search then proposes pairs of heads;
-    groups join when their heads have ``similarity`` (Jaccard) of their distinct ``shingle``-word
-    shingles, again with everything they reach. Crowds are merged first, by comparing heads with
-    the leaders of their places in rounds; what these leave is compared in all pairs. The smallest id of each final
-    group stays. Wordless and NULL texts are one group.
+    ``row`` is a unique column. Two rows link when the sets of their ``shingle``-word shingles have
+    ``similarity`` (Jaccard); a group is everything that links reach, and its smallest id (then row)
+    stays. Equal sets are one class. Classes that share a shingle of their prefixes are compared:
+    first with a leader of each place in a few rounds, which merge crowds, then each with each. All
+    classes take part to the end; only pairs that links connect already are left out. Wordless and
+    NULL texts are one group.
     """
-    keyed = docs.select(F.struct(F.col(id_col).alias("id"), F.col(row).alias("row")).alias("_id"), F.col(text).alias("_text"))
-    groups = stage(near_groups(keyed, "_id", "_text"), "groups")
-    heads = stage(groups.where("_id = component_id").select("_id", "fingerprint"), "heads")
-    worded = F.col("fingerprint") != 0
-    while True:
-        led = stage(leader_pairs(heads.where(worded), WIDE, WIDE_PARTS, WIDE_SPREAD), "led")
-        heads, gone = _merged(heads, _confirmed(led, heads, keyed, shingle, similarity))
-        if gone <= _ROUND * heads.count():
+    texts = docs.select(F.struct(F.col(id_col).alias("id"), F.col(row).alias("row")).alias("_id"), F.col(text).alias("_text"))
+    classes = stage(_set_ids(texts, shingle).groupBy("set").agg(F.min("_id").alias("least")), "classes")
+    first = _prefixes(texts, shingle, similarity)
+    met = first.groupBy("key").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("key")
+    index = stage(first.join(met, "key").groupBy("key", "set").agg(F.min("n").alias("n"), F.min("pos").alias("pos")), "index")
+    links, roots, left = None, None, classes.count()
+    for salt in range(ROUNDS + 1):
+        whole = salt == ROUNDS or left == 0
+        same = _confirmed(_asked(index, roots, similarity, salt, whole), classes, texts, shingle, similarity)
+        links = same if links is None else links.unionByName(same)
+        found = same.count()
+        if found:
+            roots = components(links)
+        if whole:
             break
-    found = stage(near_pairs(heads.where(worded).select("fingerprint"), WIDE, WIDE_PARTS, WIDE_SPREAD), "wide")
-    heads, _ = _merged(heads, _confirmed(found, heads, keyed, shingle, similarity))
-    kept = heads.select(F.col("_id.row").alias("head"))
+        if found <= _ROUND * left:
+            left = 0  # the next round is the whole one
+    if roots is not None:
+        classes = classes.join(roots.withColumnRenamed("node", "set"), "set", "left").withColumn("set", F.coalesce("root", "set"))
+    kept = classes.groupBy("set").agg(F.min("least").alias("least")).select(F.col("least.row").alias("head"))
     return docs.select(row).join(kept, F.col(row) == F.col("head"), "left").select(row, F.col("head").isNotNull().alias("kept"))
