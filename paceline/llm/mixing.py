@@ -5,6 +5,9 @@ weights map to a source; points of the golden ratio fill the unit interval evenl
 number of slots every source is close to its share. Each source's documents are shuffled into one
 stream of words, repeated as often as allowed and cut into blocks of equal length; the j-th slot of
 a source takes its j-th block.
+
+A source below ``RARE`` of the mix would meet too few points. It takes its target exactly instead: its
+words go in pieces to slots at equal distances, and the other sources share the schedule.
 """
 
 from __future__ import annotations
@@ -19,6 +22,8 @@ from paceline.session import stage
 
 #: Slots of the mix. A source with a hundredth of it differs from its target by about 0.1 %.
 SLOTS = 1 << 17
+#: A source with less than this share of the mix (64 slots) is rare.
+RARE = 1 / (1 << 11)
 #: Weights dealt to the sources in order, again and again.
 WEIGHTS = (3, 1, 2)
 #: Words of the mix for each word of the input, and the most often that a document is repeated.
@@ -76,6 +81,14 @@ def schedule(spark, goals: DataFrame, slots: int = SLOTS) -> DataFrame:
     return ranked(placed, ["source"], "_f", ["slot"], buckets(slots), "turn").drop("_f")
 
 
+def rare_schedule(goals: DataFrame, slots: int) -> DataFrame:
+    """(slot, source, turn): equal distances for the ``_turns`` pieces of each source, from a start by its name."""
+    start = F.pmod(F.xxhash64("source"), F.lit(1 << 20)) / float(1 << 20)
+    return (goals.select("source", "_turns", F.explode(F.sequence(F.lit(0), F.col("_turns") - 1)).alias("turn"))
+            .select(F.least(F.floor((F.col("turn") + start) / F.col("_turns") * slots), F.lit(slots - 1)).cast("long").alias("slot"),
+                    "source", F.col("turn").cast("long").alias("turn")))
+
+
 def mix(docs: DataFrame, source: str = "source", text: str = "text", id_col: str = "doc_id", slots: int = SLOTS,
         total: float = TOTAL, repeats: int = REPEATS, weights: tuple[int, ...] = WEIGHTS, seed: int = SEED,
         carry: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
@@ -104,18 +117,23 @@ def mix(docs: DataFrame, source: str = "source", text: str = "text", id_col: str
     plan = stage(placed.join(goals.select(F.col("source").alias("_source"), "source_size", "target"),
                              F.col("source").eqNullSafe(F.col("_source")))
                  .select("id", "size", "source", "place", "source_size", "target", "first_word", *carry), "streams")
-    block = F.col("_words") / float(slots)  # words of the mix in each slot
-    words_all = goals.agg(F.sum("target").alias("_words"))
+    whole = goals.agg(F.sum("target")).first()[0] or 0.0
+    rare = F.col("target") < RARE * whole
+    words_often = goals.where(~rare).agg(F.sum("target")).first()[0] or 0.0
+    block = F.lit(words_often or 1.0) / float(slots)  # words of the mix in each slot
+    turns = F.greatest(F.round(F.col("target") / (max(whole, 1.0) / slots)), F.lit(1.0)).cast("int")
+    few = goals.where(rare & (F.round("target") > 0)).select("source", turns.alias("_turns"))
     epoch = F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))).alias("epoch")
-    stream = (plan.where("size > 0").select("source", "place", "size", "source_size", "first_word", epoch).crossJoin(F.broadcast(words_all))  # one row
-              .withColumn("_block", block).withColumn("_from", F.col("first_word") + F.col("epoch") * F.col("source_size"))
-              .withColumn("_to", F.col("_from") + F.col("size")))
+    stream = (plan.where("size > 0").select("source", "place", "size", "source_size", "first_word", "target", epoch)
+              .withColumn("_block", F.when(rare, F.round("target") / turns).otherwise(block)).where(~rare | (F.col("_block") > 0))
+              .withColumn("_from", F.col("first_word") + F.col("epoch") * F.col("source_size"))
+              .withColumn("_to", F.col("_from") + F.col("size")).where(~rare | (F.col("_from") < F.col("target"))))
     start = lambda turn: F.round(turn * F.col("_block")).cast("long")  # noqa: E731  first word of a block
     last = F.floor(F.col("_to") / F.col("_block")) + 1
     spread = (stream.withColumn("turn", F.explode(F.sequence(F.greatest(F.floor(F.col("_from") / F.col("_block")) - 1, F.lit(0)), last)))
               .withColumn("_a", F.greatest("_from", start(F.col("turn")))).withColumn("_b", F.least("_to", start(F.col("turn") + 1)))
               .where("_a < _b"))
-    taken = schedule(spark, goals, slots)
+    taken = schedule(spark, goals.where(~rare), slots).unionByName(rare_schedule(few, slots))
     pieces = (spread.join(taken.select("slot", F.col("source").alias("_s"), F.col("turn").alias("_t")),
                           (F.col("turn") == F.col("_t")) & F.col("source").eqNullSafe(F.col("_s")))
               .select("source", "place", "slot", "turn", "epoch", (F.col("_a") - F.col("_from")).alias("from_word"),
