@@ -1,6 +1,6 @@
 """Benchmark decontamination by spaced-seed hashing, in DataFrame functions only.
 
-A seed looks at 8 consecutive tokens through a fixed mask that ignores two of them. Seeds of all
+A seed looks at 7 consecutive tokens through a fixed mask that ignores three of them. Seeds of all
 documents are joined with the seeds of all benchmark items on their hash. A hit proposes an
 alignment (document, item, offset); each alignment is then verified token by token over the whole
 item, so changed words cost matches but do not hide a leak.
@@ -13,9 +13,10 @@ from pyspark.sql import functions as F
 
 from paceline.session import stage
 
-#: Token positions that each mask looks at. Every pair of nearby changes leaves some mask whole.
-MASKS = ((0, 1, 2, 4, 5, 7), (0, 2, 3, 5, 6, 7), (0, 1, 3, 4, 6, 7))
-SPAN = 8
+#: Token positions that each mask looks at. Every pattern of replaced tokens that keeps ``COVERAGE`` of an item of 8 tokens or
+#: more, or a stretch of ``STRETCH``, leaves a mask whole somewhere; the tests prove it by going through all patterns.
+MASKS = ((0, 1, 2, 4), (0, 3, 4, 5), (0, 3, 5, 6), (0, 4, 5, 6), (1, 2, 5, 6))
+SPAN = 7
 #: An alignment is a leak when it matches this share of the item's tokens ...
 COVERAGE = 0.7
 #: ... or has a stretch whose matches less twice its mismatches reach this.
@@ -48,7 +49,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: s
     The best alignment of each pair is reported: most matched tokens, then the longest stretch, then
     the earliest place. ``text_key`` is XXH64 of the whole text; rows that repeat id and text are
     reported once, NULL ids like any other. NULL or empty texts never leak. Items below ``SPAN`` tokens are too short
-    to tell from chance and are not searched. Items with equal tokens are searched once and
+    to tell from chance and are not searched; of items with ``SPAN`` tokens some changed copies have no seed. Items with equal tokens are searched once and
     reported each. Other columns are ignored.
     """
     items = _hashed(benchmark.select(F.col(item_col).alias("item"), F.col(item_text).alias("text")), ["item"], "text")
