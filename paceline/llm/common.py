@@ -13,8 +13,12 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def in_pieces(df: DataFrame, rows: int = 512) -> DataFrame:
-    """``df`` with Arrow batches of at most ``rows`` rows, so that a batch of very long texts fits in memory."""
+    """``df`` with Arrow batches of at most ``rows`` rows and about 64 MB, so that a batch of very long texts fits in memory.
+
+    The same settings for every operator, so a query built later does not change one built earlier.
+    """
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(64 << 20))
     return df
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from paceline.llm import ann, chat, decontam, html, langid, linededup, mixing, quality, sharding, simhash, sql
+from paceline.llm import ann, chat, decontam, html, langid, lexical, linededup, mixing, quality, sharding, simhash, sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -116,4 +116,10 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(vectors, vectors.where("vec_id % 100 = 0"))
 
 
+@query("op11_lexical_search", sql.OP11)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """item_id, rank, doc_id, score: the ten best documents of every benchmark item."""
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from paceline.llm import decontam, linededup, mixing, sharding
+from paceline.llm import decontam, lexical, linededup, mixing, sharding
 
 _WORDS = r"[^\x20\x09-\x0D]+"
 
@@ -94,3 +94,20 @@ kept AS (SELECT doc_id, text, len(l) AS n_lines, coalesce(e, 0) AS n_exact, coal
   FROM docs LEFT JOIN lost USING (k))
 SELECT doc_id, CAST(coalesce(n_lines, 0) AS BIGINT) AS n_lines, n_exact, n_near, CASE WHEN text IS NOT NULL THEN length(x) END AS n_chars,
   CASE WHEN text IS NOT NULL THEN md5(x) END AS text_md5 FROM kept"""
+
+_TERMS = rf"regexp_extract_all(translate(coalesce(text, ''), '{lexical._UPPER}', '{lexical._LOWER}'), '{lexical.TERM}')"
+
+#: Term counts by unnesting, then the formula.
+OP11 = rf"""
+WITH own AS (SELECT doc_id, row_number() OVER () AS r, {_TERMS} AS t FROM documents),
+lens AS (SELECT doc_id, r, len(t) AS n FROM own WHERE len(t) > 0),
+sums AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS total FROM lens),
+items AS (SELECT i, item_id, term, count(*) AS k FROM (SELECT i, item_id, unnest(t) AS term
+  FROM (SELECT row_number() OVER () AS i, item_id, {_TERMS} AS t FROM benchmark)) GROUP BY ALL),
+tf AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(t) AS term FROM own) WHERE term IN (SELECT term FROM items) GROUP BY ALL),
+worth AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, sums GROUP BY term, docs),
+part AS (SELECT r, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + ((75 * n * docs) // total)))) AS p
+  FROM tf JOIN worth USING (term) JOIN lens USING (r), sums),
+scores AS (SELECT i, item_id, doc_id, r, CAST(sum(k * p) AS BIGINT) AS score FROM part JOIN items USING (term) JOIN lens USING (r) GROUP BY ALL)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id, r) AS rank
+  FROM scores WHERE score > 0) WHERE rank <= {lexical.TOP}"""
