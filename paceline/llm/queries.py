@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from paceline.llm import ann, chat, decontam, html, langid, lexical, linededup, mixing, quality, sharding, simhash, sql
+from paceline.llm import ann, chat, decontam, html, langid, lexical, linededup, mixing, quality, secretscan, sharding, simhash, sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -122,4 +122,18 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def _listed(spans) -> F.Column:
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+
+@query("op12_secrets", sql.OP12)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_assign, n_access, n_hex, base_sha256, spans of every document."""
+    out = secretscan.find_secrets(table(spark, sf_dir, "documents"))
+    of = lambda *kinds: F.filter("spans", lambda s: s["kind"].isin(*kinds))
+    base = [r.kind for r in secretscan.BASE]
+    return out.select("doc_id", *[F.size(of(k)).cast("long").alias(f"n_{k}") for k in base],
+                      F.sha2(_listed(of(*base)), 256).alias("base_sha256"), _listed("spans").alias("spans"))
+
+
 query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)

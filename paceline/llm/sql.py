@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from paceline.llm import decontam, lexical, linededup, mixing, sharding
+from paceline.llm import decontam, lexical, linededup, mixing, secretscan, sharding
 
 _WORDS = r"[^\x20\x09-\x0D]+"
 
@@ -111,3 +111,20 @@ part AS (SELECT r, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 +
 scores AS (SELECT i, item_id, doc_id, r, CAST(sum(k * p) AS BIGINT) AS score FROM part JOIN items USING (term) JOIN lens USING (r) GROUP BY ALL)
 SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id, r) AS rank
   FROM scores WHERE score > 0) WHERE rank <= {lexical.TOP}"""
+
+_KINDS = ", ".join(f"({i}, '{r.kind}', '{r.pattern.replace(chr(39), chr(39) * 2)}', {r.group}, {r.least})"
+                   for i, r in enumerate(secretscan.BASE + secretscan.MORE))
+
+#: Matches by regex; their places are the lengths of the texts between them, added up.
+OP12 = rf"""
+WITH own AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+kinds(k, kind, pattern, part, least) AS (VALUES {_KINDS}),
+found AS (SELECT r, k, kind, pattern, part, least, regexp_extract_all(text, pattern) AS m, string_split_regex(text, pattern) AS gaps FROM own, kinds),
+hits AS (SELECT * EXCLUDE (m, gaps), unnest(m) AS hit, unnest(gaps[:len(m)]) AS gap, unnest(range(len(m))) AS i FROM found WHERE len(m) > 0),
+ends AS (SELECT *, CAST(sum(length(gap) + length(hit)) OVER (PARTITION BY r, k ORDER BY i) AS BIGINT) AS upto FROM hits),
+spans AS (SELECT r, k, kind, upto - length(hit) AS start, kind || ':' || (upto - length(hit)) || ':' || upto AS span FROM ends
+  WHERE length(CASE WHEN part = 2 THEN regexp_extract(hit, pattern, 2) ELSE hit END) >= least),
+docs AS (SELECT r, {', '.join(f"count(*) FILTER (kind = '{x.kind}') AS n_{x.kind}" for x in secretscan.BASE)},
+  string_agg(span, ',' ORDER BY start, k) FILTER (k < {len(secretscan.BASE)}) AS base, string_agg(span, ',' ORDER BY start, k) AS spans FROM spans GROUP BY r)
+SELECT doc_id, {', '.join(f"coalesce(n_{x.kind}, 0) AS n_{x.kind}" for x in secretscan.BASE)}, sha256(coalesce(base, '')) AS base_sha256,
+  coalesce(spans, '') AS spans FROM own LEFT JOIN docs USING (r)"""
