@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from paceline.llm import ann, chat, decontam, html, langid, lexical, linededup, mixing, quality, secretscan, sharding, simhash, sql
+from paceline.llm import ann, chat, convrepair, decontam, html, langid, lexical, linededup, mixing, quality, secretscan, sharding, simhash, sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -136,4 +136,11 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(_listed(of(*base)), 256).alias("base_sha256"), _listed("spans").alias("spans"))
 
 
+@query("op13_conversation_repair", sql.OP13)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """conv_id, gaps, fault counts, cost, audit and repaired_sha256 of every damaged conversation."""
+    rows = table(spark, sf_dir, "conversations")
+    return convrepair.repair_all(convrepair.damage(rows), rows)
+
+
 query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)

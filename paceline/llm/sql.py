@@ -128,3 +128,47 @@ docs AS (SELECT r, {', '.join(f"count(*) FILTER (kind = '{x.kind}') AS n_{x.kind
   string_agg(span, ',' ORDER BY start, k) FILTER (k < {len(secretscan.BASE)}) AS base, string_agg(span, ',' ORDER BY start, k) AS spans FROM spans GROUP BY r)
 SELECT doc_id, {', '.join(f"coalesce(n_{x.kind}, 0) AS n_{x.kind}" for x in secretscan.BASE)}, sha256(coalesce(base, '')) AS base_sha256,
   coalesce(spans, '') AS spans FROM own LEFT JOIN docs USING (r)"""
+
+#: Costs to the end by a recursion from the last row, then one edit of every conversation at a time.
+OP13 = rf"""
+WITH RECURSIVE shift(i, c, k) AS (SELECT i, i, 0 FROM range(256) t(i)
+  UNION ALL SELECT i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM shift WHERE k < 8),
+crc AS (SELECT list(c ORDER BY i) AS t FROM shift WHERE k = 8),
+ids AS (SELECT conv_id, row_number() OVER () AS g FROM (SELECT DISTINCT conv_id FROM conversations)),
+own AS (SELECT g, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, list_transform(regexp_extract_all(hex(encode(
+  coalesce(CAST(c.conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '))), '..'), lambda b: CAST('0x' || b AS BIGINT)) AS b
+  FROM conversations c JOIN ids ON c.conv_id IS NOT DISTINCT FROM ids.conv_id),
+kinds AS (SELECT g, turn, role, text, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), b), lambda a, y: xor(a >> 8, t[(xor(a, y) & 255) + 1])), 4294967295) % 20 AS h
+  FROM own, crc),
+hit AS (SELECT g, turn, CASE h WHEN 4 THEN 'user' ELSE role END AS role, CASE h WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+  unnest(range(CASE h WHEN 3 THEN 2 ELSE 1 END)) FROM kinds WHERE h <> 0),
+num AS (SELECT g, turn, role, text, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS bare,
+  row_number() OVER (PARTITION BY g ORDER BY turn NULLS FIRST, role, text) AS i FROM hit),
+marks AS (SELECT *, row_number() OVER (PARTITION BY g, role, text ORDER BY i) > 1 AS again, left(role, 1) AS z, lag(left(role, 1)) OVER (PARTITION BY g ORDER BY i) AS y FROM num),
+line AS MATERIALIZED (SELECT g, turn, role, text, i, z, y, CASE WHEN bare = '' THEN 'b' WHEN again THEN 'd' WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 't' ELSE '' END AS f,
+  CASE WHEN bare = '' OR again THEN 1000000 ELSE 0 END AS del, CASE WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 1 ELSE 0 END AS cut FROM marks),
+stats AS (SELECT g, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (f = 'b') AS blank,
+  count(*) FILTER (f = 'd') AS duplicate, count(*) FILTER (f = 't') AS truncated,
+  count(*) FILTER (y IS NOT NULL AND y || ':' || z NOT IN ('s:u', 'u:a', 'a:u')) AS illegal FROM line GROUP BY g),
+back(g, i, c0, cs, cu, ca) AS (SELECT g, n, 0, 4, 2, 0 FROM stats
+  UNION ALL SELECT g, i, least(b0, 2 + bu, 4 + ba), least(bs, 2 + bu, 4 + ba), least(bu, 2 + ba), least(ba, 2 + bu) FROM (
+    SELECT b.g, b.i - 1 AS i, least(3 + c0, del + cut + CASE z WHEN 's' THEN cs WHEN 'u' THEN cu ELSE 2 + cu END, del + cut + 2 + cu) AS b0,
+      least(3 + cs, del + cut + cu + CASE z WHEN 'u' THEN 0 ELSE 2 END) AS bs, least(3 + cu, del + cut + ca + CASE z WHEN 'a' THEN 0 ELSE 2 END) AS bu,
+      least(3 + ca, del + cut + cu + CASE z WHEN 'u' THEN 0 ELSE 2 END) AS ba
+    FROM back b JOIN line l ON l.g = b.g AND l.i = b.i WHERE b.i > 0)),
+cost AS MATERIALIZED (SELECT g, i, '0' AS q, c0 AS c FROM back UNION ALL SELECT g, i, 's', cs FROM back UNION ALL SELECT g, i, 'u', cu FROM back UNION ALL SELECT g, i, 'a', ca FROM back),
+fwd(g, i, q, audit, said, ended) AS (SELECT g, CAST(0 AS BIGINT), '0', '', CAST([] AS VARCHAR[]), false FROM stats
+  UNION ALL SELECT g, CASE WHEN e IN ('D', 'K', 'R') THEN i + 1 ELSE i END, CASE WHEN e = 'D' OR e = '' THEN q WHEN e = 'K' AND z = 's' THEN 's' ELSE up END, audit || e,
+    CASE e WHEN 'K' THEN list_append(said, role || ':' || text) WHEN 'R' THEN list_append(said, name || ':' || text) WHEN 'I' THEN list_append(said, name || ':') ELSE said END, e = ''
+  FROM (SELECT f.g, f.i, f.q, f.audit, f.said, l.z, l.role, l.text, CASE f.q WHEN 'u' THEN 'a' ELSE 'u' END AS up, CASE f.q WHEN 'u' THEN 'assistant' ELSE 'user' END AS name,
+      CASE WHEN l.i IS NOT NULL AND 3 + same.c = here.c THEN 'D' WHEN l.i IS NULL AND f.q IN ('0', 'a') THEN '' WHEN 2 + ins.c = here.c THEN 'I'
+        WHEN (l.z = CASE f.q WHEN 'u' THEN 'a' ELSE 'u' END AND del + cut + nxt.c = here.c) OR (l.z = 's' AND f.q = '0' AND del + cut + sys.c = here.c) THEN 'K' ELSE 'R' END AS e
+    FROM fwd f JOIN cost here ON here.g = f.g AND here.i = f.i AND here.q = f.q
+      JOIN cost ins ON ins.g = f.g AND ins.i = f.i AND ins.q = CASE f.q WHEN 'u' THEN 'a' ELSE 'u' END
+      LEFT JOIN line l ON l.g = f.g AND l.i = f.i + 1
+      LEFT JOIN cost same ON same.g = f.g AND same.i = f.i + 1 AND same.q = f.q
+      LEFT JOIN cost nxt ON nxt.g = f.g AND nxt.i = f.i + 1 AND nxt.q = CASE f.q WHEN 'u' THEN 'a' ELSE 'u' END
+      LEFT JOIN cost sys ON sys.g = f.g AND sys.i = f.i + 1 AND sys.q = 's' WHERE NOT f.ended))
+SELECT conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+  coalesce(illegal, 0) AS illegal, CAST(coalesce(c, 0) AS BIGINT) AS cost, coalesce(audit, '') AS audit, sha256(coalesce(array_to_string(said, chr(10)), '')) AS repaired_sha256
+FROM ids LEFT JOIN stats USING (g) LEFT JOIN (SELECT g, audit, said FROM fwd WHERE ended) USING (g) LEFT JOIN (SELECT g, c FROM cost WHERE i = 0 AND q = '0') USING (g)"""
