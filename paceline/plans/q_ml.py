@@ -303,19 +303,63 @@ def cliff_input(spark, sf_dir):
                                           "measure", (F.col("measure") / 20).alias("lap_delta"), (F.col("measure") > 150).alias("is_anomaly"))
 
 
-@query("changepoint_runs")
+# The full search over all previous starts, value by value, then the cuts from the end backwards.
+def _cuts_sql(penalties: str) -> str:
+    return f""", src AS (SELECT entity, seq, CAST(floor((seq - 1) / 20) + 1 AS INTEGER) AS run, measure / 20 AS y, measure > 150 AS odd FROM features),
+ pens AS (SELECT unnest([{penalties}]::DOUBLE[]) AS penalty),
+ starts AS (SELECT entity, run, min(seq) AS s0, count(*) AS n_laps FROM src GROUP BY ALL),
+ warm AS (SELECT entity, run, seq, y, odd FROM src JOIN starts USING (entity, run) WHERE seq >= s0 + 3),
+ perrun AS (SELECT entity, run, count(*) FILTER (odd) AS n_odd, count(*) FILTER (NOT odd AND y IS NOT NULL) AS n_used FROM warm GROUP BY ALL),
+ clean AS MATERIALIZED (SELECT entity, run, seq, y, row_number() OVER (PARTITION BY entity, run ORDER BY seq) - 1 AS idx FROM warm WHERE NOT odd AND y IS NOT NULL),
+ st AS (SELECT entity, run, penalty, CAST(0 AS BIGINT) AS t, 0.0::DOUBLE AS p1, 0.0::DOUBLE AS p2, [0::BIGINT] AS ss, [0.0::DOUBLE] AS fs, [0.0::DOUBLE] AS aa,
+   [0.0::DOUBLE] AS bb, CAST([] AS BIGINT[]) AS back FROM perrun, pens WHERE n_used >= 6
+  UNION ALL SELECT entity, run, penalty, t, p1, p2, CASE WHEN low IS NULL THEN ss ELSE list_append(ss, t) END, CASE WHEN low IS NULL THEN fs ELSE list_append(fs, low + penalty) END,
+   CASE WHEN low IS NULL THEN aa ELSE list_append(aa, p1) END, CASE WHEN low IS NULL THEN bb ELSE list_append(bb, p2) END,
+   list_append(back, CASE WHEN low IS NULL THEN -1 ELSE ss[list_position(totals, low)] END) FROM (
+    SELECT *, list_min(totals) AS low FROM (SELECT *, list_transform(range(1, len(list_filter(ss, lambda s: s <= t - 3)) + 1),
+      lambda i: fs[i] + (p2 - bb[i]) - (p1 - aa[i]) * (p1 - aa[i]) / (t - ss[i])) AS totals FROM (
+     SELECT st.* EXCLUDE (t, p1, p2), t + 1 AS t, p1 + y AS p1, p2 + y * y AS p2 FROM st JOIN clean c ON c.entity = st.entity AND c.run = st.run AND c.idx = st.t)))),
+ ends AS (SELECT entity, run, penalty, arg_max(back, t) AS back, max(t) AS n FROM st GROUP BY ALL),
+ tr AS (SELECT entity, run, penalty, back, back[n] AS cut FROM ends WHERE n > 0
+  UNION ALL SELECT entity, run, penalty, back, back[cut] FROM tr WHERE cut > 0),
+ cuts AS MATERIALIZED (SELECT entity, run, penalty, cut, seq AS lap FROM tr JOIN clean USING (entity, run) WHERE cut > 0 AND idx = cut),
+ fst AS (SELECT entity, run, penalty, min(cut) AS c0, min(lap) AS cliff_lap, CAST(count(*) AS INTEGER) AS n_cp, string_agg(lap, ',' ORDER BY lap) AS all_laps FROM cuts GROUP BY ALL),
+ lev AS (SELECT entity, run, penalty, avg(y) FILTER (idx < c0) AS pre, avg(y) FILTER (idx >= c0) AS post,
+   regr_slope(y, idx) FILTER (idx < c0 AND idx >= c0 - 5) AS slope FROM clean JOIN fst USING (entity, run) GROUP BY ALL),
+ cliffs AS (SELECT *, post - pre AS big, CASE WHEN c0 >= 2 THEN slope END AS pre_slope FROM fst JOIN lev USING (entity, run, penalty) WHERE post - pre >= 0.3),
+ tab AS (SELECT s.entity, s.run, penalty, n_laps AS n_laps_in_stint, coalesce(n_odd, 0) AS n_anomalies_filtered, coalesce(n_used, 0) AS n_laps_analyzed,
+   coalesce(n_cp, 0) AS n_changepoints, cliff_lap IS NOT NULL AS has_cliff, cliff_lap, coalesce(all_laps, '') AS all_cliff_laps, c0 AS laps_before_cliff,
+   round(big, 6) AS cliff_delta_magnitude, round(pre, 6) AS regime_pre_cliff_mean, round(post, 6) AS regime_post_cliff_mean, round(pre_slope, 6) AS pre_cliff_slope,
+   coalesce(pre_slope > 0.05, false) AS cliff_validated
+   FROM starts s CROSS JOIN pens LEFT JOIN perrun USING (entity, run) LEFT JOIN cliffs USING (entity, run, penalty))"""
+
+
+def _recursive(sql: str) -> str:
+    return with_runs(FEATURES_SQL + sql).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+@query("changepoint_runs", _recursive(_cuts_sql("3.0") + " SELECT * EXCLUDE (penalty) FROM tab"))
 def changepoint_runs(spark, sf_dir):
-    return changepoints.detect_changepoints(cliff_input(spark, sf_dir), ROLES)[1]
+    out = changepoints.detect_changepoints(cliff_input(spark, sf_dir), ROLES)[1]
+    return rounded(out.withColumn("all_cliff_laps", F.array_join("all_cliff_laps", ",")))
 
 
-@query("changepoint_rows")
+@query("changepoint_rows", _recursive(_cuts_sql("3.0") + """, marks AS (SELECT entity, run, lap AS seq FROM cuts JOIN cliffs USING (entity, run, penalty))
+ SELECT entity, seq, run, round(measure, 6) AS measure, round(measure / 20, 6) AS lap_delta, measure > 150 AS is_anomaly,
+  CAST(count(mk) OVER (PARTITION BY entity, run ORDER BY seq) AS INTEGER) AS stint_regime, mk IS NOT NULL AS is_cliff_lap
+ FROM (SELECT f.entity, f.seq, CAST(floor((f.seq - 1) / 20) + 1 AS INTEGER) AS run, measure, m.seq AS mk FROM features f
+   LEFT JOIN marks m ON m.entity = f.entity AND m.seq = f.seq AND m.run = CAST(floor((f.seq - 1) / 20) + 1 AS INTEGER))"""))
 def changepoint_rows(spark, sf_dir):
-    return changepoints.detect_changepoints(cliff_input(spark, sf_dir), ROLES)[0]
+    return rounded(changepoints.detect_changepoints(cliff_input(spark, sf_dir), ROLES)[0])
 
 
-@query("penalty_sweep")
+@query("penalty_sweep", _recursive(_cuts_sql(", ".join(map(str, changepoints.PENALTY_SWEEP))) + """ SELECT penalty, count(*) AS n_stints, count(*) FILTER (has_cliff) AS n_cliffs,
+ round(100.0 * count(*) FILTER (has_cliff) / count(*), 6) AS cliff_rate, count(*) FILTER (cliff_validated) AS n_validated,
+ round(CASE WHEN count(*) FILTER (has_cliff) > 0 THEN 100.0 * count(*) FILTER (cliff_validated) / count(*) FILTER (has_cliff) ELSE 0 END, 6) AS validated_rate,
+ round(coalesce(avg(abs(post - pre)) FILTER (has_cliff), 0), 6) AS mean_magnitude, round(coalesce(avg(laps_before_cliff) FILTER (has_cliff), 0), 6) AS mean_laps_before
+ FROM tab LEFT JOIN (SELECT entity, run, penalty, pre, post FROM cliffs) USING (entity, run, penalty) GROUP BY penalty"""))
 def penalty_sweep(spark, sf_dir):
-    return changepoints.penalty_sweep(cliff_input(spark, sf_dir), ROLES)
+    return rounded(changepoints.penalty_sweep(cliff_input(spark, sf_dir), ROLES))
 
 
 @query("isolation_forest")
