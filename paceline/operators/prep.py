@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -11,8 +12,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paceline.operators.keyed import attach_stats, group_quantiles, top_by
+from paceline.operators.nearest import Cells, neighbours
 from paceline.operators.stats import clean_number
-from paceline.operators.tiles import tile_pairs
+from paceline.operators.tiles import TILE_ROWS, tile_pairs
+from paceline.session import stage
 
 _NUMERIC = ("double", "float", "int", "bigint", "smallint", "tinyint")
 
@@ -66,23 +69,13 @@ def impute(df: DataFrame, columns: Sequence[str] | None = None, strategy: str =
                         for c in df.columns])
 
 
-def knn_impute(df: DataFrame, row_id: str, columns: Sequence[str], k: int = 5, keys: Sequence[str] = ()) -> DataFrame:
-    """Replace a missing value by the mean of the ``k`` nearest rows that have it.
-
-    Distance is Euclidean over the columns both rows have, scaled up for the missing ones. Rows with
-    gaps meet the donors tile by tile; a tile returns at most ``k`` donors per gap, so neither the
-    pairs nor a group are ever gathered. ``keys`` restrict donors to the same block. A column
-    without donors takes the column mean.
-    """
-    columns, keys = list(columns), list(keys)
-    base = df.select(*keys, F.col(row_id).alias("_id"), *[clean_number(c).alias(c) for c in columns])
+def _donors_by_tiles(base: DataFrame, keys: list[str], columns: list[str], k: int) -> DataFrame:
+    """(keys, _id, _col, _d, _donor, _v): for each gap ``k`` donors or more of groups that are a few tiles; every pair is looked at."""
     gappy = F.lit(False)
     for c in columns:
         gappy = gappy | F.col(c).isNull()
-    schema = T.StructType([*[f for f in df.schema.fields if f.name in keys],
-                           T.StructField("_id", df.schema[row_id].dataType),
-                           T.StructField("_col", T.StringType()), T.StructField("_d", T.DoubleType()),
-                           T.StructField("_donor", df.schema[row_id].dataType), T.StructField("_v", T.DoubleType())])
+    schema = T.StructType([*[base.schema[c] for c in [*keys, "_id"]], T.StructField("_col", T.StringType()), T.StructField("_d", T.DoubleType()),
+                           T.StructField("_donor", base.schema["_id"].dataType), T.StructField("_v", T.DoubleType())])
 
     def nearest(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         rows = []
@@ -102,10 +95,52 @@ def knn_impute(df: DataFrame, row_id: str, columns: Sequence[str], k: int = 5, k
                 rows += [[*key, left["_id"].iloc[i], columns[j], d[m], donor[m], b[m, j]] for m in best]
         return pd.DataFrame(rows, columns=[f.name for f in schema.fields])
 
-    near = tile_pairs(base.where(gappy), base, keys, "_id", nearest, schema)
-    best = top_by(near, [*keys, "_id", "_col"], [F.col("_d"), F.col("_donor")], k)
-    fills = best.groupBy(*keys, "_id").agg(*[
-        F.avg(F.when(F.col("_col") == c, F.col("_v"))).alias(f"{c}_knn") for c in columns])
+    return tile_pairs(base.where(gappy), base, keys, "_id", nearest, schema)
+
+
+def _donors_by_pivots(base: DataFrame, keys: list[str], columns: list[str], k: int) -> DataFrame:
+    """The same for groups of any size, keyed: rows that know the same columns share a pattern, and between two
+    patterns the distance is Euclidean over the columns they share, so a row only meets donors that can be near.
+    """
+    full = (1 << len(columns)) - 1
+    known = [F.when(F.col(c).isNotNull(), 1 << i).otherwise(0) for i, c in enumerate(columns)]
+    base = stage(base.withColumn("_mask", reduce(Column.__add__, known)), "imputed")
+    have = base.select(*keys, F.col("_mask").alias("_have")).distinct()
+    lack = have.where(F.col("_have") != full).withColumnRenamed("_have", "_lack")
+    both = F.col("_lack").bitwiseAND(F.col("_have"))
+    # Patterns are few; a pair counts where the distance is defined and the donor has something to give.
+    patterns = stage(lack.join(have, keys).where((both != 0) & (F.lit(full).bitwiseXOR(F.col("_lack")).bitwiseAND(F.col("_have")) != 0)), "patterns")
+    shared = F.filter(F.array(*[F.when(both.bitwiseAND(F.lit(1 << i)) != 0, F.col(c)) for i, c in enumerate(columns)]), lambda v: v.isNotNull())
+    block = [*keys, "_lack", "_have"]
+    seekers = base.withColumnRenamed("_mask", "_lack").join(patterns, [*keys, "_lack"]).select(*block, "_id", shared.alias("_f"))
+    donors = base.withColumnRenamed("_mask", "_have").join(patterns, [*keys, "_have"]).select(*block, "_id", shared.alias("_f"))
+    near = neighbours(Cells(donors, block), k, seekers=seekers, pairs=tile_pairs)
+    far = F.sqrt(F.col("s") * len(columns) / F.bit_count(both))
+    given = near.select(*block, "_id", "other", far.alias("_d")).join(base.drop("_mask").withColumnRenamed("_id", "other"), [*keys, "other"])
+    cells = F.array(*[F.when(F.col("_lack").bitwiseAND(F.lit(1 << i)) == 0, F.struct(F.lit(c).alias("c"), F.col(c).alias("v"))) for i, c in enumerate(columns)])
+    return (given.select(*keys, "_id", "other", "_d", F.explode(cells).alias("x")).where("x.v IS NOT NULL")
+            .select(*keys, "_id", F.col("x.c").alias("_col"), "_d", F.col("other").alias("_donor"), F.col("x.v").alias("_v")))
+
+
+def knn_impute(df: DataFrame, row_id: str, columns: Sequence[str], k: int = 5, keys: Sequence[str] = (), block_rows: int = 4 * TILE_ROWS) -> DataFrame:
+    """Replace a missing value by the mean of the ``k`` nearest rows that have it.
+
+    Distance is Euclidean over the columns both rows have, scaled up for the missing ones; ties go to
+    the smaller id. ``keys`` restrict donors to the same block. A column without donors takes the
+    column mean. Blocks of up to ``block_rows`` rows are searched tile by tile, larger ones by pivots
+    (``nearest``), where the pairs looked at grow about as the rows do; the result is the same.
+    """
+    columns, keys = list(columns), list(keys)
+    gk = keys or ["_all"]
+    base = df.select(*keys, F.col(row_id).alias("_id"), *[clean_number(c).alias(c) for c in columns])
+    base = base if keys else base.withColumn("_all", F.lit(0))
+    base = stage(attach_stats(base, gk, [F.count(F.lit(1)).alias("_n")]), "imputed")
+    large = base.where(F.col("_n") > block_rows).drop("_n")
+    near = _donors_by_tiles(base.where(F.col("_n") <= block_rows).drop("_n"), gk, columns, k)
+    if not large.isEmpty():
+        near = near.unionByName(_donors_by_pivots(large, gk, columns, k))
+    best = top_by(near, [*gk, "_id", "_col"], [F.col("_d"), F.col("_donor")], k)
+    fills = best.groupBy(*keys, "_id").agg(*[F.avg(F.when(F.col("_col") == c, F.col("_v"))).alias(f"{c}_knn") for c in columns])
     out = df.join(fills.withColumnRenamed("_id", row_id), [*keys, row_id], "left")
     out = attach_stats(out, keys, [F.avg(clean_number(c)).alias(f"{c}_mean") for c in columns])
     return out.select(*[F.coalesce(clean_number(c), F.col(f"{c}_knn"), F.col(f"{c}_mean")).alias(c)

@@ -50,7 +50,8 @@ def map_packed(df: DataFrame, keys: Sequence[str], prefixes: Sequence[str], work
                 res = work(*tables)
                 if len(res):
                     out.append(res[names])
-            yield pd.concat(out, ignore_index=True) if out else pd.DataFrame({n: [] for n in names})
+            if out:
+                yield pd.concat(out, ignore_index=True)
 
     return df.mapInPandas(run, schema)
 
