@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -52,42 +53,78 @@ def _nearest(features: Column, centroids: Column) -> Column:
         squared_distance(c, features).alias("d"), j.cast("int").alias("label"))))
 
 
-def kmeans_centroids(points: DataFrame, keys: Sequence[str], dims: int, k: int = CLUSTERS, tol: float = 1e-6) -> DataFrame:
+#: Iterations that one job carries out.
+ROUNDS_A_JOB = 4
+
+
+def _lloyd(points: DataFrame, cents: DataFrame, keys: list[str], dims: int) -> DataFrame:
+    """One iteration for all groups and models: (keys, _m), a model being (id, c: centroids, shift: how far the farthest moved)."""
+    label = F.transform("_m", lambda m: F.struct(m["id"].alias("id"), _nearest(F.col("_f"), m["c"])["label"].alias("label")))
+    labelled = _with(points, cents, keys).select(*keys, "_f", F.explode(label).alias("_l"))
+    means = labelled.groupBy(*keys, F.col("_l.id").alias("_id"), F.col("_l.label").alias("_label")).agg(
+        F.array(*[F.avg(F.col("_f")[i]) for i in range(dims)]).alias("_v"))
+    found = F.map_from_entries(F.collect_list(F.struct(F.struct("_id", "_label"), "_v"))).alias("_new")
+    moved = means.groupBy(*keys).agg(found) if keys else means.agg(found)
+
+    def next_model(m: Column) -> Column:
+        # A centroid that lost all its rows stays where it was.
+        new = F.transform(m["c"], lambda c, j: F.coalesce(F.try_element_at(F.col("_new"), F.struct(m["id"].alias("_id"), j.cast("int").alias("_label"))), c))
+        return F.struct(m["id"].alias("id"), new.alias("c"), F.array_max(F.zip_with(m["c"], new, squared_distance)).alias("shift"))
+
+    return _with(cents, moved, keys).select(*keys, F.transform("_m", next_model).alias("_m"))
+
+
+def _settled(points: DataFrame, cents: DataFrame, keys: list[str], dims: int, tol: float) -> DataFrame:
+    """Iterate until no centroid moves by more than ``tol`` deviations of its group's features; settled models leave the loop.
+
+    ``cents`` has the keys, ``_m`` and ``_var``, the mean variance of the features. Every
+    iteration lowers the inertia of a model or is its last, so there is no number of them to choose.
+    """
+    done: list[DataFrame] = []
+    flat = lambda df: df.select(*keys, "_var", F.explode("_m").alias("m"))
+    while True:
+        now = cents.drop("_var")
+        for _ in range(ROUNDS_A_JOB):
+            now = _lloyd(points, now, keys, dims)
+        models = stage(flat(_with(cents.select(*keys, "_var"), now, keys)), "centroids")
+        discard(cents)
+        still = F.col("m.shift") > F.col("_var") * tol * tol
+        done.append(models.where(~F.coalesce(still, F.lit(False))))
+        grouped = models.where(still)
+        aggs = (F.first("_var").alias("_var"), F.collect_list("m").alias("_m"))
+        cents = stage((grouped.groupBy(*keys).agg(*aggs) if keys else grouped.agg(*aggs).where(F.size("_m") > 0)), "centroids")
+        if cents.isEmpty():
+            discard(cents)
+            return reduce(DataFrame.unionByName, done).select(*keys, F.col("m.id").alias("_model"), F.col("m.c").alias("_c"))
+
+
+def _moments(points: DataFrame, keys: list[str], dims: int) -> DataFrame:
+    aggs = [F.count(F.lit(1)).alias("_n")]
+    for i in range(dims):
+        aggs += [F.avg(F.col("_f")[i]).alias(f"_m{i}"), F.stddev_pop(F.col("_f")[i]).alias(f"_s{i}")]
+    out = points.groupBy(*keys).agg(*aggs) if keys else points.agg(*aggs)
+    variance = reduce(Column.__add__, [F.col(f"_s{i}") * F.col(f"_s{i}") for i in range(dims)]) / dims
+    return out.withColumn("_var", variance)
+
+
+def kmeans_centroids(points: DataFrame, keys: Sequence[str], dims: int, k: int = CLUSTERS, tol: float = 1e-9) -> DataFrame:
     """(keys, _c): k centroids per group with at least k rows, by Lloyd's iteration.
 
     ``points`` holds the keys and ``_f``, an array of ``dims`` numbers. Seeds lie on the diagonal
     through the group mean, one population deviation apart, so results do not depend on chance or
     on partitioning. An iteration is one join with the small centroid table and one aggregation that
-    combines on the map side; the new centroids are written and read back, which keeps the plan flat.
-    Rounds go on until no centroid of any group moves by more than ``tol``. Every round lowers the
-    inertia or is the last, so there is no number of rounds to choose.
+    combines on the map side; a few of them make a job, whose centroids are written and read back.
+    ``tol`` counts in deviations of the features, whatever their size.
     """
     keys = list(keys)
-    f = [F.col("_f")[i] for i in range(dims)]
-    aggs = [F.count(F.lit(1)).alias("_n")]
-    for i in range(dims):
-        aggs += [F.avg(f[i]).alias(f"_m{i}"), F.stddev_pop(f[i]).alias(f"_s{i}")]
     seed = F.array(*[F.array(*[F.col(f"_m{i}") + F.lit(j - (k - 1) / 2) * F.col(f"_s{i}") for i in range(dims)])
                      for j in range(k)])
-    grouped = points.groupBy(*keys).agg(*aggs) if keys else points.agg(*aggs)
-    cents = stage(grouped.where(F.col("_n") >= k).select(*keys, seed.alias("_c")), "centroids")
-    while True:
-        labelled = _with(points, cents, keys).select(*keys, "_f", _nearest(F.col("_f"), F.col("_c"))["label"].alias("_l"))
-        means = labelled.groupBy(*keys, "_l").agg(F.array(*[F.avg(x) for x in f]).alias("_v"))
-        per_label = F.map_from_entries(F.collect_list(F.struct("_l", "_v"))).alias("_new")
-        moved = means.groupBy(*keys).agg(per_label) if keys else means.agg(per_label)
-        # A centroid that lost all its rows stays where it was.
-        new = F.transform(F.col("_c"), lambda c, j: F.coalesce(F.try_element_at("_new", j.cast("int")), c))
-        shift = F.array_max(F.zip_with("_c", "_now", squared_distance))
-        before, cents = cents, stage(_with(cents, moved, keys).withColumn("_now", new)
-                                     .select(*keys, F.col("_now").alias("_c"), shift.alias("_shift")), "centroids")
-        discard(before)
-        worst = cents.agg(F.max("_shift")).first()[0]
-        if worst is None or worst <= tol * tol:
-            return cents.drop("_shift")
+    model = F.array(F.struct(F.lit(0).alias("id"), seed.alias("c"), F.lit(0.0).alias("shift")))
+    cents = stage(_moments(points, keys, dims).where(F.col("_n") >= k).select(*keys, "_var", model.alias("_m")), "centroids")
+    return _settled(points, cents, keys, dims, tol).drop("_model")
 
 
-def kmeans(df: DataFrame, keys: Sequence[str], features: Sequence[str], k: int = CLUSTERS, tol: float = 1e-6) -> DataFrame:
+def kmeans(df: DataFrame, keys: Sequence[str], features: Sequence[str], k: int = CLUSTERS, tol: float = 1e-9) -> DataFrame:
     """Append cluster_label and cluster_centroid_distance; groups below k rows get -1 and NULL.
 
     So do rows with a missing feature; impute before to have them clustered.
@@ -95,12 +132,74 @@ def kmeans(df: DataFrame, keys: Sequence[str], features: Sequence[str], k: int =
     require(df, features)
     points = stage(df.where(complete(features)).select(*keys, vector(features).alias("_f")), "points")
     cents = kmeans_centroids(points, keys, len(features), k, tol)
+    return _labelled(df, cents, keys, features)
+
+
+def _labelled(df: DataFrame, cents: DataFrame, keys: Sequence[str], features: Sequence[str]) -> DataFrame:
     near = F.when(complete(features), _nearest(vector(features), F.col("_c")))
     out = _with(df, cents, keys, "left").withColumn("_near", near)
     return out.select(*df.columns, F.coalesce(F.col("_near.label"), F.lit(NOISE)).alias("cluster_label"),
                       F.sqrt("_near.d").alias("cluster_centroid_distance"))
 
 
+def kmeans_models(df: DataFrame, keys: Sequence[str], row_id: str, features: Sequence[str], ks: Sequence[int] = (CLUSTERS,),
+                  starts: int = 10, tol: float = 1e-9) -> DataFrame:
+    """(keys, k, inertia, _c): for each group and each of ``ks`` the best of ``starts`` K-means models.
+
+    A start takes its seeds from the rows: the first by a hash of ``row_id`` and the start, each further
+    one the row that is hash-drawn with a chance in proportion to its squared distance from the seeds
+    so far (Arthur and Vassilvitskii 2007), by the smallest exponential of rate d. All starts and all ks run in the same
+    iterations; settled ones leave. Equal inertia goes to the earlier start. Groups with fewer rows
+    than k have no model of that k.
+    """
+    require(df, features)
+    keys, dims, most = list(keys), len(features), max(ks)
+    points = stage(df.where(complete(features)).select(*keys, F.col(row_id).alias("_row"), vector(features).alias("_f")), "points")
+    # Uniform numbers in (0, 1) that depend on row, start and draw only.
+    def uniform(start: Column, draw: int) -> Column:
+        digest = F.md5(F.concat_ws(":", F.col("_row").cast("string"), start.cast("string"), F.lit(str(draw))))
+        return (F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") + 0.5) / F.lit(float(1 << 32))
+
+    numbers = F.array(*[F.lit(s) for s in range(starts)])
+    seeds = None
+    for draw in range(most):
+        if seeds is None:
+            rows = points.select(*keys, "_row", "_f", F.explode(numbers).alias("_start"), F.array().cast("array<array<double>>").alias("_c"))
+            chance = F.lit(1.0)
+        else:
+            held = F.array(*[F.struct(F.lit(s).alias("s")) for s in range(starts)])
+            rows = (_with(points, seeds, keys).withColumn("_x", F.explode(held)).withColumn("_start", F.col("_x.s"))
+                    .withColumn("_c", F.try_element_at("_all", F.col("_start"))).select(*keys, "_row", "_f", "_start", "_c"))
+            chance = F.array_min(F.transform("_c", lambda c: squared_distance(c, F.col("_f"))))
+        wait = F.when(chance > 0, -F.log(uniform(F.col("_start"), draw)) / chance).otherwise(F.lit(float("inf")))
+        best = rows.groupBy(*keys, "_start").agg(F.min_by(F.struct("_f", "_c"), F.struct(wait, F.col("_row"))).alias("_b"))
+        grown = F.struct("_start", F.concat("_b._c", F.array("_b._f")).alias("c"))
+        before, entries = seeds, F.map_from_entries(F.collect_list(grown)).alias("_all")
+        seeds = stage(best.groupBy(*keys).agg(entries) if keys else best.agg(entries), "seeds")
+        if before is not None:
+            discard(before)
+    moments = _moments(points, keys, dims)
+    models = F.flatten(F.transform(F.map_entries("_all"), lambda e: F.array(*[F.struct(
+        (e["key"] + F.lit(k * starts)).alias("id"), F.slice(e["value"], 1, k).alias("c"), F.lit(0.0).alias("shift")) for k in ks])))
+    fitting = F.filter(models, lambda m: F.floor(m["id"] / starts) <= F.col("_n"))
+    cents = stage(_with(moments.select(*keys, "_n", "_var"), seeds, keys).select(*keys, "_var", fitting.alias("_m")).where(F.size("_m") > 0), "centroids")
+    final = stage(_settled(points, cents, keys, dims, tol), "models")
+    bundle = F.collect_list(F.struct("_model", "_c")).alias("_m")
+    per = _with(points, final.groupBy(*keys).agg(bundle) if keys else final.agg(bundle), keys)
+    spread = per.select(*keys, F.explode(F.transform("_m", lambda m: F.struct(m["_model"].alias("model"), _nearest(F.col("_f"), m["_c"])["d"].alias("d")))).alias("x"))
+    total = spread.groupBy(*keys, F.col("x.model").alias("_model")).agg(F.sum("x.d").alias("inertia"))
+    rated = total.join(final, [*keys, "_model"]).withColumn("k", F.floor(F.col("_model") / starts).cast("int"))
+    # Rounding noise of the sums does not decide between equal models.
+    rank = F.struct(F.round("inertia", 9), F.col("_model"))
+    return rated.groupBy(*keys, "k").agg(F.min_by(F.struct("inertia", "_c"), rank).alias("_b")).select(*keys, "k", "_b.inertia", "_b._c")
+
+
+def kmeans_best(df: DataFrame, keys: Sequence[str], row_id: str, features: Sequence[str], k: int = CLUSTERS, starts: int = 10) -> DataFrame:
+    """:func:`kmeans` with the best of several starts. Clusters are numbered by their centroids, first feature first."""
+    cents = kmeans_models(df, keys, row_id, features, (k,), starts).select(*keys, F.array_sort("_c").alias("_c"))
+    return _labelled(df, cents, keys, features)
+
+
 def inertia(df: DataFrame, keys: Sequence[str], distance: str = "cluster_centroid_distance") -> DataFrame:
     """Sum of squared distances to the own centroid."""
     total = F.sum(F.col(distance) * F.col(distance)).alias("inertia")
