@@ -116,12 +116,29 @@ def kmeans_centroids(points: DataFrame, keys: Sequence[str], dims: int, k: int =
     combines on the map side; a few of them make a job, whose centroids are written and read back.
     ``tol`` counts in deviations of the features, whatever their size.
     """
+    return _diagonal_models(points, list(keys), dims, (k,), tol).drop("k")
+
+
+def _diagonal_models(points: DataFrame, keys: list[str], dims: int, ks: Sequence[int], tol: float) -> DataFrame:
+    """(keys, k, _c): the centroids of :func:`kmeans_centroids` for every k, found in the same iterations."""
+    def model(k: int) -> Column:
+        seed = F.array(*[F.array(*[F.col(f"_m{i}") + F.lit(j - (k - 1) / 2) * F.col(f"_s{i}") for i in range(dims)]) for j in range(k)])
+        return F.when(F.col("_n") >= k, F.struct(F.lit(k).alias("id"), seed.alias("c"), F.lit(0.0).alias("shift")))
+
+    models = F.filter(F.array(*[model(k) for k in ks]), lambda m: m.isNotNull())
+    cents = stage(_moments(points, keys, dims).where(F.col("_n") >= min(ks)).select(*keys, "_var", models.alias("_m")), "centroids")
+    return _settled(points, cents, keys, dims, tol).select(*keys, F.col("_model").alias("k"), "_c")
+
+
+def kmeans_each_k(df: DataFrame, keys: Sequence[str], features: Sequence[str], ks: Sequence[int], tol: float = 1e-9) -> DataFrame:
+    """``df`` with the labels of :func:`kmeans` once for every k of ``ks`` that its group has rows for, told by column ``k``; clustered rows only."""
+    require(df, features)
     keys = list(keys)
-    seed = F.array(*[F.array(*[F.col(f"_m{i}") + F.lit(j - (k - 1) / 2) * F.col(f"_s{i}") for i in range(dims)])
-                     for j in range(k)])
-    model = F.array(F.struct(F.lit(0).alias("id"), seed.alias("c"), F.lit(0.0).alias("shift")))
-    cents = stage(_moments(points, keys, dims).where(F.col("_n") >= k).select(*keys, "_var", model.alias("_m")), "centroids")
-    return _settled(points, cents, keys, dims, tol).drop("_model")
+    rows = df.where(complete(features))
+    points = stage(rows.select(*keys, vector(features).alias("_f")), "points")
+    cents = _diagonal_models(points, keys, len(features), ks, tol)
+    out = (rows.join(cents, keys) if keys else rows.join(F.broadcast(cents))).withColumn("_near", _nearest(vector(features), F.col("_c")))
+    return out.select(*df.columns, "k", F.col("_near.label").alias("cluster_label"), F.sqrt("_near.d").alias("cluster_centroid_distance"))
 
 
 def kmeans(df: DataFrame, keys: Sequence[str], features: Sequence[str], k: int = CLUSTERS, tol: float = 1e-9) -> DataFrame:

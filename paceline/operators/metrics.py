@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -12,8 +11,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paceline.functions.columns import clamp
-from paceline.operators.clustering import NOISE, complete, inertia, kmeans, squared_distance, vector
+from paceline.operators.clustering import NOISE, complete, inertia, kmeans_each_k, squared_distance, vector
 from paceline.operators.tiles import tile_pairs
+from paceline.session import stage
 
 SILHOUETTE_PASS = 0.25
 DAVIES_BOULDIN_PASS = 1.5
@@ -68,12 +68,43 @@ def silhouette(df: DataFrame, keys: Sequence[str], row_id: str, features: Sequen
     return _grouped(row, keys, F.avg(F.when(F.col("_b").isNotNull(), s)).alias("silhouette_score"))
 
 
+def silhouette_squared(df: DataFrame, keys: Sequence[str], features: Sequence[str], label: str = "cluster_label") -> DataFrame:
+    """(keys, silhouette_score): the silhouette under squared Euclidean distance, exactly and in one pass over the rows.
+
+    The mean squared distance of x to a cluster is ``|x|^2 + mean |y|^2 - 2 x . mean y``, so a row needs
+    the count, mean and mean square of each cluster of its group, which add up from partial sums.
+    Features are taken from the group mean, which keeps the differences exact where they lie far out.
+    A measure of its own: values differ from :func:`silhouette`, the sign and order of clear cases do not.
+    """
+    keys, dims = list(keys), len(features)
+    f = vector(features)
+    middle = _grouped(df, keys, F.array(*[F.avg(f[i]) for i in range(dims)]).alias("_o"))
+    rows = _join(df.select(*keys, F.col(label).cast("int").alias("_l"), f.alias("_raw")), middle, keys, "inner")
+    rows = rows.select(*keys, "_l", F.zip_with("_raw", "_o", lambda x, o: x - o).alias("_f"))
+    square = F.aggregate("_f", F.lit(0.0), lambda acc, v: acc + v * v)
+    per = rows.groupBy(*keys, "_l").agg(F.count(F.lit(1)).alias("n"), F.array(*[F.avg(F.col("_f")[i]) for i in range(dims)]).alias("c"), F.avg(square).alias("q"))
+    clusters = _grouped(per, keys, F.collect_list(F.struct("_l", "n", "c", "q")).alias("_all"))
+
+    def mean_square(c: Column) -> Column:
+        product = F.aggregate(F.zip_with("_f", c["c"], lambda x, y: x * y), F.lit(0.0), lambda acc, v: acc + v)
+        return F.greatest(F.col("_x2") + c["q"] - 2 * product, F.lit(0.0))
+
+    met = _join(rows.withColumn("_x2", square), clusters, keys, "inner")
+    met = met.withColumn("_own", F.filter("_all", lambda c: c["_l"] == F.col("_l"))[0]).withColumn("_b", F.array_min(
+        F.transform(F.filter("_all", lambda c: c["_l"] != F.col("_l")), mean_square)))
+    n = F.col("_own.n")
+    met = met.withColumn("_a", F.when(n > 1, mean_square(F.col("_own")) * n / (n - 1)))
+    wide = F.greatest("_a", "_b")
+    s = F.when(n == 1, 0.0).when(wide > 0, (F.col("_b") - F.col("_a")) / wide).otherwise(0.0)
+    return _grouped(met, keys, F.avg(F.when(F.col("_b").isNotNull(), s)).alias("silhouette_score"))
+
+
 def cluster_quality(df: DataFrame, keys: Sequence[str], row_id: str, features: Sequence[str],
-                    label: str = "cluster_label", remove_noise: bool = True) -> DataFrame:
+                    label: str = "cluster_label", remove_noise: bool = True, squared: bool = False) -> DataFrame:
     """Cluster counts, silhouette, Davies-Bouldin and Calinski-Harabasz per group.
 
     Rows with a missing feature count as noise. With fewer than two clusters the scores are NULL and ``error`` says why. All but the silhouette
-    come from per-cluster sums.
+    come from per-cluster sums; with ``squared`` it does, too (:func:`silhouette_squared`), and the cost no longer grows with the square of a group.
     """
     keys = list(keys)
     noise = (F.col(label) == NOISE) | ~complete(features)
@@ -100,7 +131,8 @@ def cluster_quality(df: DataFrame, keys: Sequence[str], row_id: str, features: S
     db = _grouped(worst, keys, F.avg("_r").alias("_db"))
 
     out = counts
-    for t in (overall.drop("_centre"), between, db, silhouette(clean, keys, row_id, features, label)):
+    for t in (overall.drop("_centre"), between, db, 
+              silhouette_squared(clean, keys, features, label) if squared else silhouette(clean, keys, row_id, features, label)):
         out = _join(out, t, keys)
     ok = F.coalesce(F.col("n_clusters") >= 2, F.lit(False))
     k, n = F.col("n_clusters"), F.col("n_samples")
@@ -143,16 +175,18 @@ def quality_verdict(q: DataFrame, silhouette_pass: float = SILHOUETTE_PASS,
 
 def choose_k(df: DataFrame, keys: Sequence[str], row_id: str, features: Sequence[str],
              ks: Sequence[int] = (2, 3, 4, 5, 6), method: str = "silhouette") -> DataFrame:
-    """(keys, k): the k of best silhouette, or of the sharpest bend of the inertia."""
-    ks = list(ks)
-    runs = {k: kmeans(df, keys, features, k) for k in ks}
-    if method == "silhouette":
-        scored = [silhouette(r.where(F.col("cluster_label") != NOISE), keys, row_id, features)
-                  .select(*keys, F.lit(k).alias("k"), F.col("silhouette_score").alias("_s")) for k, r in runs.items()]
-        every = reduce(DataFrame.unionByName, scored).where(F.col("_s").isNotNull())
-        return _grouped(every, keys, F.max_by("k", F.struct(F.col("_s"), -F.col("k"))).alias("k"))
-    total = [inertia(r, keys).select(*keys, F.lit(k).alias("k"), "inertia") for k, r in runs.items()]
-    every = reduce(DataFrame.unionByName, total).where(F.col("inertia").isNotNull())
+    """(keys, k): the k of best silhouette (``silhouette``, or in one pass ``silhouette_squared``), or of the sharpest bend of the inertia (``elbow``).
+
+    The models of all ``ks`` are found in the same iterations.
+    """
+    keys = list(keys)
+    runs = stage(kmeans_each_k(df, keys, features, ks), "models")
+    each = [*keys, "k"]
+    if method != "elbow":
+        scored = silhouette_squared(runs, each, features) if method == "silhouette_squared" else silhouette(runs, each, row_id, features)
+        every = scored.where(F.col("silhouette_score").isNotNull())
+        return _grouped(every, keys, F.max_by("k", F.struct("silhouette_score", -F.col("k"))).alias("k"))
+    every = inertia(runs, each).where(F.col("inertia").isNotNull())
     ordered = _grouped(every, keys, F.sort_array(F.collect_list(F.struct("k", "inertia"))).alias("_i"))
     v = F.col("_i")
     bends = F.transform(F.sequence(F.lit(1), F.size(v) - 2), lambda i: F.struct(

@@ -192,11 +192,49 @@ def quality_verdict(spark, sf_dir):
     return metrics.quality_verdict(quality(spark, sf_dir)).select("entity", "silhouette_pass", "davies_bouldin_pass", "quality")
 
 
-@query("choose_k")
+# The models of every k, each by its own unrolled iteration.
+_EACH_K_SQL = FEATURES_SQL + ", each AS (" + " UNION ALL ".join(
+    f"SELECT entity, seq, f0, f1, cluster_label, cluster_centroid_distance AS d, {k} AS k FROM (WITH {_kmeans_sql('features', 'entity', _F2, k, ROUNDS, 'seq')} SELECT * FROM km WHERE cluster_label >= 0)"
+    for k in (2, 3, 4, 5, 6)) + ")"
+
+
+@query("choose_k", with_runs(_EACH_K_SQL + """, i AS (SELECT entity, k, sum(d * d) AS s, count(*) OVER (PARTITION BY entity) AS n FROM each GROUP BY entity, k),
+ b AS (SELECT entity, k, n, abs(lead(s) OVER w - 2 * s + lag(s) OVER w) AS bend, row_number() OVER w AS rn FROM i WINDOW w AS (PARTITION BY entity ORDER BY k))
+ SELECT entity, CASE WHEN n >= 3 THEN arg_max(k, bend) ELSE min(k) END AS k FROM b GROUP BY entity, n"""))
 def choose_k(spark, sf_dir):
     return metrics.choose_k(features(spark, sf_dir).select("entity", "seq", *_F2), ["entity"], "seq", _F2, method="elbow")
 
 
+def _squared_sql(src: str, by: str) -> str:
+    """Mean over rows of the silhouette from all pairs of squared distances; leaves the CTE ``sq``."""
+    on = " AND ".join(f"a.{c} = b.{c}" for c in by.split(", "))
+    a_by = ", ".join(f"a.{c}" for c in by.split(", "))
+    return f""", sp AS (SELECT {a_by}, a.seq, a.cluster_label AS l, b.cluster_label AS o, sum(power(a.f0 - b.f0, 2) + power(a.f1 - b.f1, 2)) AS d, count(*) AS c
+   FROM {src} a JOIN {src} b ON {on} GROUP BY ALL),
+ sa AS (SELECT {by}, seq, max(c) FILTER (o = l) AS n, max(CASE WHEN o = l AND c > 1 THEN d / (c - 1) END) AS a, min(CASE WHEN o <> l THEN d / c END) AS b FROM sp GROUP BY {by}, seq),
+ sq AS (SELECT {by}, avg(CASE WHEN b IS NOT NULL THEN CASE WHEN n = 1 THEN 0 WHEN greatest(a, b) > 0 THEN (b - a) / greatest(a, b) ELSE 0 END END) AS score FROM sa GROUP BY {by})"""
+
+
+@query("choose_k_silhouette", with_runs(_EACH_K_SQL + _squared_sql("each", "entity, k") + """
+ SELECT entity, arg_max(k, round(score, 9) - k * 1e-12) AS k FROM sq WHERE score IS NOT NULL GROUP BY entity"""))
+def choose_k_silhouette(spark, sf_dir):
+    return metrics.choose_k(features(spark, sf_dir).select("entity", "seq", *_F2), ["entity"], "seq", _F2, method="silhouette_squared")
+
+
+@query("silhouette_squared", with_runs(QUALITY_SQL + ", own AS (SELECT * FROM lab WHERE cluster_label <> -1)" + _squared_sql("own", "entity")
+       + " SELECT entity, round(score, 6) AS silhouette_score FROM sq"))
+def silhouette_squared(spark, sf_dir):
+    src = _with_noise(clustered(spark, sf_dir)).where("cluster_label <> -1")
+    return rounded(metrics.silhouette_squared(src, ["entity"], _F2))
+
+
+@query("cluster_quality_squared", with_runs(QUALITY_SQL + ", own AS (SELECT * FROM lab WHERE cluster_label <> -1)" + _squared_sql("own", "entity")
+       + " SELECT q.* REPLACE (CASE WHEN n_clusters >= 2 THEN round(score, 6) END AS silhouette_score) FROM q LEFT JOIN sq USING (entity)"))
+def cluster_quality_squared(spark, sf_dir):
+    """The quality of clusters at any size of a group: every score from sums per cluster."""
+    return _round_quality(metrics.cluster_quality(_with_noise(clustered(spark, sf_dir)), ["entity"], "seq", _F2, squared=True))
+
+
 # Anomalies and cliffs by rule, so that SQL can follow.
 _RULE = ", an AS (SELECT entity, seq, measure, k > 90 AS is_anomaly, -0.4 - k / 1000.0 AS anomaly_score FROM laps)"
 
@@ -394,10 +432,18 @@ def dbscan(spark, sf_dir):
     return density.dbscan(src, ["entity"], "seq", _DENSE, eps=5.0).drop(*_DENSE)
 
 
-@query("dbscan_estimated_eps")
+_EPS_SQL = DBSCAN_SQL.replace("<= 5.0)", "<= (SELECT eps FROM ep WHERE ep.entity = a.entity))").replace(" nb AS (", """ kd AS (SELECT a.entity, a.seq, sqrt(power(a.x - b.x, 2) + power(a.y - b.y, 2)) AS d,
+   row_number() OVER (PARTITION BY a.entity, a.seq ORDER BY sqrt(power(a.x - b.x, 2) + power(a.y - b.y, 2))) AS rn FROM pt a JOIN pt b ON a.entity = b.entity),
+ ep AS (SELECT entity, quantile_cont(d, 0.9) AS eps FROM kd WHERE rn = 3 GROUP BY entity),
+ nb AS (""", 1)
+
+
+@query("dbscan_estimated_eps", with_runs(FEATURES_SQL + _EPS_SQL).replace("WITH ", "WITH RECURSIVE ", 1) + """
+ SELECT entity, seq, round(x, 6) AS lap_delta, round(y, 6) AS relative_pace, CAST(coalesce(label, -1) AS INTEGER) AS cluster_label, label IS NULL AS is_noise
+ FROM pt LEFT JOIN num USING (entity, seq)""")
 def dbscan_estimated_eps(spark, sf_dir):
     src = features(spark, sf_dir).select("entity", "seq", *_DENSE)
-    return density.dbscan(src, ["entity"], "seq", _DENSE, eps=None)
+    return rounded(density.dbscan(src, ["entity"], "seq", _DENSE, eps=None))
 
 
 @query("hdbscan")
