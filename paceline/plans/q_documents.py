@@ -318,10 +318,10 @@ def highlights(spark, sf_dir):
     return documents.highlights(summary(spark, sf_dir), PART).withColumn("items", F.array_join("items", "|"))
 
 
-@query("narrative_events", with_cf(EVENTS_SQL + f""", cov AS (SELECT DISTINCT race, unnest(range(greatest(1, deployed_on_lap - 1), deployed_on_lap + duration_laps + 1)) AS lap FROM tl WHERE type = 'safety_car'),
- ex AS (SELECT * FROM tl t WHERE type = 'external_incident' AND NOT EXISTS (SELECT 1 FROM cov WHERE cov.race = t.race AND cov.lap = t.lap)),
- cnf AS (SELECT DISTINCT race, Lap AS lap FROM rcx WHERE regexp_matches(Message, 'INCIDENT|COLLISION|CONTACT|ACCIDENT|CRASH', 'i')),
- exn AS (SELECT ex.race, ex.lap, ex.driver, count(*) OVER (PARTITION BY ex.race, ex.lap) > 1 AND cnf.lap IS NOT NULL AS mg FROM ex LEFT JOIN cnf ON cnf.race = ex.race AND cnf.lap = ex.lap)
+@query("narrative_events", with_cf(EVENTS_SQL + f""", cov AS MATERIALIZED (SELECT DISTINCT race, unnest(range(greatest(1, deployed_on_lap - 1), deployed_on_lap + duration_laps + 1)) AS lap FROM tl WHERE type = 'safety_car'),
+ ex AS MATERIALIZED (SELECT * FROM tl t WHERE type = 'external_incident' AND NOT EXISTS (SELECT 1 FROM cov WHERE cov.race = t.race AND cov.lap = t.lap)),
+ cnf AS MATERIALIZED (SELECT DISTINCT race, Lap AS lap FROM rcx WHERE regexp_matches(Message, 'INCIDENT|COLLISION|CONTACT|ACCIDENT|CRASH', 'i')),
+ exn AS MATERIALIZED (SELECT ex.race, ex.lap, ex.driver, count(*) OVER (PARTITION BY ex.race, ex.lap) > 1 AND cnf.lap IS NOT NULL AS mg FROM ex LEFT JOIN cnf ON cnf.race = ex.race AND cnf.lap = ex.lap)
  SELECT race, lap, '{{"lap":' || lap || ',"type":"incidente_externo","piloto":"' || {_name_sql('driver')} || '"}}' AS event FROM exn WHERE NOT mg
  UNION ALL SELECT race, lap, '{{"lap":' || lap || ',"type":"incidente_multiplo","pilotos":["' || string_agg({_name_sql('driver')}, '","' ORDER BY driver) || '"]}}' FROM exn WHERE mg GROUP BY race, lap
  UNION ALL SELECT race, lap, CASE type WHEN 'driver_error' THEN '{{"lap":' || lap || ',"type":"erro_piloto","piloto":"' || {_name_sql('driver')} || '"}}'

@@ -115,6 +115,61 @@ def inventory(spark, sf_dir):
     return tables.inventory(o, ["year", "round"], "o_custkey")
 
 
+_LANDED_SQL = """, landed AS (SELECT code AS Driver, CAST(seq AS INTEGER) AS LapNumber, CASE WHEN k % 9 <> 0 THEN measure END AS LapTime_seconds, category AS Compound,
+ CAST(2023 + entity % 2 AS INTEGER) AS year, CAST(1 + seq % 4 AS INTEGER) AS round FROM laps)"""
+
+
+def _landed(spark, sf_dir):
+    """Laps as files of the feed: partitioned by race, NaN where a time is missing."""
+    return laps(spark, sf_dir).select(
+        F.col("code").alias("Driver"), F.col("seq").cast("int").alias("LapNumber"), F.when(F.col("k") % 9 != 0, F.col("measure")).otherwise(float("nan")).alias("LapTime_seconds"),
+        F.col("category").alias("Compound"), (F.col("entity") % 2 + 2023).cast("int").alias("year"), (F.col("seq") % 4 + 1).cast("int").alias("round"))
+
+
+@query("scan_filtered", with_laps(_LANDED_SQL + """ SELECT Driver, LapNumber, round(LapTime_seconds, 6) AS LapTime_seconds, Compound, year, round FROM landed
+ WHERE LapTime_seconds > 60 AND year = 2024 AND Compound IN ('click', 'view')"""))
+def scan_filtered(spark, sf_dir):
+    root = _path(spark, "landed")
+    tables.write_table(_landed(spark, sf_dir), f"{root}/laps")
+    out = tables.read_table(spark, root, "laps", [("LapTime_seconds", ">", 60.0), ("year", "=", 2024), ("Compound", "in", ["click", "view"])])
+    return rounded(out.select("Driver", "LapNumber", "LapTime_seconds", "Compound", "year", "round"))
+
+
+@query("process_races", with_laps(_LANDED_SQL + """ SELECT 'laps' AS name, year, round, count(*) AS n_rows, count(LapTime_seconds) AS n_known, round(sum(LapTime_seconds), 4) AS total FROM landed
+ WHERE (year, round) IN ((2023, 1), (2024, 3), (1996, 2)) GROUP BY ALL UNION ALL
+ SELECT 'weather', CAST(year(o_orderdate) AS INTEGER), CAST(month(o_orderdate) AS INTEGER), count(*), count(o_totalprice), round(sum(o_totalprice), 4) FROM orders
+ WHERE (year(o_orderdate), month(o_orderdate)) IN ((2023, 1), (2024, 3), (1996, 2)) GROUP BY ALL"""))
+def process_races(spark, sf_dir):
+    """Two tables of three races, normalised and written in one call, read back from their folders."""
+    o = table(spark, sf_dir, "orders")
+    weather = o.select((F.unix_timestamp("o_orderdate")).cast("double").alias("Time_seconds"), F.col("o_totalprice").alias("AirTemp"),
+                       F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("round"))
+    target = _path(spark, "processed")
+    written = ingest.process_races({"laps": _landed(spark, sf_dir), "weather": weather}, [(2023, 1), (2024, 3), (1996, 2)], {"laps": tables.nan_to_null}, target)
+
+    def totals(name, value):
+        known = F.col(value)
+        return (spark.read.schema(f"{value} double, year int, round int").parquet(written[name]).groupBy("year", "round")
+                .agg(F.count(F.lit(1)).alias("n_rows"), F.count(known).alias("n_known"), F.round(F.sum(known), 4).alias("total"))
+                .select(F.lit(name).alias("name"), "year", "round", "n_rows", "n_known", "total"))
+    return totals("laps", "LapTime_seconds").unionByName(totals("weather", "AirTemp"))
+
+
+@query("calendar_saved", _CAL_SQL + """ SELECT CAST(year AS INTEGER) AS year, RoundNumber, CASE WHEN year = 1996 THEN 'Moved ' || RoundNumber ELSE EventName END AS EventName, Country FROM cal
+ WHERE year <> 1996 OR RoundNumber > 3""")
+def calendar_saved(spark, sf_dir):
+    """All seasons are saved, then one of them again: the others stay as they were."""
+    path, cal = _path(spark, "calendar"), _calendar(spark, sf_dir)
+    calendar.save(cal, path)
+    calendar.save(cal.where("year = 1996 AND RoundNumber > 3").withColumn("EventName", F.concat(F.lit("Moved "), F.col("RoundNumber"))), path)
+    return spark.read.schema("year int, RoundNumber int, EventName string, Country string").parquet(path)
+
+
+@query("head_rows", with_laps(" SELECT entity, seq, measure FROM laps ORDER BY measure DESC, entity, seq LIMIT 5"))
+def head_rows(spark, sf_dir):
+    return tables.head(laps(spark, sf_dir).orderBy(F.col("measure").desc(), "entity", "seq"), ["entity", "seq", "measure"])
+
+
 @query("file_inventory")
 def file_inventory(spark, sf_dir):
     return tables.file_inventory(table(spark, sf_dir, "lineitem"))

@@ -24,12 +24,25 @@ def project_existing(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.select(*[c for c in columns if c in df.columns])
 
 
-def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
+_COMPARE = {"=": Column.__eq__, "!=": Column.__ne__, "<": Column.__lt__, "<=": Column.__le__, ">": Column.__gt__, ">=": Column.__ge__,
+            "in": lambda c, values: c.isin(list(values))}
+
+
+def read_table(spark: SparkSession, root: str, name: str, filters: Sequence[tuple[str, str, object]] = ()) -> DataFrame:
     """A landed table, partitioned by year and round (telemetry also by driver).
 
-    Filters on the partition columns prune directories, others and the column list reach the scan.
+    ``filters`` are (column, comparison, value), all of which must hold. They stand below the mapping of
+    NaN to NULL, where they prune directories and reach the scan, and once more above it, which drops
+    NaN (the largest number for a scan). Comparisons are never true for NULL, so both places agree.
     """
-    return nan_to_null(spark.read.schema(schemas.table_schema(name)).parquet(f"{root}/{name}"))
+    tests = [_COMPARE[op](F.col(c), v) for c, op, v in filters]
+    df = spark.read.schema(schemas.table_schema(name)).parquet(f"{root}/{name}")
+    for t in tests:
+        df = df.where(t)
+    df = nan_to_null(df)
+    for t in tests:
+        df = df.where(t)
+    return df
 
 
 def read_file_per_entity(spark: SparkSession, paths: str | Sequence[str], entity: str = "Driver") -> DataFrame:
