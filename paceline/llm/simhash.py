@@ -8,8 +8,8 @@ out, the whole fingerprint as one group, bounds the work of a fingerprint in a c
 chosen variants are joined with the index and verified. Sample and grouping change the cost only,
 never the links.
 
-Near duplicates by the similarity of their shingles (:func:`near_duplicates`) are found by a prefix
-filter instead, which misses no pair; fingerprints take no part in that.
+For near duplicates by the similarity of their shingles (:func:`near_duplicates`) the groups of
+fingerprints are confirmed first, and a prefix filter, which misses no pair, finds the other links.
 """
 
 from __future__ import annotations
@@ -253,13 +253,14 @@ _EPS = 1e-9
 
 
 def _set_ids(texts: DataFrame, size: int) -> DataFrame:
-    """(_id, set, n): XXH64 of the sorted distinct shingle hashes of each text, and their number; 0 and 0 without words."""
-    @F.pandas_udf("struct<set:long,n:int>")
+    """(_id, set, n, fingerprint): XXH64 of the sorted distinct shingle hashes of each text, their number, and its SimHash; zeros without words."""
+    @F.pandas_udf("struct<set:long,n:int,fingerprint:long>")
     def run(values: pd.Series) -> pd.DataFrame:
         own = [np.unique(shingle_hashes(t, size)) for t in values]
         ids = np.array([xxhash.xxh64_intdigest(s.tobytes(), 7) if len(s) else 0 for s in own], np.uint64)
-        return pd.DataFrame({"set": ids.view(np.int64), "n": np.array([len(s) for s in own], np.int32)})
-    return in_pieces(texts).withColumn("_s", run("_text")).select("_id", "_s.set", "_s.n")
+        return pd.DataFrame({"set": ids.view(np.int64), "n": np.array([len(s) for s in own], np.int32),
+                             "fingerprint": np.array([fingerprint(t, 3) for t in values], np.int64)})
+    return in_pieces(texts).withColumn("_s", run("_text")).select("_id", "_s.set", "_s.n", "_s.fingerprint")
 
 
 def _common(texts: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -341,26 +342,47 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, texts: DataFrame, shingle:
     return done
 
 
-def _asked(index: DataFrame, roots: DataFrame | None, similarity: float, salt: int, whole: bool) -> DataFrame:
+def _led(classes: DataFrame) -> DataFrame:
+    """(a, b): each set with the smallest one of its group of SimHash fingerprints within 2 bits."""
+    pairs = stage(near_pairs(classes.select("fingerprint").distinct()), "pairs")
+    roots = components(pairs)
+    grouped = (classes.where("n > 0").join(roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left")
+               .select("set", F.coalesce("root", "fingerprint").alias("root")))
+    lead = grouped.groupBy("root").agg(F.min("set").alias("lead"), F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    led = stage(grouped.join(lead, "root").where("set != lead").select(F.col("lead").alias("a"), F.col("set").alias("b")), "led")
+    for t in (pairs, roots):
+        discard(t)
+    return led
+
+
+def _open(index: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """The places of ``index`` that hold sets which no links connect so far, with the root of each set."""
+    own = index.drop("root")
+    own = own.withColumn("root", F.col("set")) if roots is None else (
+        own.join(roots.withColumnRenamed("node", "set"), "set", "left").withColumn("root", F.coalesce("root", "set")))
+    places = own.groupBy("key").agg(F.min("root").alias("_least"), F.max("root").alias("_most")).where("_least != _most").select("key")
+    return stage(own.join(places, "key"), "live")
+
+
+def _asked(live: DataFrame, similarity: float, salt: int, whole: bool) -> DataFrame:
     """(a, b), a < b: pairs of sets in one place of the index that no links connect so far.
 
     Only those of a set with the leader of the place, or all if ``whole``. The leader is first in a
     hash order that differs between places and salts. In a whole round, too, members of its group
     meet only those of other groups.
     """
-    live = index.withColumn("root", F.col("set")) if roots is None else (
-        index.join(roots.withColumnRenamed("node", "set"), "set", "left").withColumn("root", F.coalesce("root", "set")))
-    live = stage(live, "live")
-    lead = (live.groupBy("key").agg(F.min(F.struct(F.xxhash64("set", "key", F.lit(salt)).alias("h"), "set", "n", "pos", "root")).alias("l"),
-                                    (F.min("root") != F.max("root")).alias("open"))
-            .where("open").select("key", "l.set", "l.n", "l.pos", "l.root"))
-    met = live.alias("x").join(lead.alias("y"), "key").where(F.col("x.root") != F.col("y.root"))
+    lead = (live.groupBy("key").agg(F.min(F.struct(F.xxhash64("set", "key", F.lit(salt)).alias("h"), "set", "n", "pos", "root")).alias("l"))
+            .select("key", "l.set", "l.n", "l.pos", "l.root"))
+    met, strays = live.alias("x").join(lead.alias("y"), "key").where(F.col("x.root") != F.col("y.root")), None
     if whole:
         strays = stage(met.select("key", "x.set", "x.n", "x.pos", "x.root", F.col("y.root").alias("led")), "strays")
         met = strays.alias("x").join(live.alias("y"), "key").where(
             (F.col("x.root") != F.col("y.root")) & ((F.col("y.root") == F.col("led")) | (F.col("x.set") < F.col("y.set"))))
-    return stage(met.where(_possible("x", "y", similarity))
-                 .select(F.least("x.set", "y.set").alias("a"), F.greatest("x.set", "y.set").alias("b")).distinct(), "asked")
+    asked = stage(met.where(_possible("x", "y", similarity))
+                  .select(F.least("x.set", "y.set").alias("a"), F.greatest("x.set", "y.set").alias("b")).distinct(), "asked")
+    if strays is not None:
+        discard(strays)
+    return asked
 
 
 def near_duplicates(docs: DataFrame, row: str, id_col: str = "doc_id", text: str = "text", shingle: int = 5,
@@ -368,30 +390,58 @@ def near_duplicates(docs: DataFrame, row: str, id_col: str = "doc_id", text: str
     """(row, kept): the rows of ``docs`` and whether each stays; one of each group of near duplicates does.
 
     ``row`` is a unique column. Two rows link when the sets of their ``shingle``-word shingles have
-    ``similarity`` (Jaccard); a group is everything that links reach, and its smallest id (then row)
-    stays. Equal sets are one class. Classes that share a shingle of their prefixes are compared:
-    first with a leader of each place in a few rounds, which merge crowds, then each with each. All
-    classes take part to the end; only pairs that links connect already are left out. Wordless and
-    NULL texts are one group.
+    ``similarity`` (Jaccard); a group is everything that links reach, and its smallest id (NULL ids
+    first, then row) stays. Equal sets are one class. SimHash leads: each class is compared with the
+    smallest of its group of fingerprints, which merges crowds. Then classes that share a shingle of
+    their prefixes are compared: first with a leader of each place in a few rounds, then each with
+    each. All classes take part to the end; only pairs that links connect already are left out, so
+    fingerprints change the cost, and the links of the rest are found as well.
+
+    Wordless and NULL texts are one group; repeated rows are alike, so one stays. Whole texts count,
+    however long. An empty table gives an empty result. Other columns, whatever their names, are ignored.
     """
     texts = docs.select(F.struct(F.col(id_col).alias("id"), F.col(row).alias("row")).alias("_id"), F.col(text).alias("_text"))
-    classes = stage(_set_ids(texts, shingle).groupBy("set").agg(F.min("_id").alias("least")), "classes")
-    first = _prefixes(texts, shingle, similarity)
+    classes = stage(_set_ids(texts, shingle).groupBy("set").agg(F.min("_id").alias("least"), F.max("n").alias("n"),
+                                                                F.min("fingerprint").alias("fingerprint")), "classes")
+    links, roots = None, None
+
+    def linked(asked: DataFrame) -> int:
+        """Add the links among the ``asked`` pairs; how many there are."""
+        nonlocal links, roots
+        same = _confirmed(asked, classes, texts, shingle, similarity)
+        discard(asked)
+        found = same.count()
+        if not found:
+            return 0
+        if links is None:
+            links = same
+        else:
+            # A root and its members carry on what was linked before.
+            links = roots.where("node != root").select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(same)
+        old, roots = roots, components(links)
+        for t in (same, old):
+            if t is not None:
+                discard(t)
+        return found
+
+    linked(_led(classes))
+    first = stage(_prefixes(texts, shingle, similarity), "prefixes")
     met = first.groupBy("key").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("key")
-    index = stage(first.join(met, "key").groupBy("key", "set").agg(F.min("n").alias("n"), F.min("pos").alias("pos")), "index")
-    links, roots, left = None, None, classes.count()
+    live = stage(first.join(met, "key").groupBy("key", "set").agg(F.min("n").alias("n"), F.min("pos").alias("pos")), "index")
+    discard(first)
+    left = classes.count()
     for salt in range(ROUNDS + 1):
+        last, live = live, _open(live, roots)
+        discard(last)
         whole = salt == ROUNDS or left == 0
-        same = _confirmed(_asked(index, roots, similarity, salt, whole), classes, texts, shingle, similarity)
-        links = same if links is None else links.unionByName(same)
-        found = same.count()
-        if found:
-            roots = components(links)
+        found = linked(_asked(live, similarity, salt, whole))
         if whole:
             break
         if found <= _ROUND * left:
             left = 0  # the next round is the whole one
+    discard(live)
+    own = classes
     if roots is not None:
-        classes = classes.join(roots.withColumnRenamed("node", "set"), "set", "left").withColumn("set", F.coalesce("root", "set"))
-    kept = classes.groupBy("set").agg(F.min("least").alias("least")).select(F.col("least.row").alias("head"))
+        own = classes.join(roots.withColumnRenamed("node", "set"), "set", "left").withColumn("set", F.coalesce("root", "set"))
+    kept = own.groupBy("set").agg(F.min("least").alias("least")).select(F.col("least.row").alias("head"))
     return docs.select(row).join(kept, F.col(row) == F.col("head"), "left").select(row, F.col("head").isNotNull().alias("kept"))

@@ -89,3 +89,18 @@ def test_stages_return_the_columns_of_documents(spark, small):
         assert step(spark, docs.limit(0), folder).count() == 0
     assert corpus_pipeline.STAGES[-1][1](spark, docs.limit(0), folder).count() == 0
     assert decontam.SPAN <= 8
+
+
+def test_columns_of_any_name_keep_their_values(spark, small):
+    folder, *_ = small
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    extra = {"_row": "'r' || doc_id", "__row": "doc_id * 2", "score": "0.25", "held_out": "doc_id % 7", "lang_pred": "'p'", "_id": "-doc_id", "_text": "'t'", "_lang": "'l'",
+             "text_key": "doc_id + 5", "_key": "1", "n": "doc_id + 1", "set": "'s'", "fingerprint": "3", "size": "doc_id + 9", "draw": "'d'", "kept": "false", "key": "'k'", "root": "9"}
+    odd = docs.where("doc_id < 60 OR doc_id > 8999").selectExpr("*", *[f"{e} AS `{c}`" for c, e in extra.items()])
+    for name, step in corpus_pipeline.STAGES[:-1]:
+        out = step(spark, odd, folder)
+        assert out.columns == odd.columns, name
+        assert out.exceptAll(odd.unionAll(odd)).isEmpty(), name
+        assert not out.isEmpty()
+    last = corpus_pipeline.STAGES[-1][1](spark, odd.selectExpr("*", "'x' AS slot"), folder)
+    assert last.select(*odd.columns).exceptAll(odd).isEmpty() and last.count() == odd.count()
