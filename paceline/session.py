@@ -57,6 +57,10 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p) and len(fs.listStatus(p)) > 0
 
 
+#: Spark deletes the shuffle files of a query when it ends, not when the driver collects garbage.
+_TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
@@ -65,7 +69,12 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(_TIDY, None)
+    spark.conf.set(_TIDY, "true")  # the shuffle files of a table that is written serve nothing else
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(_TIDY) if before is None else spark.conf.set(_TIDY, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
