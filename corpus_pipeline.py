@@ -1,7 +1,12 @@
 """The training-data pipeline: language ID, near-dedup, decontamination, mixing, sharding.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; it is written as Parquet and read
-again as the next stage's ``docs``. All but the last return the columns of ``documents``.
+again as the next stage's ``docs``. All but the last return the columns of ``docs``, values
+untouched, whatever their names; sharding replaces columns named shard and slot.
+
+NULL and empty texts, and texts without letters, leave at language ID; in the other stages they are
+texts without words. Repeated rows are near duplicates, later on rows of their own; ties go to the
+smallest id, then to a hash. Texts are read whole, however long. An empty table passes all stages.
 """
 
 from __future__ import annotations
@@ -17,38 +22,49 @@ from paceline.session import discard, stage
 SURE = 0.5
 
 
+def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a unique number per row, in a column whose name no other has."""
+    name = "_row"
+    while name in [c.lower() for c in docs.columns]:
+        name = f"_{name}"
+    return with_row_id(docs, name), name
+
+
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that the model has learned; those without letters, and undecided ones, go."""
-    said = langid.identify(docs.withColumns({"_id": F.col("doc_id"), "_text": F.col("text"), "_lang": F.col("lang")}), "_id", "_text", "_lang")
-    return said.where((F.col("lang_pred") != "und") & (F.col("score") >= SURE)).select(*docs.columns)
+    # Columns travel under other names, so that none meets those that the model adds.
+    named = docs.select(*[F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(docs.columns)],
+                        F.col("doc_id").alias("_id"), F.col("text").alias("_text"), F.col("lang").alias("_lang"))
+    said = langid.identify(named, "_id", "_text", "_lang").where((F.col("lang_pred") != "und") & (F.col("score") >= SURE))
+    return said.select(*[F.col(f"_c{i}").alias(c) for i, c in enumerate(docs.columns)])
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, the one with the smallest doc_id."""
-    rows = with_row_id(docs, "_row")
-    kept = simhash.near_duplicates(rows, "_row").where("kept").select("_row")
-    return rows.join(kept, "_row", "left_semi").select(*docs.columns)
+    rows, row = _numbered(docs)
+    kept = simhash.near_duplicates(rows, row).where("kept").select(row)
+    return rows.join(kept, row, "left_semi").select(*docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
-    found = decontam.leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(F.col("doc_id").alias("_id"), "text_key").distinct()
-    own = docs.withColumn("_key", F.xxhash64("text"))
-    return own.join(found, own["doc_id"].eqNullSafe(found["_id"]) & (own["_key"] == found["text_key"]), "left_anti").select(*docs.columns)
+    found = (decontam.leaks(docs.select("doc_id", "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+             .select(F.col("doc_id").alias("_id"), "text_key").distinct())
+    return docs.join(found, docs["doc_id"].eqNullSafe(found["_id"]) & (F.xxhash64(docs["text"]) == found["text_key"]), "left_anti").select(*docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Whole documents in the mixture of their sources; a document that the mix takes twice is there twice."""
-    rows = with_row_id(docs, "_row")
-    taken = mixing.mixed(rows, "_row").select("_row")
-    return rows.join(taken, "_row").select(*docs.columns)
+    rows, row = _numbered(docs)
+    taken = mixing.mixed(rows, row).select(row)
+    return rows.join(taken, row).select(*docs.columns)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with shard (0 to 23) and slot."""
-    rows = with_row_id(docs, "_row")
-    places = sharding.assign(rows, ("_row",)).select("_row", "shard", "slot")
-    return rows.drop("shard", "slot").join(places, "_row").drop("_row")
+    rows, row = _numbered(docs.drop("shard", "slot"))
+    places = sharding.assign(rows, (row,)).select(row, "shard", "slot")
+    return rows.join(places, row).drop(row)
 
 
 STAGES = [("language ID", languages), ("SimHash near-dedup", near_dedup), ("benchmark decontamination", decontaminate),
