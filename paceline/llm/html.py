@@ -3,7 +3,9 @@
 Each paragraph passes points for its length and commas to its ancestors, less with distance. A
 container's points are discounted by its link density; the best container is the article, and those
 siblings are kept that read like part of it. Elements that by tag, role or name are no part of an
-article (menus, notices, adverts, forms, comments and the like) are left out beforehand.
+article (menus, notices, adverts, forms, comments and the like) are left out beforehand, but only
+where they hold a small share of the paragraph points: a wrapper of the whole page may be a form or
+have "sidebar" in its class.
 """
 
 from __future__ import annotations
@@ -37,15 +39,23 @@ _SCOPES = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _PARAGRAPHS = frozenset("p pre blockquote li dd dt td th figcaption".split()) | _HEADINGS
 
-_LEFT_OUT = frozenset(
-    "head script style noscript template iframe nav footer aside form button select textarea input svg math object canvas dialog menu "
-    "audio video map fieldset".split())
+#: Elements that never hold text of an article.
+_NO_TEXT = frozenset(
+    "head script style noscript template iframe button select textarea input svg math object canvas audio video map".split())
+#: Elements, roles and names that are no part of an article unless most of its paragraphs stand inside.
+_LEFT_OUT = frozenset("nav footer aside form dialog menu fieldset".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar toolbar status".split())
 _NAMES = re.compile(
     r"ads?|advert\w*|adsense|adbox|adslot|sponsor\w*|promo\w*|banner\w*|cookie\w*|consent\w*|notices?|gdpr|popup|modal|overlay|newsletter\w*|"
     r"subscri\w+|signup|login|nav\w*|menus?|breadcrumbs?|sidebar\w*|aside|footer\w*|masthead|toolbar|share|sharing|social\w*|related\w*|"
     r"recommend\w*|widgets?|pager|pagination|skip|disclaimer|alert|warning|form|search\w*")
-_COMMENTS = re.compile(r"comments?|commentlist|commentary|disqus\w*|respond|repl(?:y|ies)|responses?|discussion|guestbook")
+_COMMENTS = re.compile(r"comments?|commentlist|disqus\w*|respond|guestbook")
+#: Comments in some pages, sections of an article in others.
+_MAYBE_COMMENTS = re.compile(r"commentary|repl(?:y|ies)|responses?|discussion")
+#: Classes that tell the state of a page or a wrapper, not what the element is.
+_STATE = re.compile(r"(?:no|has|with|without|hide|hides)[-_].*|.*[-_](?:open|opened|closed|collapsed|expanded|enabled|disabled)")
+#: An element stays in spite of its name from this share of the article's or page's points on, and from these points on.
+_SHARE, _POINTS = 0.5, 5.0
 _HEADER = re.compile(r"headers?|topbar|site-?title|branding")
 
 
@@ -60,7 +70,7 @@ class _Node:
             for name, a, b, c in _ATTR.findall(attrs):
                 name, value = name.lower(), (a or b or c).lower()
                 if name in ("class", "id"):
-                    self.names += re.split(r"[^a-z0-9]+", value)
+                    self.names += [n for word in value.split() if not _STATE.fullmatch(word) for n in re.split(r"[^a-z0-9]+", word)]
                 elif name == "role":
                     self.role = value.strip()
                 elif name == "hidden" or (name == "aria-hidden" and value == "true") or (
@@ -138,23 +148,82 @@ def _walk(root: _Node):
         stack.extend(k for k in reversed(node.kids) if isinstance(k, _Node))
 
 
+def _points(text: str) -> float:
+    """What a paragraph passes on: for itself, its commas and its length."""
+    return 1 + text.count(",") + min(len(text) / 100, 3.0)
+
+
+def _sums(root: _Node) -> dict[int, float]:
+    """Points of all paragraphs inside each element, less their links."""
+    sums: dict[int, float] = {}
+    for owner, text, linked in _blocks(root):
+        if len(text) >= 25 or owner.tag == "p":
+            points = _points(text) * (1 - linked / len(text))
+            for node in (owner, *owner.up()):
+                sums[id(node)] = sums.get(id(node), 0.0) + points
+    return sums
+
+
+def _comments(node: _Node) -> bool:
+    """True for an element with readers' comments."""
+    if any(map(_COMMENTS.fullmatch, node.names)):
+        return True
+    if not any(map(_MAYBE_COMMENTS.fullmatch, node.names)):
+        return False
+    inside = [n for n in _walk(node) if n is not node]
+    return any(n.tag in ("form", "textarea") or any(map(_COMMENTS.fullmatch, n.names)) for n in inside) or (
+        sum(any(map(_MAYBE_COMMENTS.fullmatch, n.names)) for n in inside) > 1)
+
+
 def _leave_out(root: _Node) -> None:
-    nodes = list(_walk(root))
-    holds = {id(up) for n in nodes if n.tag in ("article", "main") for up in n.up()}
-    for node in nodes:
-        if node.tag in ("html", "body"):
+    """Mark what is no part of the article: surely, or by name where its share of the points is small."""
+    doubtful: list[_Node] = []
+    homes: list[_Node] = []
+    stack = [(root, False)]  # (element, beside the article by tag or comments)
+    while stack:
+        node, beside = stack.pop()
+        if node.tag not in ("html", "body"):
+            if node.hidden or node.tag in _NO_TEXT:
+                node.out = True
+                continue
+            talk = bool(node.names) and _comments(node)
+            home = node.tag in ("article", "main") or node.role == "main"
+            if home and not talk and not beside:
+                homes.append(node)
+            elif talk or node.tag in _LEFT_OUT or node.tag == "header" or node.role in _ROLES or (not home and any(
+                    _NAMES.fullmatch(n) or _MAYBE_COMMENTS.fullmatch(n) or _HEADER.fullmatch(n) for n in node.names)):
+                doubtful.append(node)
+            beside = beside or talk or node.tag in ("nav", "footer", "aside")
+        stack.extend((k, beside) for k in reversed(node.kids) if isinstance(k, _Node))
+    if not doubtful:
+        return
+    sums = _sums(root)
+    # The marked article with most points; a main only where it holds far more than any article.
+    most = max((sums.get(id(n), 0.0) for n in homes), default=0.0)
+    home = max((n for n in homes if sums.get(id(n), 0.0) >= _SHARE * most),
+               key=lambda n: (n.tag == "article", sums.get(id(n), 0.0)), default=None)
+    above = {id(n) for n in home.up()} if home is not None else set()
+    for node in doubtful:
+        inside = home is not None and any(n is home for n in node.up())
+        if id(node) in above:
             continue
-        if node.hidden or node.tag in _LEFT_OUT or node.role in _ROLES or any(map(_COMMENTS.fullmatch, node.names)):
-            node.out = True
-        elif node.tag not in ("main", "article") and id(node) not in holds and any(map(_NAMES.fullmatch, node.names)):
+        own, base = sums.get(id(node), 0.0), sums.get(id(home if inside else root), 0.0)
+        if _comments(node):
             node.out = True
-        elif id(node) not in holds and (node.tag == "header" or any(map(_HEADER.fullmatch, node.names))):
+        elif (home is None or inside) and own > _SHARE * base and own >= _POINTS:
+            continue
+        elif inside and not (node.tag in _LEFT_OUT or node.tag == "header" or node.role in _ROLES or any(
+                _NAMES.fullmatch(n) or _HEADER.fullmatch(n) for n in node.names)):
+            continue  # a discussion that is a section of the article
+        elif node.tag == "header" or (any(map(_HEADER.fullmatch, node.names)) and not any(map(_NAMES.fullmatch, node.names))):
             if not any(up.tag in ("article", "main") for up in node.up()):
                 node.out = True
             else:  # of an article's own header the title stays
                 for kid in node.kids:
                     if isinstance(kid, _Node) and kid.tag not in _HEADINGS and not any(n.tag in _HEADINGS for n in _walk(kid)):
                         kid.out = True
+        else:
+            node.out = True
 
 
 def _blocks(root: _Node) -> list[tuple[_Node, str, int]]:
@@ -213,7 +282,7 @@ def extract(html: str | None) -> str:
             node.chars += len(text)
             node.linked += linked
         if len(text) >= 25 or owner.tag == "p":
-            points = 1 + text.count(",") + min(len(text) / 100, 3.0)
+            points = _points(text)
             chain = owner.up() if owner.tag in _PARAGRAPHS else (owner, *owner.up())
             for far, node in enumerate(chain):
                 if far > 5:

@@ -24,6 +24,72 @@ def test_unmarked_container_by_points():
     assert extract(page) == f"Head\n{LONG}\n{LONG} More, and more.\nTiny."
 
 
+def test_wrappers_with_names_of_other_things():
+    paragraphs = p(*[LONG] * 14)
+    text = "\n".join([LONG] * 14)
+    for wrapper in ("content no-sidebar", "right-sidebar", "page nav-open", "article social-science", "page has-comments", "subscriber-content"):
+        assert extract(f"<body><div class='{wrapper}'>{paragraphs}</div></body>") == text, wrapper
+        side = f"<div class='sidebar'>{p(LONG, LONG)}</div><div id=comments>{p(*[LONG] * 20)}</div>"
+        assert extract(f"<body><div class='{wrapper}'>{paragraphs}{side}</div></body>") == text, wrapper
+    assert extract(f"<body><form action=x><div>{paragraphs}</div><input><button>Go</button></form></body>") == text
+    assert extract(f"<body><form id=aspnet><nav><a href=/>Home</a></nav><article>{paragraphs}</article>{p(LONG)}</form></body>") == text
+    assert extract(f"<body><div class=sidebar><article>{paragraphs}</article></div></body>") == text
+    assert extract(f"<article>{p(LONG)}<section id='discussion'><h2>Discussion</h2>{p(LONG)}</section></article>") == f"{LONG}\nDiscussion\n{LONG}"
+    assert extract(f"<article id='discussion'>{p(LONG, LONG)}</article>") == f"{LONG}\n{LONG}"
+    # Small parts with such names still go, as do cards beside the article, and replies below it.
+    assert extract(f"<main><article>{paragraphs}<div class=promo>{p(LONG)}</div></article><aside><article>{p(LONG)}</article></aside>"
+                   f"<section id=discussion><div class=reply>{p(LONG)}</div><div class=reply>{p(LONG)}</div></section></main>") == text
+    assert extract(f"<article>{p(LONG)}<section class=discussion>{p(LONG)}<form><textarea></textarea></form></section></article>") == LONG
+    assert extract(f"<div class=cookie-notice>{p(LONG)}</div>") == ""
+
+
+def test_best_container_against_brute_force():
+    import random
+    rng = random.Random(5)
+
+    def tree(depth):
+        return [f"{'x' * rng.randint(1, 400)}{',' * rng.randint(0, 4)}" if depth == 0 or rng.random() < 0.5 else tree(depth - 1)
+                for _ in range(rng.randint(1, 4))]
+
+    def markup(node):
+        return f"<p>{node}</p>" if isinstance(node, str) else f"<div>{''.join(map(markup, node))}</div>"
+
+    def texts(node):
+        return [node] if isinstance(node, str) else [t for k in node for t in texts(k)]
+
+    def value(node, far=0):
+        """Points that all paragraphs below pass up to ``node``."""
+        total = 0.0
+        for kid in node:
+            if isinstance(kid, str):
+                points = 1 + kid.count(",") + min(len(kid) / 100, 3)
+                total += points if far == 0 else points / 2 if far == 1 else points / (3 * far) if far <= 5 else 0
+            else:
+                total += value(kid, far + 1)
+        return total
+
+    def divs(node, parent=None):
+        yield node, parent
+        for kid in node:
+            if not isinstance(kid, str):
+                yield from divs(kid, node)
+
+    for _ in range(300):
+        page = [tree(3), tree(2)]
+        # The body around the two divs is a container, too.
+        found = list(divs(page))
+        top = max(value(n) for n, _ in found)
+        ties = [n for n, _ in found if value(n) > top - 1e-9]
+        if len(ties) > 1:
+            continue
+        best, parent = next((n, up) for n, up in found if n is ties[0])
+        kept = texts(best)
+        if parent is not None:
+            bar = max(10.0, 0.2 * top)
+            kept = [t for k in parent if k is best or isinstance(k, str) or value(k) >= bar or sum(map(len, texts(k))) >= 80 for t in texts(k)]
+        assert extract(f"<body>{markup(page[0])}{markup(page[1])}</body>").split("\n") == kept
+
+
 def test_odd_pages():
     assert [extract(x) for x in (None, "", "<p></p>", "<!-- only -->", "<div><div", "<")] == ["", "", "", "", "", "<"]
     assert extract("just  text\n here") == "just text here"
