@@ -1,8 +1,9 @@
 """Shards that all match the mixture, by proportional stratified interleaving.
 
 Rows are shuffled within their source by a seeded hash and ranked; a row's fractional rank says how
-far down its source it is. Sorted by fractional rank, any stretch of the table holds each source in
-proportion, so the table is cut into stretches whose row counts differ by at most one.
+far down its source it is. Each source starts at a seeded offset below one rank, so that many small
+sources spread over the whole table. Sorted by fractional rank, any stretch of the table holds each
+source in proportion, so the table is cut into stretches whose row counts differ by at most one.
 """
 
 from __future__ import annotations
@@ -42,7 +43,7 @@ def assign(docs: DataFrame, carry: tuple[str, ...] = (), shards: int = SHARDS, i
     counts = own.groupBy(F.col("source").alias("_s")).agg(F.count(F.lit(1)).alias("_n"))
     inside = ranked(own.withColumn("_f", share(F.col("_draw"))), ["source"], "_f", ["_draw", "id", *carry], buckets(rows), "_rank")
     inside = (inside.join(counts, F.col("source").eqNullSafe(F.col("_s")))
-              .withColumn("_f", (F.col("_rank") + 0.5) / F.col("_n")))
+              .withColumn("_f", (F.col("_rank") + share(draw(seed, F.col("source")))) / F.col("_n")))
     # The order among equal rows must not change between two computations of the same rank.
     inside = stage(inside.select("id", "size", "text_crc32", "_draw", "_f", *carry), "fractions")
     placed = ranked(inside, [], "_f", ["_f", "_draw", "id", *carry], buckets(rows), "_at")

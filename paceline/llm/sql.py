@@ -22,7 +22,8 @@ bytes AS (SELECT doc_id, source, draw, CAST(length(x) // 2 AS BIGINT) AS n,
 sums AS (SELECT doc_id, source, draw, n + 8 AS size,
   xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), b), lambda a, y: xor(a >> 8, t[(xor(a, y) & 255) + 1])), 4294967295) AS text_crc32
   FROM bytes, crc),
-ranks AS (SELECT *, (row_number() OVER (PARTITION BY source ORDER BY draw, doc_id) - 1 + 0.5::DOUBLE)
+ranks AS (SELECT *, (row_number() OVER (PARTITION BY source ORDER BY draw, doc_id) - 1
+  + CAST('0x' || md5('{sharding.SEED}:' || coalesce(source, 'null'))[:8] AS BIGINT) / 4294967296.0::DOUBLE)
   / count(*) OVER (PARTITION BY source) AS f FROM sums),
 places AS (SELECT *, row_number() OVER (ORDER BY f, draw, doc_id) - 1 AS p, count(*) OVER () AS n FROM ranks)
 SELECT doc_id, size, CAST(text_crc32 AS BIGINT) AS text_crc32, 'rows' AS law, CAST(p * {sharding.SHARDS} // n AS INTEGER) AS shard,
