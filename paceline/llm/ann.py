@@ -1,7 +1,7 @@
 """Approximate nearest neighbours on robustly pruned directed graphs, one per shard.
 
 Distinct vectors are dealt to shards of bounded size by their hash. In each shard a graph is built
-in batches: a greedy beam search from the entry point proposes the neighbours of a vector, and
+in batches: a greedy beam search from a few entry rows proposes the neighbours of a vector, and
 pruning keeps the nearest of them and every other that is not much nearer to one already kept, so
 the edges point in diverse directions. A query is searched in every shard by the same beam search,
 and the nearest of all shards are merged.
@@ -22,28 +22,39 @@ from paceline.session import stage
 SHARD_ROWS, QUERY_ROWS = 4096, 4096
 #: Edges of a vector, vectors kept by a search, and how much nearer a kept edge must be to make another needless.
 DEGREE, BEAM, RELAX = 24, 64, 1.2
+#: Entry rows taken far apart from each other, and as many at random.
+ENTRIES = 16
 SEED = 11
+#: Numbers that differences are taken of at once.
+_AT_ONCE = 1 << 21
 
 
-def _apart(x: np.ndarray, norms: np.ndarray, rows: np.ndarray, q: np.ndarray) -> np.ndarray:
-    """Squared distances of ``q[i]`` to the vectors ``rows[i]``."""
-    return norms[rows] - 2 * np.einsum("ijk,ik->ij", x[rows], q) + (q * q).sum(1)[:, None]
+def _apart(x: np.ndarray, rows: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Squared distances of ``q[i]`` to the vectors ``rows[i]``, from differences, so that no offset or outlier costs digits."""
+    out = np.empty(rows.shape, x.dtype)
+    step = max(1, _AT_ONCE // max(1, rows.shape[1] * x.shape[1]))
+    for at in range(0, len(rows), step):
+        apart = x[rows[at:at + step]] - q[at:at + step, None]
+        out[at:at + step] = np.einsum("ijk,ijk->ij", apart, apart)
+    return out
 
 
-def beam_search(x: np.ndarray, graph: np.ndarray, entry: int, queries: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
-    """(rows, squared distances) of the ``beam`` nearest found, nearest first, for all queries at once.
+def beam_search(x: np.ndarray, graph: np.ndarray, entry: np.ndarray, queries: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
+    """(rows, squared distances) of the ``beam`` nearest found from the rows ``entry`` on, nearest first, for all queries at once.
 
     Every step expands the nearest vector of each query that was not expanded yet, until all kept
     ones are. Missing entries are -1 and infinite. ``graph`` has -1 for absent edges.
     """
     n, count = len(x), len(queries)
-    norms = (x * x).sum(1)
     rows = np.full((count, beam), -1, np.int64)
     dist = np.full((count, beam), np.inf, x.dtype)
     done = np.ones((count, beam), bool)
     seen = np.zeros((count, n), bool)
-    rows[:, 0], done[:, 0], seen[:, entry] = entry, False, True
-    dist[:, 0] = _apart(x, norms, rows[:, :1], queries)[:, 0]
+    first = np.broadcast_to(entry, (count, len(entry)))
+    away = _apart(x, first, queries)
+    by = np.argsort(away, 1, kind="stable")[:, :beam]
+    rows[:, :by.shape[1]], dist[:, :by.shape[1]] = np.take_along_axis(first, by, 1), np.take_along_axis(away, by, 1)
+    done[:, :by.shape[1]], seen[:, entry] = False, True
     live = np.arange(count)
     while len(live):
         at = np.where(done[live], np.inf, dist[live]).argmin(1)
@@ -54,8 +65,8 @@ def beam_search(x: np.ndarray, graph: np.ndarray, entry: int, queries: np.ndarra
         done[live, at] = True
         near = graph[rows[live, at]]
         new = (near >= 0) & ~seen[live[:, None], near]
-        seen[live[:, None], np.where(near >= 0, near, entry)] = True
-        far = np.where(new, _apart(x, norms, np.maximum(near, 0), queries[live]), np.inf)
+        seen[live[:, None], np.where(near >= 0, near, entry[0])] = True
+        far = np.where(new, _apart(x, np.maximum(near, 0), queries[live]), np.inf)
         all_rows, all_dist = np.hstack([rows[live], np.where(new, near, -1)]), np.hstack([dist[live], far])
         all_done = np.hstack([done[live], ~new])
         best = np.argsort(all_dist, 1, kind="stable")[:, :beam]
@@ -70,8 +81,7 @@ def prune(x: np.ndarray, own: np.ndarray, cand: np.ndarray, degree: int, relax:
     order = np.sort(cand, 1)  # each candidate once
     order[:, 1:][order[:, 1:] == order[:, :-1]] = -1
     cand = order
-    norms = (x * x).sum(1)
-    dist = np.where(cand >= 0, _apart(x, norms, np.maximum(cand, 0), x[own]), np.inf)
+    dist = np.where(cand >= 0, _apart(x, np.maximum(cand, 0), x[own]), np.inf)
     by = np.argsort(dist, 1, kind="stable")
     cand, dist = np.take_along_axis(cand, by, 1), np.take_along_axis(dist, by, 1)
     alive = cand >= 0
@@ -84,17 +94,21 @@ def prune(x: np.ndarray, own: np.ndarray, cand: np.ndarray, degree: int, relax:
             break
         star = cand[rows, pick]
         out[has, k] = star[has]
-        between = _apart(x, norms, np.maximum(cand, 0), x[np.maximum(star, 0)])
+        between = _apart(x, np.maximum(cand, 0), x[np.maximum(star, 0)])
         alive &= (relax * relax * between > dist) & has[:, None]
         alive[rows, pick] = False
     return out
 
 
-def build(x: np.ndarray, degree: int = DEGREE, beam: int = BEAM, relax: float = RELAX, batch: int = 512) -> tuple[np.ndarray, int]:
-    """(graph, entry) over distinct vectors: edges by beam search and robust pruning, with their reverse edges."""
+def build(x: np.ndarray, degree: int = DEGREE, beam: int = BEAM, relax: float = RELAX, batch: int = 512) -> tuple[np.ndarray, np.ndarray]:
+    """(graph, entry rows) over distinct vectors: edges by beam search and robust pruning, with their reverse edges.
+
+    Groups that lie far apart may end without edges between them, so there are several entry rows,
+    and every row can be reached from one of them.
+    """
     n = len(x)
     rng = np.random.default_rng(SEED)
-    entry = int(((x - x.mean(0)) ** 2).sum(1).argmin())
+    entry = _entries(x, rng)
     graph = np.full((n, degree), -1, np.int64)
     if n > 1:  # a random graph to start from, so that everything can be reached
         start = rng.integers(0, n, (n, min(degree, n - 1)))
@@ -106,7 +120,33 @@ def build(x: np.ndarray, degree: int = DEGREE, beam: int = BEAM, relax: float =
             found, _ = beam_search(x, graph, entry, x[own], beam)
             graph[own] = prune(x, own, np.hstack([found, graph[own]]), degree, alpha)
             _add_reverse(x, graph, own, degree, alpha)
-    return graph, entry
+    return graph, _reaching(graph, entry)
+
+
+def _entries(x: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+    """The row in the middle, rows each as far as can be from those before, and rows at random."""
+    picked = [int(((x - np.median(x, 0)) ** 2).sum(1).argmin())]
+    away = np.full(len(x), np.inf)
+    for _ in range(min(ENTRIES, len(x)) - 1):
+        away = np.minimum(away, _apart(x, np.full((len(x), 1), picked[-1]), x)[:, 0])
+        picked.append(int(away.argmax()))
+    return np.unique(np.concatenate([picked, rng.integers(0, len(x), ENTRIES)]))
+
+
+def _reaching(graph: np.ndarray, entry: np.ndarray) -> np.ndarray:
+    """``entry`` and further rows, until all rows can be reached."""
+    reached = np.zeros(len(graph), bool)
+    picked = [entry]
+    while True:
+        front = picked[-1]
+        reached[front] = True
+        while len(front):
+            ends = np.unique(graph[front])
+            front = ends[(ends >= 0) & ~reached[ends]]
+            reached[front] = True
+        if reached.all():
+            return np.concatenate(picked)
+        picked.append(np.array([reached.argmin()]))
 
 
 def _add_reverse(x: np.ndarray, graph: np.ndarray, own: np.ndarray, degree: int, relax: float) -> None:
@@ -157,14 +197,14 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "v
     def index(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("kind", ignore_index=True)
         x = np.stack(pdf["v"].to_numpy())
-        graph, entry = build((x - x.mean(0)).astype(np.float32), degree, beam, relax)
+        graph, entry = build(x, degree, beam, relax)
         pdf["edges"] = list(graph.astype(np.int32))
-        pdf["pos"], pdf["entry"] = np.arange(len(pdf), dtype=np.int32), np.int32(entry)
+        pdf["pos"], pdf["entry"] = np.arange(len(pdf), dtype=np.int32), np.isin(np.arange(len(pdf)), entry)
         return pdf[["shard", "length", "kind", "v", "pos", "entry", "edges"]]
 
     dealt = kinds.withColumn("shard", F.pmod(F.xxhash64("kind"), F.lit(shards)).cast("int")).withColumn("length", F.size("v"))
     built = stage(dealt.groupBy("shard", "length").applyInPandas(
-        index, "shard int, length int, kind long, v array<double>, pos int, entry int, edges array<int>"), "graphs")
+        index, "shard int, length int, kind long, v array<double>, pos int, entry boolean, edges array<int>"), "graphs")
 
     asked = usable(queries, id_col, vector).withColumn("length", F.size("v")).dropDuplicates(["id"])
     blocks = max(1, -(-asked.count() // query_rows))
@@ -178,13 +218,12 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "v
             return pd.DataFrame({"query_id": [], "kind": [], "score": []})
         shelf = shelf.sort_values("pos", ignore_index=True)
         x, q = np.stack(shelf["v"].to_numpy()), np.stack(asked["v"].to_numpy())
-        mid = x.mean(0)
-        graph = np.stack(shelf["edges"].to_numpy()).astype(np.int64)
+        graph, entry = np.stack(shelf["edges"].to_numpy()).astype(np.int64), np.flatnonzero(shelf["entry"])
         ids, kinds = asked["id"].to_numpy(), shelf["kind"].to_numpy()
         parts = []
         for at in range(0, len(q), 256):
             own = q[at:at + 256]
-            found, _ = beam_search((x - mid).astype(np.float32), graph, int(shelf["entry"][0]), (own - mid).astype(np.float32), want)
+            found, _ = beam_search(x, graph, entry, own, want)
             exact = np.sqrt(((x[np.maximum(found, 0)] - own[:, None]) ** 2).sum(2))
             exact[found < 0] = np.inf
             best = np.argsort(exact, 1, kind="stable")[:, :k + 1]

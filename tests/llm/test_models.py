@@ -72,6 +72,27 @@ def test_search(spark, shard_rows, query_rows):
     assert [r.vec_id for r in sorted((r for r in got if r.query_id == 100), key=lambda r: r.rank)] == [i for _, i in want[100]]
 
 
+@pytest.mark.parametrize("kind", ["plain", "outlier", "huge outlier", "far groups", "offset"])
+def test_recall_on_rows_without_structure(kind):
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(1500, 32))
+    if "outlier" in kind:
+        x[7, 3] = 1e20 if kind == "huge outlier" else 1e8
+    if kind == "far groups":
+        x[:400] += 1e8
+        x[400:410] -= 1e9
+    if kind == "offset":
+        x += 1e7
+    graph, entry = ann.build(x)
+    asked = np.arange(0, 1500, 10)
+    found, _ = ann.beam_search(x, graph, entry, x[asked], ann.BEAM)
+    hits = total = 0
+    for q, row in zip(asked, found):
+        near = np.argsort(((x - x[q]) ** 2).sum(1), kind="stable")[:11]
+        hits, total = hits + len(set(near) & set(row[:11])), total + 11
+    assert hits >= 0.95 * total
+
+
 def test_few_vectors(spark):
     schema = "vec_id long, embedding array<float>"
     df = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 1.0])], schema)
