@@ -4,7 +4,9 @@ Two lines within one inserted, deleted or replaced word become equal when at mos
 deleted from each. Every distinct line therefore emits the hashes of its variants with one word
 missing, and of itself; equal hashes are joined and verified word by word. Variants with the word
 missing at the same place differ in that word only, so the earliest line of such a group stands for
-all earlier ones, and no pairs inside a group are formed.
+all earlier ones, and no pairs inside a group are formed. A first hash of each variant covers its pairs
+of adjacent words without their order, which takes one step a variant; only variants that share it
+with another line are hashed whole, so that long lines cost time in proportion.
 
 Lines whose halves no other line has cannot have a partner and emit nothing: one edit leaves the
 first or the last half of the shorter line as it is.
@@ -42,12 +44,27 @@ def _halves(w: Column) -> Column:
     return F.array(*keys)
 
 
-def _variants(w: Column) -> Column:
-    """(at, key): the line itself at -1, and for each word the line without it. Hashing two arrays in turn is hashing them joined."""
+def _pairs(w: Column) -> Column:
+    """XOR of the hashes of all pairs of adjacent words, the ends included."""
+    return F.aggregate(F.sequence(F.lit(0), F.size(w)), F.lit(0).cast("long"),
+                       lambda s, i: s.bitwiseXOR(F.xxhash64(F.get(w, i - 1), F.get(w, i))))
+
+
+def _sketches(w: Column, whole: Column) -> Column:
+    """(at, sketch): the line itself at -1, and for each word the line without it; ``whole`` is ``_pairs`` of the line."""
     n = F.size(w)
-    whole = F.array(F.struct(F.lit(-1).alias("at"), F.xxhash64(w).alias("key")))
-    return F.concat(whole, F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.struct(
-        i.alias("at"), F.xxhash64(F.slice(w, F.lit(1), i), F.slice(w, i + 2, n)).alias("key"))))
+
+    def without(x, i):
+        left, right = F.get(w, i - 1), F.get(w, i + 1)
+        rest = whole.bitwiseXOR(F.xxhash64(left, x)).bitwiseXOR(F.xxhash64(x, right)).bitwiseXOR(F.xxhash64(left, right))
+        return F.struct(i.alias("at"), F.xxhash64(n - 1, rest).alias("sketch"))
+    return F.concat(F.array(F.struct(F.lit(-1).alias("at"), F.xxhash64(n, whole).alias("sketch"))), F.transform(w, without))
+
+
+def _variants(w: Column, ats: Column) -> Column:
+    """(at, key) of these variants, hashed in order. Hashing two arrays in turn is hashing them joined."""
+    return F.transform(ats, lambda i: F.struct(i.alias("at"), F.when(i < 0, F.xxhash64(w)).otherwise(
+        F.xxhash64(F.slice(w, F.lit(1), i), F.slice(w, i + 2, F.size(w)))).alias("key")))
 
 
 def within_one_edit(a: Column, b: Column) -> Column:
@@ -80,12 +97,16 @@ def find_repeats(docs: DataFrame) -> DataFrame:
     texts = stage(lines.join(firsts, (F.col("h1") == F.col("_h1")) & (F.col("h2") == F.col("_h2")) & F.col("id").eqNullSafe(F.col("_id"))
                              & (F.col("line") == F.col("_line")) & (F.col("text_key") == F.col("_key")))
                   .select("id", "line", "h1", "h2", "text").dropDuplicates(["h1", "h2"])
-                  .select("id", "line", "h1", "h2", _hashes(F.col("text")).alias("w")), "words")
-    marks = stage(texts.select(place.alias("place"), F.explode(_variants(F.col("w"))).alias("v"))
-                  .select("place", "v.key", "v.at"), "marks")
+                  .select("id", "line", "h1", "h2", _hashes(F.col("text")).alias("w"))
+                  .withColumn("whole", _pairs(F.col("w"))), "words")
+    # The sketch of a whole line is a column of the table of lines, taken once a line.
+    marks = stage(texts.select("h1", "h2", F.explode(_sketches(F.col("w"), F.col("whole"))).alias("s")).select("h1", "h2", "s.sketch", "s.at"), "marks")
     # Most variants belong to one line only; the few that are shared go on.
-    busy = marks.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key")
-    shared = stage(marks.join(busy, "key", "left_semi"), "shared")
+    kind = F.struct("h1", "h2")
+    busy = marks.groupBy("sketch").agg(F.min(kind).alias("a"), F.max(kind).alias("b")).where("a != b").select("sketch")
+    alike = marks.join(busy, "sketch", "left_semi").groupBy("h1", "h2").agg(F.collect_list("at").alias("ats"))
+    shared = stage(texts.join(alike, ["h1", "h2"]).select(place.alias("place"), F.explode(_variants(F.col("w"), F.col("ats"))).alias("v"))
+                   .select("place", "v.key", "v.at"), "shared")
     discard(marks)
     firsts_at = shared.groupBy("key", "at").agg(F.min("place").alias("first"))
     ends = shared.groupBy("key").agg(F.min(F.when(F.col("at") < 0, F.col("place"))).alias("whole"),
@@ -127,7 +148,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text") ->
     out = source.join(gone, F.col("id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key")), "left")
     split = F.split("text", "\n", -1)
     lost = F.coalesce(F.col("gone"), F.array().cast("array<int>"))
-    kept = F.filter(split, lambda x, i: ~F.array_contains(lost, i))
+    stay = F.array_except(F.sequence(F.lit(0), F.size(split) - 1), lost)
+    kept = F.when(split.isNotNull(), F.transform(stay, lambda i: F.get(split, i)))
     return out.select(F.col("id").alias(id_col), "text_key", F.coalesce(F.size(split), F.lit(0)).alias("n_lines"),
                       (F.size(lost) - F.coalesce("n_near", F.lit(0))).cast("long").alias("n_exact"),
                       F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"), F.array_join(kept, "\n").alias("text"))
