@@ -55,8 +55,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: s
     items = _hashed(benchmark.select(F.col(item_col).alias("item"), F.col(item_text).alias("text")), ["item"], "text")
     items = items.where(F.size("w") >= SPAN).withColumn("kind", F.xxhash64("w"))
     kinds = items.groupBy("kind").agg(F.first("w").alias("v"))
-    marks = (kinds.select("kind", F.posexplode(seeds(F.col("v"))).alias("_i", "seed"))
-             .select("kind", "seed", F.floor(F.col("_i") / len(MASKS)).cast("int").alias("item_pos")))
+    marks = (kinds.select("kind", F.size("v").alias("n"), F.posexplode(seeds(F.col("v"))).alias("_i", "seed"))
+             .select("kind", "n", "seed", F.floor(F.col("_i") / len(MASKS)).cast("int").alias("item_pos")))
     marks = stage(marks, "seeds")
     if marks.count() <= BROADCAST_SEEDS:
         marks = F.broadcast(marks)
@@ -64,14 +64,16 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: s
     found = (_hashed(source, ["id", "text_key"], "text")
              .select("id", "text_key", F.posexplode(seeds(F.col("w"))).alias("_i", "seed")).join(marks, "seed"))
     offset = (F.floor(F.col("_i") / len(MASKS)).cast("int") - F.col("item_pos")).alias("offset")
-    hits = stage(found.select("id", "text_key", "kind", offset).distinct(), "hits")
+    hits = stage(found.select("id", "text_key", "kind", "n", offset).distinct(), "hits")
     hit = hits.select("id", "text_key").distinct()
     texts = source.join(hit, source["id"].eqNullSafe(hit["id"]) & (source["text_key"] == hit["text_key"]), "left_semi")
     texts = _hashed(texts.dropDuplicates(["id", "text_key"]), ["id", "text_key"], "text")
+    # Only the tokens that face the item travel on; of an item that starts before the text the first ones face nothing.
+    faced = F.slice("w", F.greatest("offset", F.lit(0)) + 1, F.greatest(F.least(F.col("n"), F.col("offset") + F.col("n")), F.lit(0))).alias("w")
     pair = (hits.join(texts, hits["id"].eqNullSafe(texts["id"]) & (hits["text_key"] == texts["text_key"]))
-            .select(hits["id"], hits["text_key"], "kind", "offset", "w").join(kinds, "kind"))
+            .select(hits["id"], hits["text_key"], "kind", "offset", faced).join(kinds, "kind"))
     # get() is NULL outside of the text.
-    same = F.transform(F.col("v"), lambda t, i: F.coalesce(F.get("w", i + F.col("offset")) == t, F.lit(False)))
+    same = F.transform(F.col("v"), lambda t, i: F.coalesce(F.get("w", i + F.least("offset", F.lit(0))) == t, F.lit(False)))
     run = F.aggregate("same", F.struct(F.lit(0).alias("now"), F.lit(0).alias("best")), lambda s, hit: F.struct(
         F.greatest(s["now"] + F.when(hit, 1).otherwise(-2), F.lit(0)).alias("now"),
         F.greatest(s["best"], s["now"] + F.when(hit, 1).otherwise(-2)).alias("best")), lambda s: s["best"])
