@@ -102,8 +102,8 @@ def find_repeats(docs: DataFrame) -> DataFrame:
     # The sketch of a whole line is a column of the table of lines, taken once a line.
     marks = stage(texts.select("h1", "h2", F.explode(_sketches(F.col("w"), F.col("whole"))).alias("s")).select("h1", "h2", "s.sketch", "s.at"), "marks")
     # Most variants belong to one line only; the few that are shared go on.
-    kind = F.struct("h1", "h2")
-    busy = marks.groupBy("sketch").agg(F.min(kind).alias("a"), F.max(kind).alias("b")).where("a != b").select("sketch")
+    busy = (marks.groupBy("sketch").agg(F.min("h1").alias("a"), F.max("h1").alias("b"), F.min("h2").alias("c"), F.max("h2").alias("d"))
+            .where("a != b OR c != d").select("sketch"))
     alike = marks.join(busy, "sketch", "left_semi").groupBy("h1", "h2").agg(F.collect_list("at").alias("ats"))
     shared = stage(texts.join(alike, ["h1", "h2"]).select(place.alias("place"), F.explode(_variants(F.col("w"), F.col("ats"))).alias("v"))
                    .select("place", "v.key", "v.at"), "shared")
