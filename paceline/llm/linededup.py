@@ -146,7 +146,9 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text") ->
     gone = (find_repeats(source).groupBy(F.col("id").alias("_id"), F.col("text_key").alias("_key"))
             .agg(F.collect_set("line").alias("gone"), F.countDistinct(F.when(F.col("near"), F.col("line"))).alias("n_near")))
     out = source.join(gone, F.col("id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key")), "left")
-    split = F.split("text", "\n", -1)
+    # A column of its own: inside the lambda the text would be split again for every line.
+    out = out.withColumn("_split", F.split("text", "\n", -1))
+    split = F.col("_split")
     lost = F.coalesce(F.col("gone"), F.array().cast("array<int>"))
     stay = F.array_except(F.sequence(F.lit(0), F.size(split) - 1), lost)
     kept = F.when(split.isNotNull(), F.transform(stay, lambda i: F.get(split, i)))
