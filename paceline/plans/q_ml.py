@@ -400,18 +400,66 @@ def penalty_sweep(spark, sf_dir):
     return rounded(changepoints.penalty_sweep(cliff_input(spark, sf_dir), ROLES))
 
 
-@query("isolation_forest")
+_DENSE = ["lap_delta", "relative_pace"]
+
+
+def _draw_sql(x: str, tree: str, seed: int) -> str:
+    """``forest.draws`` in SQL."""
+    p = forest.PRIME
+    y = f"(({x}) * 48271 + ({tree} + 1) * 69621 + {seed}) % {p}"
+    return f"list_transform([{y}], lambda y: ((y * y) % {p} * 48271 + {tree} + 1) % {p})[1]"
+
+
+def _forest_sql(src: str, key: str, row_id: str, feats: list[str], seed: int = 42) -> str:
+    """``fs`` (key, row id, anomaly_score, is_anomaly): trees grown level by level, then walked by every row."""
+    n, p, f = len(feats), forest.PRIME, [f"f{i}" for i in range(len(feats))]
+    cols = ", ".join(f)
+    square = f"(d::BIGINT * d) % {p}"
+    pick = " ".join(f"WHEN {i} THEN {{0}}f{i}" for i in range(n))
+    wide = " OR ".join(f"hi{i} > lo{i}" for i in range(n))
+    best = "list_position(u, list_max(u)) - 1"
+    depth = lambda c: f"CASE WHEN {c} > 2 THEN 2 * (ln({c} - 1) + 0.5772156649015329) - 2 * ({c} - 1) / {c}::DOUBLE WHEN {c} = 2 THEN 1.0 ELSE 0.0 END"
+    nodes = f"""SELECT *, CASE fd {" ".join(f"WHEN {i} THEN lo{i} + d / {p}::DOUBLE * (hi{i} - lo{i})" for i in range(n))} END AS cut
+  FROM (SELECT * REPLACE (({square})::DOUBLE AS d), {best} AS fd FROM (SELECT *, {_draw_sql(f"v * {n + 1} + {n}", "t", seed + 1)} AS d,
+   [{", ".join(f"CASE WHEN hi{i} > lo{i} THEN list_transform([{_draw_sql(f'v * {n + 1} + {i}', 't', seed + 1)}], lambda d: {square})[1] ELSE -1 END" for i in range(n))}] AS u FROM box))"""
+    return f"""fbase AS (SELECT {key} AS g, {row_id} AS id, {", ".join(f"{c}::DOUBLE AS f{i}" for i, c in enumerate(feats))},
+   ('0x' || substr(md5({row_id}::VARCHAR), 1, 8))::BIGINT AS x FROM {src} WHERE {" AND ".join(f"{c} IS NOT NULL AND NOT isnan({c})" for c in feats)}),
+ fsize AS (SELECT g, count(*) AS n FROM fbase GROUP BY g HAVING count(*) >= {forest.MIN_ROWS}),
+ fvol AS (SELECT g, id, t, {square} AS h, {cols} FROM (SELECT *, {_draw_sql("x", "t", seed)} AS d FROM fbase JOIN fsize USING (g), range({forest.TREES}) r(t))
+   WHERE ({square}) < {float(forest.VOLUNTEERS * forest.SAMPLE)} / n * {float(p)}),
+ fm AS (SELECT g, least({forest.SAMPLE}, min(c)) AS m, ceil(log2(greatest(least({forest.SAMPLE}, min(c)), 2))) AS top FROM (SELECT g, t, count(*) AS c FROM fvol GROUP BY ALL) GROUP BY g),
+ fpick AS (SELECT g, t, m, top, {cols} FROM (SELECT *, row_number() OVER (PARTITION BY g, t ORDER BY h, id) AS o FROM fvol) JOIN fm USING (g) WHERE o <= m),
+ grown AS (SELECT 0 AS level, 1::BIGINT AS v, g, t, top, {cols} FROM fpick
+  UNION ALL SELECT level + 1, 2 * v + (CASE fd {pick.format("")} END > cut)::INT, g, t, top, {cols}
+  FROM (WITH box AS (SELECT *, count(*) OVER w AS c, {", ".join(f"min(f{i}) OVER w AS lo{i}, max(f{i}) OVER w AS hi{i}" for i in range(n))}
+    FROM grown WHERE level < top WINDOW w AS (PARTITION BY g, t, v)) {nodes} WHERE c > 1 AND ({wide}))),
+ box AS (SELECT level, v, g, t, any_value(top) AS top, count(*) AS c, {", ".join(f"min(f{i}) AS lo{i}, max(f{i}) AS hi{i}" for i in range(n))} FROM grown GROUP BY level, v, g, t),
+ fnode AS MATERIALIZED (SELECT g, t, v, level, c, CASE WHEN c > 1 AND level < top AND ({wide}) THEN fd END AS fd, cut FROM ({nodes})),
+ walk AS (SELECT 0 AS level, 1::BIGINT AS v, g, t, id, {cols} FROM fbase JOIN fsize USING (g), range({forest.TREES}) r(t)
+  UNION ALL SELECT w.level + 1, 2 * w.v + (CASE fd {pick.format("w.")} END > cut)::INT, w.g, w.t, w.id, {", ".join("w." + c for c in f)}
+  FROM walk w JOIN fnode k ON k.g = w.g AND k.t = w.t AND k.v = w.v WHERE fd IS NOT NULL),
+ fend AS (SELECT w.g, w.id, sum((w.level::BIGINT * {forest.NANO} + round(({depth("coalesce(k.c, 0)")}) * {forest.NANO}))::BIGINT) AS total
+   FROM walk w LEFT JOIN fnode k ON k.g = w.g AND k.t = w.t AND k.v = w.v WHERE fd IS NULL GROUP BY w.g, w.id),
+ fscore AS (SELECT g, id, -power(2, -((total / {forest.TREES} / {forest.NANO}) / ({depth("m")}))) AS s FROM fend JOIN fm USING (g)),
+ fs AS (SELECT g, id, s AS anomaly_score, s < q AS is_anomaly FROM fscore JOIN (SELECT g, quantile_cont(s, {forest.CONTAMINATION["default"]}) AS q FROM fscore GROUP BY g) USING (g))"""
+
+
+@query("isolation_forest", with_runs(FEATURES_SQL + ", " + _forest_sql("features", "entity", "seq", _DENSE)).replace("WITH ", "WITH RECURSIVE ", 1) + """
+ SELECT entity, seq, round(lap_delta, 6) AS lap_delta, round(relative_pace, 6) AS relative_pace, round(measure, 6) AS measure,
+ coalesce(is_anomaly, false) AS is_anomaly, round(coalesce(anomaly_score, 0.0), 6) AS anomaly_score
+ FROM features LEFT JOIN fs ON g = entity AND id = seq""")
 def isolation_forest(spark, sf_dir):
     src = features(spark, sf_dir).select("entity", "seq", "lap_delta", "relative_pace", "measure")
-    return forest.detect_anomalies(src, ["entity"], "seq", ["lap_delta", "relative_pace"])
+    return rounded(forest.detect_anomalies(src, ["entity"], "seq", _DENSE))
 
 
-@query("isolation_forest_global")
+@query("isolation_forest_global", f"WITH RECURSIVE {_EMB_SQL}, " + _forest_sql("emb", "0", "vec_id", _EMB) + f"""
+ SELECT vec_id, label, {", ".join(f"round({c}, 6) AS {c}" for c in _EMB)}, coalesce(is_anomaly, false) AS is_anomaly,
+ round(coalesce(anomaly_score, 0.0), 6) AS anomaly_score FROM emb LEFT JOIN fs ON id = vec_id""")
 def isolation_forest_global(spark, sf_dir):
-    return forest.detect_anomalies(emb(spark, sf_dir), [], "vec_id", _EMB)
+    return rounded(forest.detect_anomalies(emb(spark, sf_dir), [], "vec_id", _EMB))
 
 
-_DENSE = ["lap_delta", "relative_pace"]
 
 # Core rows by counting neighbours, clusters by walking from core to core, borders to the lowest label.
 DBSCAN_SQL = """, pt AS (SELECT entity, seq, lap_delta AS x, relative_pace AS y FROM features),

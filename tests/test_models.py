@@ -199,3 +199,47 @@ def test_choose_k(spark, blobs):
     d = _points(spark, blobs[:75])
     assert metrics.choose_k(d, ["g"], "id", ["x", "y"], (2, 3, 4)).first().k == 3
     assert metrics.choose_k(d, ["g"], "id", ["x", "y"], (2, 3, 4), method="elbow").first().k == 3
+
+
+def test_forest_trees_against_a_plain_walk(spark):
+    """Trees grown row by row from the same draws, on points with ties, give the nodes and scores."""
+    rng = np.random.default_rng(8)
+    x = np.round(rng.normal(size=(60, 2)), 1)
+    d = _points(spark, x).unionByName(_points(spark, [[1, 1]] * 12, key=2))
+    number = dict(d.where("g = 1").select("id", forest.row_number_of("id")).collect())
+    trees, sample = 20, 16
+    want, total, m = {}, np.zeros(len(x)), None
+    picks = []
+    for t in range(trees):
+        h = {i: int(forest.draws(number[i], t, 42)) for i in range(60)}
+        picks.append(sorted((i for i in h if h[i] < 2 * sample / 60 * forest.PRIME), key=lambda i: (h[i], i)))
+    m = min(sample, min(map(len, picks)))
+    for t in range(trees):
+        def build(v, level, rows, t=t):
+            luck = [int(forest.draws(v * 3 + k, t, 43)) for k in range(3)]
+            wide = [k for k in range(2) if len({x[i][k] for i in rows}) > 1]
+            if len(rows) < 2 or not wide or level == int(np.ceil(np.log2(m))):
+                want[t, v] = (None, None, level + float(forest._c(np.array([len(rows)]))[0]))
+                return
+            k = max(wide, key=lambda k: (luck[k], -k))
+            lo, hi = min(x[i][k] for i in rows), max(x[i][k] for i in rows)
+            cut = lo + luck[2] / forest.PRIME * (hi - lo)
+            want[t, v] = (k, cut, None)
+            build(2 * v, level + 1, [i for i in rows if x[i][k] <= cut])
+            build(2 * v + 1, level + 1, [i for i in rows if x[i][k] > cut])
+        build(1, 0, picks[t][:m])
+        for i in range(60):
+            v = 1
+            while want[t, v][0] is not None:
+                v = 2 * v + int(x[i][want[t, v][0]] > want[t, v][1])
+            total[i] += want[t, v][2]
+    got = forest.isolation_trees(d, ["g"], "id", ["x", "y"], trees=trees, sample=sample)
+    mine = {(r.tree, r.node): (r.feature, r.cut, r.depth) for r in got.where("g = 1").collect()}
+    assert set(mine) == set(want)
+    for at, (k, cut, depth) in want.items():
+        assert mine[at][0] == k and mine[at][1:] == (pytest.approx(cut), pytest.approx(depth))
+    assert got.where("g = 2 AND node <> 1").count() == 0 and got.where("g = 2").count() == trees
+    scores = forest.isolation_scores(d, ["g"], "id", ["x", "y"], trees=trees, sample=sample).where("g = 1").collect()
+    assert len(scores) == 60
+    for r in scores:
+        assert r.anomaly_score == pytest.approx(-2 ** (-total[r.id] / trees / float(forest._c(np.array([m]))[0])))
