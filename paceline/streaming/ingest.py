@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from paceline.session import path_exists
 from paceline.sources.tables import write_table
 
 
@@ -20,26 +19,18 @@ def land_stream(spark: SparkSession, path: str, schema: StructType | str, files_
 
 def ingest(source: DataFrame, target: str, checkpoint: str, keys: Sequence[str], partition_by: Sequence[str] = ("year", "round"),
            normalize: Callable[[DataFrame], DataFrame] | None = None) -> StreamingQuery:
-    """Append the files that are new since the last run, then stop.
-
-    Rows are de-duplicated by key inside a batch and against the partitions of the target that the
-    batch touches, so a file delivered twice or a batch replayed after a failure changes nothing.
-    Data that has not arrived yet is simply picked up by a later run.
+    """Append the rows whose key is new since the first run with this ``checkpoint``, then stop.
+
+    The keys seen so far live in the stream's state store, spread over the shuffle partitions, so the
+    cost of a batch follows the batch and not the target, and a row delivered twice changes nothing,
+    in the same run or in a later one. Of the rows with one key, one is kept. The file sink lists the
+    files of a batch in its log when the batch is complete: a batch that is replayed after a failure
+    replaces the lost attempt, and readers of ``target`` see whole batches only. ``normalize`` works
+    row by row. NULL is a key value like any other. The target belongs to its checkpoint.
     """
-    keys, parts = list(keys), list(partition_by)
-
-    def write(batch: DataFrame, _id: int) -> None:
-        spark = batch.sparkSession
-        rows = (normalize(batch) if normalize else batch).dropDuplicates(keys)
-        if path_exists(spark, target):
-            # The touched partition values prune the scan of the target by a broadcast semi join.
-            old = spark.read.schema(rows.schema).parquet(target)
-            touched = old.join(rows.select(*parts).distinct(), parts, "left_semi")
-            rows = rows.join(touched.select(*keys), keys, "left_anti")
-        rows.write.mode("append").partitionBy(*parts).parquet(target)
-
-    return (source.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True).start())
+    rows = (normalize(source) if normalize else source).dropDuplicates(list(keys))
+    return (rows.writeStream.format("parquet").option("path", target).option("checkpointLocation", checkpoint)
+            .partitionBy(*partition_by).outputMode("append").trigger(availableNow=True).start())
 
 
 def process_races(tables: dict[str, DataFrame], races: Sequence[tuple[int, int]] | None, steps: dict[str, Callable[[DataFrame], DataFrame]],

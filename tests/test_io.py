@@ -64,6 +64,42 @@ def test_ingest_is_incremental_and_idempotent(spark, tmp_path):
         (2024, 1, "A", 1), (2024, 1, "B", 1), (2024, 2, "A", 1)]
 
 
+def test_ingest_reads_new_files_and_state_only(spark, tmp_path):
+    src, target, check = (str(tmp_path / n) for n in ("land", "bronze", "check"))
+    cols = "year int, round int, d string, lap int"
+    rows = [(2024, r, d, lap) for r in (1, 2) for d in ("A", None) for lap in range(20)]
+    spark.createDataFrame(rows * 2, cols).repartition(4).write.mode("append").parquet(src)
+    keys = ["year", "round", "d", "lap"]
+    ingest.ingest(ingest.land_stream(spark, src, cols), target, check, keys).awaitTermination()
+    new = [*rows[:7], (2025, 1, "A", 1)]
+    spark.createDataFrame(new, cols).coalesce(1).write.mode("append").parquet(src)
+    q = ingest.ingest(ingest.land_stream(spark, src, cols), target, check, keys)
+    q.awaitTermination()
+    got = spark.read.parquet(target).select(*keys).collect()
+    assert sorted(map(str, got)) == sorted(map(str, spark.createDataFrame([*rows, (2025, 1, "A", 1)], cols).collect()))
+    # The one source is the landing folder, read once, and the keys of all runs are in the state.
+    batches = [p for p in q.recentProgress if p.numInputRows]
+    assert [len(p.sources) for p in batches] == [1] and batches[0].numInputRows == len(new)
+    assert batches[0].stateOperators[0].numRowsTotal == len(rows) + 1
+
+
+def test_ingest_replays_a_batch_that_was_not_committed(spark, tmp_path):
+    """A failure between the files of a batch and its commit changes nothing after the restart."""
+    src, target, check = (str(tmp_path / n) for n in ("land", "bronze", "check"))
+    cols = "year int, round int, d string"
+    spark.createDataFrame([(2024, 1, "A"), (2024, 1, "B")], cols).write.mode("append").parquet(src)
+    ingest.ingest(ingest.land_stream(spark, src, cols), target, check, ["d"]).awaitTermination()
+    spark.createDataFrame([(2024, 1, "B"), (2024, 2, "C")], cols).write.mode("append").parquet(src)
+    ingest.ingest(ingest.land_stream(spark, src, cols), target, check, ["d"]).awaitTermination()
+    last = sorted((tmp_path / "check" / "commits").glob("[0-9]*"), key=lambda f: int(f.name))[-1]
+    last.unlink()
+    for crc in (tmp_path / "check" / "commits").glob(f".{last.name}.crc"):
+        crc.unlink()
+    ingest.ingest(ingest.land_stream(spark, src, cols), target, check, ["d"]).awaitTermination()
+    assert sorted(tuple(r) for r in spark.read.parquet(target).select("year", "round", "d").collect()) == [
+        (2024, 1, "A"), (2024, 1, "B"), (2024, 2, "C")]
+
+
 def test_stateless_features_stream(spark, tmp_path):
     src = str(tmp_path / "rc")
     batch = spark.createDataFrame([("SAFETY CAR DEPLOYED", "SafetyCar", 3, 1.0)], "Message string, Category string, Lap int, Time_seconds double")
