@@ -31,7 +31,7 @@ SELECT doc_id, size, CAST(text_crc32 AS BIGINT) AS text_crc32, 'rows' AS law, CA
   CAST(NULL AS INTEGER) AS grown_shard
 FROM places"""
 
-#: Targets by the level of the water, slots by the golden ratio, and each document's part of the taken stretch of its stream.
+#: Targets by the level of the water, slots by the golden ratio, rare sources to their targets, and each document's part of the taken stretch of its stream.
 OP8 = rf"""
 WITH own AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{_WORDS}')) AS size, {_draw(mixing.SEED)} AS draw FROM documents),
 sizes AS (SELECT source, sum(size) AS source_size FROM own GROUP BY source),
@@ -39,15 +39,16 @@ caps AS (SELECT *, [{', '.join(f'{w}.0::DOUBLE' for w in mixing.WEIGHTS)}][CAST(
   source_size * {float(mixing.REPEATS)}::DOUBLE AS cap, sum(source_size) OVER () * {mixing.TOTAL}::DOUBLE AS whole FROM sizes),
 levels AS (SELECT *, (whole - coalesce(sum(cap) OVER o, 0)) / (sum(w) OVER () - coalesce(sum(w) OVER o, 0)) AS lvl FROM caps
   WINDOW o AS (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
-goals AS (SELECT source, source_size, least(cap, w * (SELECT arg_min(lvl, cap / w) FROM levels WHERE lvl * w <= cap)) AS target FROM levels),
+filled AS (SELECT source, source_size, least(cap, w * (SELECT arg_min(lvl, cap / w) FROM levels WHERE lvl * w <= cap)) AS target FROM levels),
+goals AS (SELECT *, target < {mixing.RARE}::DOUBLE * sum(target) OVER () AS rare FROM filled),
 spans AS (SELECT source, sum(target) OVER (ORDER BY source NULLS LAST) / sum(target) OVER () AS hi, sum(target) OVER () AS whole,
-  row_number() OVER (ORDER BY source DESC NULLS FIRST) AS from_end FROM goals WHERE target > 0),
+  row_number() OVER (ORDER BY source DESC NULLS FIRST) AS from_end FROM goals WHERE target > 0 AND NOT rare),
 bounds AS (SELECT source, whole, coalesce(lag(hi) OVER (ORDER BY source NULLS LAST), 0) AS lo, CASE WHEN from_end = 1 THEN 1 ELSE hi END AS hi FROM spans),
 points AS (SELECT (i + 1) * {mixing._GOLDEN}::DOUBLE - floor((i + 1) * {mixing._GOLDEN}::DOUBLE) AS x FROM range({mixing.SLOTS}) t(i)),
 slots AS (SELECT source, round(count(*) * (any_value(whole) / {float(mixing.SLOTS)}::DOUBLE)) AS upto FROM points JOIN bounds ON x >= lo AND x < hi GROUP BY source),
 placed AS (SELECT doc_id, source, size, coalesce(sum(size) OVER (PARTITION BY source ORDER BY draw, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS f FROM own)
 SELECT p.doc_id, p.size, CAST(g.source_size AS BIGINT) AS source_size, g.target,
-  CAST({' + '.join(f'greatest(0, least(f + size + {e} * source_size, coalesce(upto, 0)) - f - {e} * source_size)' for e in range(mixing.REPEATS))} AS BIGINT) AS taken
+  CAST({' + '.join(f'greatest(0, least(f + size + {e} * source_size, coalesce(CASE WHEN rare THEN round(g.target) ELSE upto END, 0)) - f - {e} * source_size)' for e in range(mixing.REPEATS))} AS BIGINT) AS taken
 FROM placed p JOIN goals g ON p.source IS NOT DISTINCT FROM g.source LEFT JOIN slots s ON p.source IS NOT DISTINCT FROM s.source"""
 
 _SEEDS = ", ".join("'" + str(m) + ":' || " + " || ' ' || ".join(f"w[i + {o}]" for o in mask) for m, mask in enumerate(decontam.MASKS))
