@@ -59,10 +59,9 @@ def _check(df: DataFrame, x: str, channels: Sequence[str]) -> list[str]:
 
 
 def _samples(df: DataFrame, keys: Sequence[str], x: str, channels: Sequence[str]) -> DataFrame:
-    """One sample per position: the smallest, where a position repeats."""
-    vals = F.struct(*[clean_number(c).alias(c) for c in channels])
-    return (df.select(*keys, clean_number(x).alias("_x"), vals.alias("_v")).where(F.col("_x").isNotNull())
-            .groupBy(*keys, "_x").agg(F.min("_v").alias("_v")).select(*keys, "_x", "_v.*"))
+    """One sample per position: the smallest known value of each channel, where a position repeats."""
+    return (df.select(*keys, clean_number(x).alias("_x"), *[clean_number(c).alias(c) for c in channels]).where(F.col("_x").isNotNull())
+            .groupBy(*keys, "_x").agg(*[F.min(c).alias(c) for c in channels]))
 
 
 def _grid(points: int, length: float) -> Column:
