@@ -36,12 +36,15 @@ SPLINE_HALO = 64
 
 
 def distance(df: DataFrame, keys: Sequence[str], time: str = "Time_seconds", speed: str = "Speed",
-             lane_seconds: float = 600.0) -> DataFrame:
-    """Append Distance: running sum of speed (km/h) / 3.6 times the time since the sample before."""
-    lane = F.floor(F.col(time) / lane_seconds).cast("long")
-    stepped = prefix_scan(df, keys, [time], [Scan("_prev", "prev", F.col(time))], lane)
+             lane_seconds: float = 600.0, ties: Sequence[str] = ()) -> DataFrame:
+    """Append Distance: running sum of speed (km/h) / 3.6 times the time since the sample before.
+
+    Samples of the same time follow each other in the order of the columns ``ties``.
+    """
+    lane, order = F.floor(F.col(time) / lane_seconds).cast("long"), [time, *ties]
+    stepped = prefix_scan(df, keys, order, [Scan("_prev", "prev", F.col(time))], lane)
     step = F.col(speed) / 3.6 * (F.col(time) - F.coalesce("_prev", F.lit(0.0)))
-    return prefix_scan(stepped, keys, [time], [Scan("Distance", "sum", step)], lane).drop("_prev")
+    return prefix_scan(stepped, keys, order, [Scan("Distance", "sum", step)], lane).drop("_prev")
 
 
 def axis_length(df: DataFrame, part: Sequence[str], x: str = "Distance", default: float = 5000.0) -> DataFrame:

@@ -99,13 +99,13 @@ def normalize_laps(df: DataFrame) -> DataFrame:
 
 
 def normalize_telemetry(df: DataFrame, keys: Sequence[str] = ("year", "round", "Driver"),
-                        drivers: Sequence[str] | None = None) -> DataFrame:
-    """Selected drivers, time to seconds, distance added, known channels."""
+                        drivers: Sequence[str] | None = None, ties: Sequence[str] = ()) -> DataFrame:
+    """Selected drivers, time to seconds, distance added (``ties`` order samples of the same time), known channels."""
     out = df.where(F.col(keys[-1]).isin(list(drivers))) if drivers is not None else df
     if "Time_seconds" not in df.columns:
         out = _with_seconds(out, ["Time"])
     if "Distance" not in df.columns:
-        out = distance(out, keys)
+        out = distance(out, keys, ties=ties)
     return nan_to_null(project_existing(out, [*keys, *schemas.names(schemas.TELEMETRY)]))
 
 

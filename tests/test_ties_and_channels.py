@@ -1,6 +1,7 @@
 """Positions and times that repeat, and gains at the least that counts."""
 
 from paceline.operators import signal
+from paceline.sources import tables
 
 
 def test_each_channel_takes_its_own_smallest_value_where_a_position_repeats(spark):
@@ -8,3 +9,11 @@ def test_each_channel_takes_its_own_smallest_value_where_a_position_repeats(spar
     d = spark.createDataFrame(rows, "g string, x double, Speed double, Throttle double")
     first = signal.resample_linear(d, ["g"], "x", ["Speed", "Throttle"], 10.0, 2).where("grid = 0").first()
     assert (first.Speed, first.Throttle) == (4.0, 7.0)
+
+
+def test_samples_of_one_time_follow_the_given_order(spark):
+    rows = [(1, 3, 20.0, 1.0), (1, 2, 20.0, 72.0), (1, 1, 10.0, 36.0)]
+    d = spark.createDataFrame(rows, "entity int, seq int, Time_seconds double, Speed double")
+    for part in (d, d.orderBy("Speed"), d.orderBy("seq")):
+        out = tables.normalize_telemetry(part.coalesce(1), ["entity"], ties=["seq"])
+        assert {(r.Speed, round(r.Distance, 6)) for r in out.collect()} == {(36.0, 100.0), (72.0, 300.0), (1.0, 300.0)}
