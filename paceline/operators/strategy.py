@@ -54,7 +54,8 @@ def strategy_base(df: DataFrame, roles: Roles, min_lap: int = 8, max_new_age: in
     pits = pit_stops(df, roles, min_lap, max_new_age, lane_rows)
     pits = prefix_scan(pits, keys, ["pit_lap"], [Scan("_then", "prev", F.col("pit_lap"))],
                        lane_of("pit_lap", lane_rows), reverse=True)
-    laps = df.select(*roles.row_keys, roles.rank, F.col(roles.measure).alias("_m"))
+    # Sums in decimals are exact, so a gain at the least that counts does not depend on the laps before.
+    laps = df.select(*roles.row_keys, roles.rank, F.col(roles.measure).try_cast("decimal(18,6)").alias("_m"))
     laps = laps.join(pits.withColumnRenamed("pit_lap", seq).withColumn("_stop", F.col(seq)), roles.row_keys, "left")
     stop = F.when(F.col("_stop").isNotNull(), F.struct(F.col("_stop").alias("lap"), F.col("_then").alias("then")))
     laps = nearest_known(laps, keys, [seq], {"stop": stop}, lane_of(seq, lane_rows), strict=True)
@@ -105,7 +106,7 @@ def _settle(pairs: DataFrame, base: DataFrame, medians: DataFrame, roles: Roles,
     def mean(who: str) -> Column:
         p = "my" if who == "me" else "o"
         n = F.col(f"{who}_n1") - F.col(f"{p}_n0")
-        return (F.col(f"{who}_s1") - F.col(f"{p}_s0")) / F.when(n > 0, n)
+        return (F.col(f"{who}_s1") - F.col(f"{p}_s0")).cast("double") / F.when(n > 0, n)
 
     between = F.col("second") - F.col("my_stop") - 1
     gain = F.when(between >= 2, (mean(slow) - mean(fast)) * between).otherwise(
