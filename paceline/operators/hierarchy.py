@@ -13,14 +13,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
 from paceline.operators.density import connected_components
-from paceline.operators.tiles import map_packed, pack
+from paceline.operators.tiles import map_packed, pack, plain
 from paceline.session import discard, stage
 
 #: Edges of one problem at most, with as many vertices.
@@ -135,12 +134,13 @@ def chosen_clusters(tree: DataFrame, groups: DataFrame, keys: Sequence[str], mos
     schema = T.StructType([*[edges.schema[k] for k in place], T.StructField("vertex", T.LongType()), T.StructField("top", T.LongType()),
                            *[T.StructField(c, T.DoubleType()) for c in ("n", "l", "x")]])
 
-    def run(e: pd.DataFrame, p: pd.DataFrame) -> pd.DataFrame:
-        e = e.sort_values("_rank")
-        rows = {int(a): (n, lv, x) for a, n, lv, x in zip(p["vertex"], p["n"], p["l"], p["x"])}
-        whole, top = solve(e["u"].tolist(), e["v"].tolist(), e["w"].tolist(), rows, int(p["_least"].iat[0]))
-        out = pd.DataFrame({"vertex": list(top), "top": pd.array(list(top.values()), dtype="Int64")})
-        return out.assign(**{k: e[k].iat[0] for k in place}, n=whole[0], l=whole[1], x=whole[2])
+    @plain
+    def run(e: dict, p: dict) -> dict:
+        order = np.argsort(e["_rank"])
+        rows = dict(zip(p["vertex"].tolist(), zip(p["n"].tolist(), p["l"].tolist(), p["x"].tolist())))
+        whole, top = solve(*(e[c][order].tolist() for c in ("u", "v", "w")), rows, int(p["_least"][0]))
+        out = {k: np.repeat(e[k][:1], len(top)) for k in place} | {c: np.full(len(top), x) for c, x in zip(("n", "l", "x"), whole)}
+        return out | {"vertex": np.array(list(top), np.int64), "top": np.array(list(top.values()), object)}
 
     depth = 0
     while True:

@@ -21,7 +21,7 @@ from pyspark.sql import Window as W
 
 from paceline.operators.keyed import attach_stats
 from paceline.operators.nearest import Cells, distances, matrix, neighbours
-from paceline.operators.tiles import TILE_ROWS, map_packed, pack, tile_pairs
+from paceline.operators.tiles import TILE_ROWS, map_packed, pack, plain, tile_pairs
 from paceline.session import discard, stage
 
 #: Neighbours listed per row at least; more of them spare later looks into other cells.
@@ -38,21 +38,22 @@ def local_tree(x: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.n
     n, d = len(x), distances(x, x)
     core = core_distances(d, k)
     w = np.maximum(np.maximum(d, core[:, None]), core[None])
-    best, link, free = w[0].copy(), np.zeros(n, np.int64), np.ones(n, bool)
+    # The pair of each free row as one number, the smaller place first; of equal weights the smallest pair.
+    at, free = np.arange(n), np.ones(n, bool)
+    best, pair = w[0].copy(), at.copy()
     free[0] = False
-    out = []
-    for _ in range(n - 1):
-        # Of equal weights the smallest pair of ids.
-        least = best[free].min()
-        at = np.flatnonzero(free & (best == least))
-        j = min(at.tolist(), key=lambda i: (min(i, link[i]), max(i, link[i])))
-        out.append((min(j, link[j]), max(j, link[j]), least))
+    links, weight = np.zeros(max(n - 1, 0), np.int64), np.zeros(max(n - 1, 0))
+    for step in range(n - 1):
+        left = np.flatnonzero(free)
+        weight[step] = least = best[left].min()
+        even = left[best[left] == least]
+        j = even[pair[even].argmin()]
+        links[step] = pair[j]
         free[j] = False
-        pair, old = np.sort(np.column_stack([np.full(n, j), np.arange(n)]), 1), np.sort(np.column_stack([link, np.arange(n)]), 1)
-        nearer = (w[j] < best) | ((w[j] == best) & ((pair[:, 0] < old[:, 0]) | ((pair[:, 0] == old[:, 0]) & (pair[:, 1] < old[:, 1]))))
-        best, link = np.where(free & nearer, w[j], best), np.where(free & nearer, j, link)
-    u, v, weight = (np.array(c) for c in zip(*out)) if out else (np.empty(0, int), np.empty(0, int), np.empty(0))
-    return ids[u], ids[v], weight
+        new = np.minimum(at, j) * n + np.maximum(at, j)
+        nearer = free & ((w[j] < best) | ((w[j] == best) & (new < pair)))
+        best, pair = np.where(nearer, w[j], best), np.where(nearer, new, pair)
+    return ids[links // n], ids[links % n], weight
 
 
 def _edge(w: Column, u: Column, v: Column) -> Column:
@@ -68,10 +69,11 @@ def spanning_trees(points: DataFrame, keys: Sequence[str], tile_rows: int = TILE
     counted = stage(attach_stats(points, keys, [F.count(F.lit(1)).alias("_n")]), "points")
     schema = T.StructType([*[counted.schema[k] for k in keys], *[T.StructField(c, T.LongType()) for c in ("u", "v")], T.StructField("w", T.DoubleType())])
 
-    def solve(own: pd.DataFrame) -> pd.DataFrame:
-        own = own.sort_values("_id")
-        u, v, w = local_tree(matrix(own["_f"]), own["_id"].to_numpy(np.int64), int(own["_k"].iat[0]))
-        return pd.DataFrame({**{k: [own[k].iat[0]] * len(u) for k in keys}, "u": u, "v": v, "w": w})
+    @plain
+    def solve(own: dict) -> dict:
+        order = np.argsort(own["_id"])
+        u, v, w = local_tree(matrix(own["_f"][order]), own["_id"][order], int(own["_k"][0]))
+        return {**{k: np.repeat(own[k][:1], len(u)) for k in keys}, "u": u, "v": v, "w": w}
 
     small = map_packed(pack(counted.where(F.col("_n") <= tile_rows).drop("_n"), keys, "b:"), keys, ["b:"], solve, schema)
     large = counted.where(F.col("_n") > tile_rows).drop("_n")
@@ -124,11 +126,11 @@ def _grown(points: DataFrame, keys: list[str], schema: T.StructType, cell_rows:
         seekers = (nodes.join(open_groups, keys, "left_semi").join(bound, [*keys, "_comp"], "left").withColumn("_most", F.coalesce("_most", F.lit(float("inf"))))
                    .where(F.greatest("_core", "_reach") <= F.col("_most")))
 
-        def choose(left: pd.DataFrame, right: pd.DataFrame, bound: np.ndarray, d: np.ndarray, home: np.ndarray) -> np.ndarray:
-            comp, core, most = left["_comp"].to_numpy()[:, None], left["_core"].to_numpy(float)[:, None], left["_most"].to_numpy(float)
-            foreign = (right["lo"].to_numpy()[None] != comp) | (right["hi"].to_numpy()[None] != comp)
+        def choose(left: dict, right: dict, bound: np.ndarray, d: np.ndarray, home: np.ndarray) -> np.ndarray:
+            comp, core, most = left["_comp"][:, None], left["_core"][:, None], left["_most"]
+            foreign = (right["lo"][None] != comp) | (right["hi"][None] != comp)
             # Without an edge so far, the nearest cell with another component tells how far one can be.
-            far = np.where(foreign, np.maximum(np.maximum(d + right["r"].to_numpy(float), right["core"].to_numpy(float)), core), np.inf)
+            far = np.where(foreign, np.maximum(np.maximum(d + right["r"], right["core"]), core), np.inf)
             most = np.where(np.isinf(most), far.min(1) * (1 + 1e-9), most)
             return foreign & (np.maximum(bound, core) <= most[:, None])
 
