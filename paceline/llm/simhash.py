@@ -248,6 +248,8 @@ def shingles(text: Column, size: int) -> Column:
 SAMPLED, COMMON = 8, 1 << 20
 #: Rounds of leaders: at most so many, and none after one that merges a smaller share of the sets.
 ROUNDS, _ROUND = 3, 0.01
+#: Sets of a place that are compared each with each; in larger places differences from a leader say which pairs are.
+FEW = 16
 #: Slack of rounding in bounds, on the side that keeps a pair.
 _EPS = 1e-9
 
@@ -328,11 +330,16 @@ def _possible(left: str, right: str, similarity: float) -> Column:
             & (room * (1 + similarity) >= (na + nb) * similarity - _EPS))
 
 
+def _shingled(wanted: DataFrame, classes: DataFrame, texts: DataFrame, shingle: int) -> DataFrame:
+    """(set, s): the ``wanted`` sets with their shingle hashes."""
+    asked = classes.join(wanted, "set")
+    own = texts.join(asked.select(F.col("least").alias("_own"), "set"), F.col("_id.row") == F.col("_own.row"))
+    return stage(in_pieces(own).select("set", shingles(F.col("_text"), shingle).alias("s")), "shingles")
+
+
 def _confirmed(pairs: DataFrame, classes: DataFrame, texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
     """The ``pairs`` of sets that have ``similarity`` (Jaccard)."""
-    asked = classes.join(pairs.select(F.explode(F.array("a", "b")).alias("set")).distinct(), "set")
-    own = texts.join(asked.select(F.col("least").alias("_own"), "set"), F.col("_id.row") == F.col("_own.row"))
-    sets = stage(in_pieces(own).select("set", shingles(F.col("_text"), shingle).alias("s")), "shingles")
+    sets = _shingled(pairs.select(F.explode(F.array("a", "b")).alias("set")).distinct(), classes, texts, shingle)
     both, na, nb = F.size(F.array_intersect("sa", "sb")), F.size("sa"), F.size("sb")
     same = (pairs.join(sets.select(F.col("set").alias("a"), F.col("s").alias("sa")), "a")
             .join(sets.select(F.col("set").alias("b"), F.col("s").alias("sb")), "b")
@@ -357,31 +364,93 @@ def _led(classes: DataFrame) -> DataFrame:
 
 def _open(index: DataFrame, roots: DataFrame | None) -> DataFrame:
     """The places of ``index`` that hold sets which no links connect so far, with the root of each set."""
-    own = index.drop("root")
-    own = own.withColumn("root", F.col("set")) if roots is None else (
-        own.join(roots.withColumnRenamed("node", "set"), "set", "left").withColumn("root", F.coalesce("root", "set")))
+    own = _rooted(index.drop("root"), roots)
     places = own.groupBy("key").agg(F.min("root").alias("_least"), F.max("root").alias("_most")).where("_least != _most").select("key")
     return stage(own.join(places, "key"), "live")
 
 
-def _asked(live: DataFrame, similarity: float, salt: int, whole: bool) -> DataFrame:
-    """(a, b), a < b: pairs of sets in one place of the index that no links connect so far.
+def _asked(live: DataFrame, similarity: float, salt: int) -> DataFrame:
+    """(a, b), a < b: sets with the leader of a place of the index, where no links connect them so far.
 
-    Only those of a set with the leader of the place, or all if ``whole``. The leader is first in a
-    hash order that differs between places and salts. In a whole round, too, members of its group
-    meet only those of other groups.
+    The leader is first in a hash order that differs between places and salts.
     """
     lead = (live.groupBy("key").agg(F.min(F.struct(F.xxhash64("set", "key", F.lit(salt)).alias("h"), "set", "n", "pos", "root")).alias("l"))
             .select("key", "l.set", "l.n", "l.pos", "l.root"))
-    met, strays = live.alias("x").join(lead.alias("y"), "key").where(F.col("x.root") != F.col("y.root")), None
-    if whole:
-        strays = stage(met.select("key", "x.set", "x.n", "x.pos", "x.root", F.col("y.root").alias("led")), "strays")
-        met = strays.alias("x").join(live.alias("y"), "key").where(
-            (F.col("x.root") != F.col("y.root")) & ((F.col("y.root") == F.col("led")) | (F.col("x.set") < F.col("y.set"))))
-    asked = stage(met.where(_possible("x", "y", similarity))
-                  .select(F.least("x.set", "y.set").alias("a"), F.greatest("x.set", "y.set").alias("b")).distinct(), "asked")
-    if strays is not None:
-        discard(strays)
+    met = live.alias("x").join(lead.alias("y"), "key").where(F.col("x.root") != F.col("y.root"))
+    return stage(_pairs(met.where(_possible("x", "y", similarity))), "asked")
+
+
+def _pairs(met: DataFrame) -> DataFrame:
+    return met.select(F.least("x.set", "y.set").alias("a"), F.greatest("x.set", "y.set").alias("b")).distinct()
+
+
+def _rooted(sets: DataFrame, roots: DataFrame | None, name: str = "set", root: str = "root") -> DataFrame:
+    """``sets`` with what links connect the sets of column ``name`` to so far, in column ``root``."""
+    if roots is None:
+        return sets.withColumn(root, F.col(name))
+    return (sets.join(roots.select(F.col("node").alias(name), F.col("root").alias(root)), name, "left")
+            .withColumn(root, F.coalesce(root, name)))
+
+
+def _crowds(live: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
+    """(a, b): all pairs of the places with few sets; and (lead, set, n, lead_n): the sets of the other places with their leaders.
+
+    The sets of a large place are cut by size into overlapping bands, so that two of near sizes share one,
+    and the leader of a band is first in a hash order of all sets, so places with the same sets have the same leaders.
+    """
+    many = live.groupBy("key").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > FEW).select("key")
+    few = live.join(many, "key", "left_anti")
+    met = few.alias("x").join(few.alias("y"), "key").where((F.col("x.set") < F.col("y.set")) & (F.col("x.root") != F.col("y.root")))
+    pairs = _pairs(met.where(_possible("x", "y", similarity)))
+    band = F.floor(F.log("n") / max(-np.log(similarity) * (1 + 1e-6), 1e-3))
+    banded = live.join(many, "key").select("key", "set", "n", F.explode(F.array(band, band + 1)).alias("band"))
+    lead = banded.groupBy("key", "band").agg(F.min(F.struct(F.xxhash64("set", F.lit(ROUNDS)).alias("h"), "set", "n")).alias("l"))
+    crowds = (banded.join(lead, ["key", "band"]).select(F.col("l.set").alias("lead"), "set", "n", F.col("l.n").alias("lead_n"))
+              .where("set != lead").distinct())
+    return pairs, stage(crowds, "crowds")
+
+
+def _strays(crowds: DataFrame, roots: DataFrame | None, classes: DataFrame, texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """(a, b): pairs of sets of a crowd, not both linked with its leader, that may have ``similarity``.
+
+    Sets are told apart by what they differ in from the leader. With c = (1 - similarity) / (1 + similarity) two similar sets
+    x and y differ in at most c(nx + ny) shingles, so their differences dx and dy from the leader have at least
+    (|dx| + |dy| - c(nx + ny)) / 2 in common. A set that is not similar to the leader has |d| > c(n + lead_n): that bound
+    is above 0 for each pair asked for here, and a prefix filter on the differences, rare ones first, misses none.
+    """
+    c, eps = (1 - similarity) / (1 + similarity), 1e-6
+    held = _rooted(_rooted(crowds, roots), roots, "lead", "lead_root").withColumn("stray", F.col("root") != F.col("lead_root"))
+    mixed = held.where("stray").select("lead").distinct()
+    held = stage(held.drop("lead_root").join(mixed, "lead"), "held")
+    sets = _shingled(held.select("set").union(held.select("lead")).distinct(), classes, texts, shingle)
+    apart = (held.join(sets, "set").join(sets.select(F.col("set").alias("lead"), F.col("s").alias("_l")), "lead")
+             .withColumn("d", F.concat(F.array_except("s", "_l"), F.array_except("_l", "s"))).drop("s", "_l"))
+    size = F.col("size")
+    t = F.greatest(F.lit(1), F.ceil((size - c * F.col("n") + c * F.col("lead_n")) / 2 - eps))
+    wide = F.greatest(F.lit(1), F.ceil((size - c * (F.col("n") + F.col("lead_n"))) / (1 + c) - eps))
+    loose = stage(apart.select("lead", "set", "n", "root", "stray", "lead_n", F.size("d").alias("size"), F.explode("d").alias("e")), "loose")
+    times = loose.groupBy("lead", "e").agg(F.count(F.lit(1)).alias("times")).where("times > 1")
+    ranked = (loose.join(times, ["lead", "e"], "left")
+              .groupBy("lead", "set", "n", "root", "stray", "lead_n", "size")
+              # Differences of one set alone come first in the order; only their number matters.
+              .agg(F.sort_array(F.collect_list(F.when(F.col("times").isNotNull(), F.struct("times", "e")))).alias("es"))
+              .withColumn("alone", size - F.size("es")).withColumn("near", size - t + 1).withColumn("far", size - wide + 1))
+    reach = F.when(F.col("stray"), F.greatest("near", "far")).otherwise(F.col("near"))
+    first = stage(ranked.withColumn("es", F.slice("es", F.lit(1), F.greatest(F.lit(0), reach - F.col("alone")).cast("int")))
+                  .select("lead", "set", "n", "root", "stray", "size", "alone", "near", "far", F.posexplode("es").alias("at", "_e"))
+                  .select("lead", "set", "n", "root", "stray", "size", "near", "far", F.col("_e.e").alias("e"),
+                          (F.col("alone") + F.col("at")).alias("pos")), "differences")
+    shared = F.least(F.col("x.size") - F.col("x.pos"), F.col("y.size") - F.col("y.pos"))
+    may = ((F.col("x.root") != F.col("y.root"))
+           & (F.least("x.n", "y.n") >= F.greatest("x.n", "y.n") * similarity - eps)
+           & (2 * shared >= F.col("x.size") + F.col("y.size") - c * (F.col("x.n") + F.col("y.n")) - eps))
+    alike = first.where("stray and pos < near")
+    inside = alike.alias("x").join(alike.alias("y"), ["lead", "e"]).where(may & (F.col("x.set") < F.col("y.set")))
+    across = (first.where("stray and pos < far").alias("x")
+              .join(first.where("not stray and pos < near").alias("y"), ["lead", "e"]).where(may))
+    asked = stage(_pairs(inside).union(_pairs(across)).distinct(), "asked")
+    for table in (held, sets, loose, first):
+        discard(table)
     return asked
 
 
@@ -394,7 +463,7 @@ def near_duplicates(docs: DataFrame, row: str, id_col: str = "doc_id", text: str
     first, then row) stays. Equal sets are one class. SimHash leads: each class is compared with the
     smallest of its group of fingerprints, which merges crowds. Then classes that share a shingle of
     their prefixes are compared: first with a leader of each place in a few rounds, then each with
-    each. All classes take part to the end; only pairs that links connect already are left out, so
+    each, in a crowded place those whose differences from its leader allow it. All classes take part to the end; only pairs that links connect already are left out, so
     fingerprints change the cost, and the links of the rest are found as well.
 
     Wordless and NULL texts are one group; repeated rows are alike, so one stays. Whole texts count,
@@ -429,17 +498,23 @@ def near_duplicates(docs: DataFrame, row: str, id_col: str = "doc_id", text: str
     met = first.groupBy("key").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("key")
     live = stage(first.join(met, "key").groupBy("key", "set").agg(F.min("n").alias("n"), F.min("pos").alias("pos")), "index")
     discard(first)
-    left = classes.count()
-    for salt in range(ROUNDS + 1):
+    enough = _ROUND * classes.count()
+    for salt in range(ROUNDS):
         last, live = live, _open(live, roots)
         discard(last)
-        whole = salt == ROUNDS or left == 0
-        found = linked(_asked(live, similarity, salt, whole))
-        if whole:
+        if linked(_asked(live, similarity, salt)) <= enough:
             break
-        if found <= _ROUND * left:
-            left = 0  # the next round is the whole one
+    last, live = live, _open(live, roots)
+    discard(last)
+    pairs, crowds = _crowds(live, similarity)
+    led = crowds.where(F.least("n", "lead_n") >= F.greatest("n", "lead_n") * similarity - _EPS).select(
+        F.least("lead", "set").alias("a"), F.greatest("lead", "set").alias("b"))
+    if roots is not None:
+        led = _rooted(_rooted(led, roots, "a", "_a"), roots, "b", "_b").where("_a != _b").select("a", "b")
+    linked(stage(pairs.union(led).distinct(), "asked"))
     discard(live)
+    linked(_strays(crowds, roots, classes, texts, shingle, similarity))
+    discard(crowds)
     own = classes
     if roots is not None:
         own = classes.join(roots.withColumnRenamed("node", "set"), "set", "left").withColumn("set", F.coalesce("root", "set"))
