@@ -15,6 +15,7 @@ fingerprints are confirmed first, and a prefix filter, which misses no pair, fin
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -248,21 +249,46 @@ def shingles(text: Column, size: int) -> Column:
 SAMPLED, COMMON = 8, 1 << 20
 #: Rounds of leaders: at most so many, and none after one that merges a smaller share of the sets.
 ROUNDS, _ROUND = 3, 0.01
-#: Sets of a place that are compared each with each; in larger places differences from a leader say which pairs are.
+#: Sets of a place that are compared each with each; larger places are given leaders, and the sets near one are compared by their differences from it.
 FEW = 16
+#: Leaders of a place, one after the other, and the sets far from all so far, in units of ``FEW``, that need no further one.
+LEADERS, _LEFT = 6, 8
+#: A set is near its leader where they differ in at most this share of the shingles of both.
+NEAR = 0.2
+#: Bits of a sketch for each shingle, at least, and of a sketch at most.
+_DENSE, _WIDEST = 4, 1 << 18
 #: Slack of rounding in bounds, on the side that keeps a pair.
 _EPS = 1e-9
 
 
+def _width(n: float) -> int:
+    """Bits of the sketch of ``n`` shingles, a power of two."""
+    return min(max(64, 1 << (max(1, int(np.ceil(_DENSE * n))) - 1).bit_length()), _WIDEST)
+
+
+def sketch(hashes: np.ndarray) -> bytes:
+    """For each value of the low bits, whether an odd number of the distinct ``hashes`` has it."""
+    bits = _width(len(hashes))
+    odd = np.bincount((hashes & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def apart(a: bytes, b: bytes, bits: int = _WIDEST) -> int:
+    """In how many hashes two sets differ at least, by their sketches, folded to one width of at most ``bits``."""
+    words = min(len(a), len(b), bits // 8) // 8
+    x, y = (np.bitwise_xor.reduce(np.frombuffer(s, np.uint64).reshape(-1, words), axis=0) for s in (a, b))
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 def _set_ids(texts: DataFrame, size: int) -> DataFrame:
-    """(_id, set, n, fingerprint): XXH64 of the sorted distinct shingle hashes of each text, their number, and its SimHash; zeros without words."""
-    @F.pandas_udf("struct<set:long,n:int,fingerprint:long>")
+    """(_id, set, n, fingerprint, sketch): XXH64 of the sorted distinct shingle hashes of each text, their number, and its SimHash; zeros without words."""
+    @F.pandas_udf("struct<set:long,n:int,fingerprint:long,sketch:binary>")
     def run(values: pd.Series) -> pd.DataFrame:
         own = [np.unique(shingle_hashes(t, size)) for t in values]
         ids = np.array([xxhash.xxh64_intdigest(s.tobytes(), 7) if len(s) else 0 for s in own], np.uint64)
         return pd.DataFrame({"set": ids.view(np.int64), "n": np.array([len(s) for s in own], np.int32),
-                             "fingerprint": np.array([fingerprint(t, 3) for t in values], np.int64)})
-    return in_pieces(texts).withColumn("_s", run("_text")).select("_id", "_s.set", "_s.n", "_s.fingerprint")
+                             "fingerprint": np.array([fingerprint(t, 3) for t in values], np.int64), "sketch": [sketch(s) for s in own]})
+    return in_pieces(texts).withColumn("_s", run("_text")).select("_id", "_s.set", "_s.n", "_s.fingerprint", "_s.sketch")
 
 
 def _common(texts: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -337,6 +363,26 @@ def _shingled(wanted: DataFrame, classes: DataFrame, texts: DataFrame, shingle:
     return stage(in_pieces(own).select("set", shingles(F.col("_text"), shingle).alias("s")), "shingles")
 
 
+def _sketched(pairs: DataFrame, classes: DataFrame, a: str, b: str) -> DataFrame:
+    """``pairs`` with the sketches and sizes of the sets of columns ``a`` and ``b``, as _x, _xn, _y and _yn."""
+    for name, as_ in ((a, "_x"), (b, "_y")):
+        pairs = pairs.join(classes.select(F.col("set").alias(name), F.col("sketch").alias(as_), F.col("n").alias(f"{as_}n")), name)
+    return in_pieces(pairs)
+
+
+def _likely(pairs: DataFrame, classes: DataFrame, similarity: float) -> DataFrame:
+    """The ``pairs`` whose sketches leave room for ``similarity``; sets that have it differ in at most ``_slack`` of the shingles of both."""
+    @F.pandas_udf("int")
+    def least(x: pd.Series, y: pd.Series) -> pd.Series:
+        return pd.Series([apart(i, j) for i, j in zip(x, y)], dtype="int32")
+    met = _sketched(pairs, classes, "a", "b")
+    return met.where(least("_x", "_y") <= _slack(similarity) * (F.col("_xn") + F.col("_yn")) + 1e-6).select("a", "b")
+
+
+def _slack(similarity: float) -> float:
+    return (1 - similarity) / (1 + similarity)
+
+
 def _confirmed(pairs: DataFrame, classes: DataFrame, texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
     """The ``pairs`` of sets that have ``similarity`` (Jaccard)."""
     sets = _shingled(pairs.select(F.explode(F.array("a", "b")).alias("set")).distinct(), classes, texts, shingle)
@@ -380,6 +426,12 @@ def _asked(live: DataFrame, similarity: float, salt: int) -> DataFrame:
     return stage(_pairs(met.where(_possible("x", "y", similarity))), "asked")
 
 
+def _each(places: DataFrame, by: list[str], similarity: float) -> DataFrame:
+    """(a, b), a < b: each set with each of its place, told by the columns ``by``, where no links connect them so far."""
+    met = places.alias("x").join(places.alias("y"), by).where((F.col("x.set") < F.col("y.set")) & (F.col("x.root") != F.col("y.root")))
+    return _pairs(met.where(_possible("x", "y", similarity)))
+
+
 def _pairs(met: DataFrame) -> DataFrame:
     return met.select(F.least("x.set", "y.set").alias("a"), F.greatest("x.set", "y.set").alias("b")).distinct()
 
@@ -392,22 +444,55 @@ def _rooted(sets: DataFrame, roots: DataFrame | None, name: str = "set", root: s
             .withColumn(root, F.coalesce(root, name)))
 
 
-def _crowds(live: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
-    """(a, b): all pairs of the places with few sets; and (lead, set, n, lead_n): the sets of the other places with their leaders.
+def _crowds(live: DataFrame, classes: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
+    """(a, b): all pairs of the places with few sets, of leaders, and of sets far from all leaders of their place;
+    and (lead, set, n, lead_n): the sets of the other places with the leaders they are near.
 
     The sets of a large place are cut by size into overlapping bands, so that two of near sizes share one,
     and the leader of a band is first in a hash order of all sets, so places with the same sets have the same leaders.
+    Sets far from it get another leader, as long as there are many; the rest is compared each with each.
+
+    How far a set is from its leader is told by their sketches, all at the width that the smallest set of a band with
+    that leader has, so the distance is a metric. A set similar to one near the leader is among those that count as near
+    with the slack that this leaves; so two similar sets are in the crowd of one leader, or both far from it.
     """
+    step = max(-np.log(similarity) * (1 + 1e-6), 1e-3)
+    smallest = np.exp(-2 * step) * (1 - 1e-6)  # of a band, as a share of any other
+
+    @F.pandas_udf("int")
+    def least(x: pd.Series, y: pd.Series, n: pd.Series) -> pd.Series:
+        return pd.Series([apart(i, j, _width(k * smallest)) for i, j, k in zip(x, y, n)], dtype="int32")
+
     many = live.groupBy("key").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > FEW).select("key")
-    few = live.join(many, "key", "left_anti")
-    met = few.alias("x").join(few.alias("y"), "key").where((F.col("x.set") < F.col("y.set")) & (F.col("x.root") != F.col("y.root")))
-    pairs = _pairs(met.where(_possible("x", "y", similarity)))
-    band = F.floor(F.log("n") / max(-np.log(similarity) * (1 + 1e-6), 1e-3))
-    banded = live.join(many, "key").select("key", "set", "n", F.explode(F.array(band, band + 1)).alias("band"))
-    lead = banded.groupBy("key", "band").agg(F.min(F.struct(F.xxhash64("set", F.lit(ROUNDS)).alias("h"), "set", "n")).alias("l"))
-    crowds = (banded.join(lead, ["key", "band"]).select(F.col("l.set").alias("lead"), "set", "n", F.col("l.n").alias("lead_n"))
-              .where("set != lead").distinct())
-    return pairs, stage(crowds, "crowds")
+    pairs = [_each(live.join(many, "key", "left_anti"), ["key"], similarity)]
+    band = F.floor(F.log("n") / step)
+    place, rest = ["key", "band"], live.join(many, "key").select("*", F.explode(F.array(band, band + 1)).alias("band"))
+    rest, held, crowds = stage(rest, "places"), [], []
+    n, lead_n, slack = F.col("n"), F.col("lead_n"), _slack(similarity)
+    for salt in range(ROUNDS, ROUNDS + LEADERS):
+        held.append(rest)
+        lead = (rest.groupBy(*place).agg(F.min(F.struct(F.xxhash64("set", F.lit(salt)).alias("h"), "set", "n")).alias("l"))
+                .select(*place, F.col("l.set").alias("lead"), F.col("l.n").alias("lead_n")))
+        led = rest.join(lead, place).where("set != lead")
+        asked = _sketched(led.select("lead", "set", "n", "lead_n").distinct(), classes, "lead", "set")
+        told = stage(asked.select("lead", "set", "n", "lead_n", least("_x", "_y", "lead_n").alias("least")), "led")
+        held.append(told)
+        crowds.append(told.where(F.col("least") <= NEAR * (n / similarity + lead_n) + slack * n * (1 + 1 / similarity) + 1e-6).drop("least"))
+        alike = (F.least(n, lead_n) >= F.greatest(n, lead_n) * similarity - _EPS) & (F.col("least") <= slack * (n + lead_n) + 1e-6)
+        pairs.append(told.where(alike).select(F.least("lead", "set").alias("a"), F.greatest("lead", "set").alias("b")))
+        far = stage(led.join(told.where(F.col("least") > NEAR * (n + lead_n)).select("lead", "set"), ["lead", "set"]).select(*rest.columns), "places")
+        held.append(far)
+        large = far.groupBy(*place).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > _LEFT * FEW).select(*place)
+        pairs.append(_each(far.join(large, place, "left_anti"), place, similarity))
+        rest = stage(far.join(large, place), "places")
+        if rest.isEmpty():
+            break
+    held.append(rest)
+    pairs.append(_each(rest, place, similarity))
+    found = stage(reduce(DataFrame.unionByName, pairs).distinct(), "asked"), stage(reduce(DataFrame.unionByName, crowds).distinct(), "crowds")
+    for table in held:
+        discard(table)
+    return found
 
 
 def _strays(crowds: DataFrame, roots: DataFrame | None, classes: DataFrame, texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
@@ -418,7 +503,7 @@ def _strays(crowds: DataFrame, roots: DataFrame | None, classes: DataFrame, text
     (|dx| + |dy| - c(nx + ny)) / 2 in common. A set that is not similar to the leader has |d| > c(n + lead_n): that bound
     is above 0 for each pair asked for here, and a prefix filter on the differences, rare ones first, misses none.
     """
-    c, eps = (1 - similarity) / (1 + similarity), 1e-6
+    c, eps = _slack(similarity), 1e-6
     held = _rooted(_rooted(crowds, roots), roots, "lead", "lead_root").withColumn("stray", F.col("root") != F.col("lead_root"))
     mixed = held.where("stray").select("lead").distinct()
     held = stage(held.drop("lead_root").join(mixed, "lead"), "held")
@@ -463,7 +548,8 @@ def near_duplicates(docs: DataFrame, row: str, id_col: str = "doc_id", text: str
     first, then row) stays. Equal sets are one class. SimHash leads: each class is compared with the
     smallest of its group of fingerprints, which merges crowds. Then classes that share a shingle of
     their prefixes are compared: first with a leader of each place in a few rounds, then each with
-    each, in a crowded place those whose differences from its leader allow it. All classes take part to the end; only pairs that links connect already are left out, so
+    each, in a crowded place those near a leader whose differences from it allow it. Pairs whose sketches show too many differences are not
+    confirmed. All classes take part to the end; only pairs that links connect already are left out, so
     fingerprints change the cost, and the links of the rest are found as well.
 
     Wordless and NULL texts are one group; repeated rows are alike, so one stays. Whole texts count,
@@ -471,14 +557,17 @@ def near_duplicates(docs: DataFrame, row: str, id_col: str = "doc_id", text: str
     """
     texts = docs.select(F.struct(F.col(id_col).alias("id"), F.col(row).alias("row")).alias("_id"), F.col(text).alias("_text"))
     classes = stage(_set_ids(texts, shingle).groupBy("set").agg(F.min("_id").alias("least"), F.max("n").alias("n"),
-                                                                F.min("fingerprint").alias("fingerprint")), "classes")
+                                                                F.min("fingerprint").alias("fingerprint"),
+                                                                F.max("sketch").alias("sketch")), "classes")
     links, roots = None, None
 
     def linked(asked: DataFrame) -> int:
         """Add the links among the ``asked`` pairs; how many there are."""
         nonlocal links, roots
-        same = _confirmed(asked, classes, texts, shingle, similarity)
+        likely = stage(_likely(asked, classes, similarity), "likely")
         discard(asked)
+        same = _confirmed(likely, classes, texts, shingle, similarity)
+        discard(likely)
         found = same.count()
         if not found:
             return 0
@@ -506,13 +595,12 @@ def near_duplicates(docs: DataFrame, row: str, id_col: str = "doc_id", text: str
             break
     last, live = live, _open(live, roots)
     discard(last)
-    pairs, crowds = _crowds(live, similarity)
-    led = crowds.where(F.least("n", "lead_n") >= F.greatest("n", "lead_n") * similarity - _EPS).select(
-        F.least("lead", "set").alias("a"), F.greatest("lead", "set").alias("b"))
-    if roots is not None:
-        led = _rooted(_rooted(led, roots, "a", "_a"), roots, "b", "_b").where("_a != _b").select("a", "b")
-    linked(stage(pairs.union(led).distinct(), "asked"))
+    pairs, crowds = _crowds(live, classes, similarity)
     discard(live)
+    if roots is not None:
+        every, pairs = pairs, stage(_rooted(_rooted(pairs, roots, "a", "_a"), roots, "b", "_b").where("_a != _b").select("a", "b"), "asked")
+        discard(every)
+    linked(pairs)
     linked(_strays(crowds, roots, classes, texts, shingle, similarity))
     discard(crowds)
     own = classes
